@@ -74,14 +74,22 @@ def stabilize(df: DataFrame, scale: int = 6,
     return df.select(*out)
 
 
+_SIZE_CHECKS: dict[tuple[str, int, int], bool] = {}
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows of the (small, dimension)
     side.  Beyond the bound the frame is returned unhinted, so the optimizer
     and AQE pick a shuffle join and may still broadcast at run time from
-    measured sizes.
+    measured sizes.  The verdict is remembered per session and plan
+    (semantic hash), so a report that touches the same dimension many times
+    pays for one bounded scan.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[key] = small
+    return F.broadcast(df) if small else df

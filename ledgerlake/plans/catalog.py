@@ -10,6 +10,7 @@ out of compared outputs.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import cached_property
 
@@ -20,7 +21,8 @@ from .. import AS_OF_DEFAULT
 from .. import sinks
 from ..functions.exprs import padded_id, stabilize
 from ..operators import bronze, gold, silver
-from ..schemas import (FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS)
+from ..schemas import (FACT_ACTIVITY_COLUMNS, FACT_LIQUIDITY_COLUMNS,
+                       FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS)
 from ..session import scratch_path
 from ..sources import files, fixtures
 from . import documented, regional, risk, users
@@ -30,12 +32,40 @@ WINDOW_START = "2024-01-01"   # first day of the 30-day window ending at AS_OF
 
 
 class Lake:
-    """Lazily built layers over one scale-factor directory."""
+    """Lazily built layers over one scale-factor directory.
+
+    ``pnl`` / ``liquidity`` / ``activity`` are the gold facts as plans over
+    the raw tables.  ``gold_*`` are the same facts *written once* to the
+    shared scratch folder (partitioned by ``ds``) and read back: reports read
+    those, as the reference's reports read the gold tables — the facts are
+    computed once per session, the 7/30-day windows prune ``ds``
+    partitions, and lineage is cut at the layer boundary.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.t = fixtures.load(spark, sf_dir, as_of)
 
+    def _materialize(self, name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+        path = scratch_path(self.spark, f"gold-{name}")
+        if sinks.write_partitioned(df, path, ["ds"]) == 0:
+            return df
+        return sinks.read_layer(self.spark, path, columns)
+
+    @cached_property
+    def gold_pnl(self) -> DataFrame:
+        return self._materialize("fact_pnl_daily", self.pnl, FACT_PNL_COLUMNS)
+
+    @cached_property
+    def gold_activity(self) -> DataFrame:
+        return self._materialize("fact_user_activity", self.activity,
+                                 FACT_ACTIVITY_COLUMNS)
+
+    @cached_property
+    def gold_liquidity(self) -> DataFrame:
+        return self._materialize("fact_liquidity", self.liquidity,
+                                 FACT_LIQUIDITY_COLUMNS)
+
     @property
     def users(self) -> DataFrame:
         return self.t.users
@@ -71,6 +101,19 @@ class Lake:
         return fixtures.trading_days(self.t.trades)
 
 
+_LAKES: dict[tuple[str, str, str], Lake] = {}
+
+
+def lake_for(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Lake:
+    """One ``Lake`` per (session, directory, as-of date): plans are built and
+    gold layers written once, then shared by every report of the session."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), as_of)
+    lake = _LAKES.get(key)
+    if lake is None or lake.spark is not spark:
+        lake = _LAKES[key] = Lake(spark, sf_dir, as_of)
+    return lake
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -79,7 +122,7 @@ def query(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
     name = fn.__name__
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return stabilize(fn(Lake(spark, sf_dir)))
+        return stabilize(fn(lake_for(spark, sf_dir)))
 
     run.__name__ = name
     run.__doc__ = fn.__doc__
@@ -194,19 +237,19 @@ def most_traded_symbol(L: Lake) -> DataFrame:
 
 @query
 def top_pnl_rows(L: Lake) -> DataFrame:
-    return L.pnl.orderBy(F.desc("realized_pnl_usd"), "ds", "portfolio_id",
+    return L.gold_pnl.orderBy(F.desc("realized_pnl_usd"), "ds", "portfolio_id",
                          "symbol").limit(10)
 
 
 @query
 def top_turnover_rows(L: Lake) -> DataFrame:
-    return L.liquidity.orderBy(F.desc("total_turnover_usd"), "ds",
+    return L.gold_liquidity.orderBy(F.desc("total_turnover_usd"), "ds",
                                "symbol").limit(10)
 
 
 @query
 def top_activity_rows(L: Lake) -> DataFrame:
-    return L.activity.orderBy(F.desc("activity_score"), "ds",
+    return L.gold_activity.orderBy(F.desc("activity_score"), "ds",
                               "portfolio_id").limit(10)
 
 
@@ -227,100 +270,100 @@ def daily_bars(L: Lake) -> DataFrame:
 
 @query
 def sector_turnover(L: Lake) -> DataFrame:
-    return gold.sector_turnover(L.liquidity)
+    return gold.sector_turnover(L.gold_liquidity)
 
 
 # --- reports: users ---------------------------------------------------------
 
 @query
 def top_profitable_users(L: Lake) -> DataFrame:
-    return users.top_profitable_users(L.users, L.portfolios, L.pnl, L.as_of)
+    return users.top_profitable_users(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 @query
 def risk_profile_performance(L: Lake) -> DataFrame:
-    return users.risk_profile_performance(L.users, L.portfolios, L.pnl, L.as_of)
+    return users.risk_profile_performance(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 @query
 def age_group_activity(L: Lake) -> DataFrame:
-    return users.age_group_activity(L.users, L.portfolios, L.activity, L.as_of)
+    return users.age_group_activity(L.users, L.portfolios, L.gold_activity, L.as_of)
 
 
 @query
 def income_bracket_activity(L: Lake) -> DataFrame:
-    return users.income_bracket_activity(L.users, L.portfolios, L.activity, L.as_of)
+    return users.income_bracket_activity(L.users, L.portfolios, L.gold_activity, L.as_of)
 
 
 @query
 def activation_rate(L: Lake) -> DataFrame:
-    return users.activation_rate(L.users, L.portfolios, L.activity, L.as_of)
+    return users.activation_rate(L.users, L.portfolios, L.gold_activity, L.as_of)
 
 
 @query
 def pnl_by_risk_profile(L: Lake) -> DataFrame:
-    return documented.pnl_by_risk_profile(L.users, L.portfolios, L.pnl)
+    return documented.pnl_by_risk_profile(L.users, L.portfolios, L.gold_pnl)
 
 
 @query
 def activity_by_age_band(L: Lake) -> DataFrame:
-    return documented.activity_by_age_band(L.users, L.portfolios, L.activity)
+    return documented.activity_by_age_band(L.users, L.portfolios, L.gold_activity)
 
 
 @query
 def activity_by_age_split(L: Lake) -> DataFrame:
-    return documented.activity_by_age_split(L.users, L.portfolios, L.activity)
+    return documented.activity_by_age_split(L.users, L.portfolios, L.gold_activity)
 
 
 # --- reports: regional ------------------------------------------------------
 
 @query
 def regional_volume(L: Lake) -> DataFrame:
-    return regional.regional_volume(L.users, L.portfolios, L.activity, L.as_of)
+    return regional.regional_volume(L.users, L.portfolios, L.gold_activity, L.as_of)
 
 
 @query
 def regional_profitability(L: Lake) -> DataFrame:
-    return regional.regional_profitability(L.users, L.portfolios, L.pnl, L.as_of)
+    return regional.regional_profitability(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 @query
 def regional_risk_distribution(L: Lake) -> DataFrame:
     return regional.regional_risk_distribution(L.users, L.portfolios,
-                                               L.activity, L.as_of)
+                                               L.gold_activity, L.as_of)
 
 
 @query
 def regional_symbol_preferences(L: Lake) -> DataFrame:
-    return regional.regional_symbol_preferences(L.users, L.portfolios, L.pnl,
+    return regional.regional_symbol_preferences(L.users, L.portfolios, L.gold_pnl,
                                                 L.as_of)
 
 
 @query
 def pnl_by_region(L: Lake) -> DataFrame:
-    return documented.pnl_by_region(L.users, L.portfolios, L.pnl, L.as_of)
+    return documented.pnl_by_region(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 # --- reports: risk ----------------------------------------------------------
 
 @query
 def portfolio_concentration(L: Lake) -> DataFrame:
-    return risk.portfolio_concentration(L.users, L.portfolios, L.pnl, L.as_of)
+    return risk.portfolio_concentration(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 @query
 def high_risk_users(L: Lake) -> DataFrame:
-    return risk.high_risk_users(L.users, L.portfolios, L.pnl, L.as_of)
+    return risk.high_risk_users(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 @query
 def loss_making_users(L: Lake) -> DataFrame:
-    return risk.loss_making_users(L.users, L.portfolios, L.pnl, L.as_of)
+    return risk.loss_making_users(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 @query
 def risk_mismatch(L: Lake) -> DataFrame:
-    return risk.risk_mismatch(L.users, L.portfolios, L.pnl, L.as_of)
+    return risk.risk_mismatch(L.users, L.portfolios, L.gold_pnl, L.as_of)
 
 
 # --- reports on the data ----------------------------------------------------

@@ -9,7 +9,7 @@ and Catalyst prunes the columns a query does not use.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +34,34 @@ PARTS_WITHOUT_SECTOR = [20, 21]
 NATION_MAX_ROWS = 1_000
 
 
-@dataclass(frozen=True)
 class Tables:
-    users: DataFrame
-    portfolios: DataFrame
-    trades: DataFrame
-    symbols: DataFrame
+    """The domain tables of one scale-factor directory, built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str):
+        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self._scans: dict[str, DataFrame] = {}
+
+    def _t(self, name: str) -> DataFrame:
+        if name not in self._scans:
+            self._scans[name] = read_table(self.spark, self.sf_dir, name)
+        return self._scans[name]
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return users(self._t("customer"), self._t("nation"), self._t("region"),
+                     self.as_of)
+
+    @cached_property
+    def portfolios(self) -> DataFrame:
+        return portfolios(self._t("customer"), self.as_of)
+
+    @cached_property
+    def trades(self) -> DataFrame:
+        return trades(self._t("events"))
+
+    @cached_property
+    def symbols(self) -> DataFrame:
+        return symbols_master(self._t("part"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -160,14 +182,7 @@ def trading_days(trades_df: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str, as_of: str = "2024-01-31") -> Tables:
-    t = lambda n: read_table(spark, sf_dir, n)
-    customer = t("customer")
-    return Tables(
-        users=users(customer, t("nation"), t("region"), as_of),
-        portfolios=portfolios(customer, as_of),
-        trades=trades(t("events")),
-        symbols=symbols_master(t("part")),
-    )
+    return Tables(spark, sf_dir, as_of)
 
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,5 +212,15 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def brand_master(part: DataFrame) -> DataFrame:
+    """Symbol master for the lineitem feed: one row per brand (exchange by
+    brand number parity, sector = smallest part type of the brand)."""
+    n = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+    return (part.groupBy("p_brand").agg(F.min("p_type").alias("sector"))
+            .select(F.col("p_brand").alias("symbol"),
+                    F.when(n % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
+                    "sector", F.lit(0.01).alias("tick_size")))
+
+
 def as_date(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
