@@ -60,6 +60,28 @@ def valid_trades(enriched: DataFrame, start: str | None = None,
     return df.select(F.col("event_date").alias("ds"), *columns)
 
 
+# FX rows are one per (day, currency): bounded by the calendar, not by trades.
+FX_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def to_base_currency(valid: DataFrame, portfolios: DataFrame, fx: DataFrame,
+                     home_ccy: str = "USD") -> DataFrame:
+    """Trade notionals converted to the portfolio's base currency at the
+    day's rate (``fx``: base_ccy, quote_ccy, rate, ds; rate = quote units per
+    one base unit).  Days without a rate give NULL, never a dropped trade.
+    """
+    rates = maybe_broadcast(
+        fx.filter(F.col("base_ccy") == home_ccy)
+        .select("ds", F.col("quote_ccy").alias("base_ccy"), F.col("rate").alias("fx_rate")),
+        FX_BROADCAST_MAX_ROWS)
+    j = (valid.join(portfolios.select("portfolio_id", "base_ccy"), on="portfolio_id",
+                    how="inner")
+         .join(rates, on=["ds", "base_ccy"], how="left"))
+    return j.select("trade_id", "portfolio_id", "ds", "base_ccy", "notional_usd",
+                    "fx_rate", (F.col("notional_usd") * F.col("fx_rate"))
+                    .alias("notional_base_ccy"))
+
+
 def quality_score_histogram(enriched: DataFrame) -> DataFrame:
     """Rows per (quality_score, is_valid) — the data-quality report."""
     return (enriched.groupBy("quality_score", "is_valid")

@@ -273,6 +273,32 @@ def sector_turnover(L: Lake) -> DataFrame:
     return gold.sector_turnover(L.gold_liquidity)
 
 
+@query
+def trades_in_base_ccy(L: Lake) -> DataFrame:
+    """Valid trades converted to the portfolio's base currency (bronze FX)."""
+    raw = bronze.redelivered_fx_feed(L.trading_days)
+    fx = bronze.transform_bronze_fx_rates(raw, with_ingestion_ts=False)
+    v = L.valid("trade_id")
+    return silver.to_base_currency(v, L.portfolios, fx)
+
+
+@query
+def holdings_value(L: Lake) -> DataFrame:
+    """Portfolio holdings marked to the latest daily close."""
+    bars = gold.daily_bars(L.valid("ts", "trade_id"))
+    return gold.holdings_value(L.portfolios, bars, L.as_of)
+
+
+@query
+def engagement_bands(L: Lake) -> DataFrame:
+    return gold.engagement_bands(L.gold_activity)
+
+
+@query
+def regional_symbol_activity(L: Lake) -> DataFrame:
+    return gold.regional_symbol_activity(L.valid(), L.portfolios, L.users)
+
+
 # --- reports: users ---------------------------------------------------------
 
 @query
