@@ -25,7 +25,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from . import pipeline, sinks
-from .operators import bronze, gold, silver
+from .operators import bronze
 from .plans import documented, regional, risk, users
 from .sources import files, fixtures
 
@@ -72,19 +72,8 @@ def silver_job(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
 def _gold(kind: str) -> Callable[[SparkSession, argparse.Namespace], dict[str, int]]:
     def job(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
         start, end = _window(a)
-        paths = pipeline.LakePaths(a.lake)
-        s = pipeline.read_silver(spark, paths)
-        base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
-        if kind == "pnl":
-            df, path = gold.fact_pnl_daily(silver.valid_trades(s, start, end, base)), paths.pnl
-        elif kind == "liquidity":
-            df = gold.fact_liquidity(
-                silver.valid_trades(s, start, end, base + ("exchange", "sector")))
-            path = paths.liquidity
-        else:
-            df, path = gold.fact_user_activity(silver.valid_trades(s, start, end, base)), \
-                paths.activity
-        return {f"gold.{kind}": sinks.write_partitioned(df, path, ["ds"])}
+        n = pipeline.build_fact(spark, pipeline.LakePaths(a.lake), kind, start, end)
+        return {f"gold.{kind}": n}
     return job
 
 

@@ -66,22 +66,32 @@ def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return sinks.read_layer(spark, paths.silver, TRADES_ENRICHED_COLUMNS)
 
 
-def build_gold(spark: SparkSession, paths: LakePaths, start: str,
-               end: str) -> dict[str, int]:
-    """Gold facts for [start, end] from the written silver layer (the date
+FACT_KINDS = ("pnl", "liquidity", "activity")
+
+
+def build_fact(spark: SparkSession, paths: LakePaths, kind: str, start: str,
+               end: str) -> int:
+    """One gold fact for [start, end] from the written silver layer (the date
     range prunes silver's ``event_date`` partitions)."""
     s = read_silver(spark, paths)
     base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
-    v = silver.valid_trades(s, start, end, columns=base)
-    vl = silver.valid_trades(s, start, end, columns=base + ("exchange", "sector"))
-    return {
-        "gold.fact_pnl_daily": sinks.write_partitioned(
-            gold.fact_pnl_daily(v), paths.pnl, ["ds"]),
-        "gold.fact_liquidity": sinks.write_partitioned(
-            gold.fact_liquidity(vl), paths.liquidity, ["ds"]),
-        "gold.fact_user_activity": sinks.write_partitioned(
-            gold.fact_user_activity(v), paths.activity, ["ds"]),
-    }
+    if kind == "pnl":
+        df, path = gold.fact_pnl_daily(silver.valid_trades(s, start, end, base)), paths.pnl
+    elif kind == "liquidity":
+        df = gold.fact_liquidity(
+            silver.valid_trades(s, start, end, base + ("exchange", "sector")))
+        path = paths.liquidity
+    elif kind == "activity":
+        df = gold.fact_user_activity(silver.valid_trades(s, start, end, base))
+        path = paths.activity
+    else:
+        raise ValueError(f"unknown fact {kind!r}")
+    return sinks.write_partitioned(df, path, ["ds"])
+
+
+def build_gold(spark: SparkSession, paths: LakePaths, start: str,
+               end: str) -> dict[str, int]:
+    return {f"gold.{k}": build_fact(spark, paths, k, start, end) for k in FACT_KINDS}
 
 
 def run(spark: SparkSession, trades: DataFrame, fx_csv_dir: str,
