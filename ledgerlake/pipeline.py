@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import sinks
 from .operators import bronze, gold, silver
@@ -121,5 +120,5 @@ def days_between(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(bronze.expected_days(start, end).alias("ds"))
 
 
-__all__ = ["run", "LakePaths", "ingest_bronze", "build_silver", "build_gold",
-           "read_silver", "read_fact", "read_bronze_fx", "days_between", "F"]
+__all__ = ["run", "LakePaths", "ingest_bronze", "build_silver", "build_fact",
+           "build_gold", "read_silver", "read_fact", "read_bronze_fx", "days_between"]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import AS_OF_DEFAULT
 from .. import sinks
-from ..functions.exprs import padded_id, stabilize
+from ..functions.exprs import stabilize
 from ..operators import bronze, gold, silver
 from ..schemas import (FACT_ACTIVITY_COLUMNS, FACT_LIQUIDITY_COLUMNS,
                        FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS)
@@ -436,4 +436,4 @@ def weekday_trades(L: Lake) -> DataFrame:
         F.sum("notional_usd").alias("notional_usd"))
 
 
-__all__ = ["queries", "Lake", "AS_OF", "padded_id"]
+__all__ = ["queries", "Lake", "lake_for", "AS_OF"]

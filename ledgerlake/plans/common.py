@@ -72,7 +72,3 @@ def left_window(users: DataFrame, portfolios: DataFrame, fact: DataFrame,
 def avg_from(sum_col: str, rows_col: str = "n_rows") -> Column:
     """AVG over fact rows from pre-aggregated sums: Σsum / Σrows."""
     return safe_ratio(F.sum(sum_col), F.sum(rows_col))
-
-
-def ordered(df: DataFrame, *cols: Column) -> DataFrame:
-    return df.orderBy(*cols)
