@@ -25,7 +25,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from . import pipeline, sinks
-from .operators import bronze
 from .plans import documented, regional, risk, users
 from .sources import files, fixtures
 
@@ -45,15 +44,13 @@ def _session(app: str) -> SparkSession:
 
 def fx_bronze(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     start, end = _window(a)
-    paths = pipeline.LakePaths(a.lake)
-    fx = bronze.transform_bronze_fx_rates(files.read_fx_csv(spark, a.fx_csv, start, end))
-    return {"bronze.fx_rates": sinks.write_partitioned(fx, paths.fx, ["ds"])}
+    return {"bronze.fx_rates":
+            pipeline.ingest_fx(spark, pipeline.LakePaths(a.lake), a.fx_csv, start, end)}
 
 
 def symbols_bronze(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
-    paths = pipeline.LakePaths(a.lake)
-    sym = bronze.transform_bronze_symbols(files.read_symbols_csv(spark, a.symbols_csv))
-    return {"bronze.symbols": sinks.write_table(sym, paths.symbols)}
+    return {"bronze.symbols":
+            pipeline.ingest_symbols(spark, pipeline.LakePaths(a.lake), a.symbols_csv)}
 
 
 def _trades(spark: SparkSession, a: argparse.Namespace) -> DataFrame:

@@ -44,18 +44,30 @@ class LakePaths:
 
 def ingest_bronze(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
                   symbols_csv: str, start: str, end: str) -> dict[str, int]:
-    fx = bronze.transform_bronze_fx_rates(
-        files.read_fx_csv(spark, fx_csv_dir, start, end))
-    sym = bronze.transform_bronze_symbols(files.read_symbols_csv(spark, symbols_csv))
-    return {
-        "bronze.fx_rates": sinks.write_partitioned(fx, paths.fx, ["ds"]),
-        "bronze.symbols": sinks.write_table(sym, paths.symbols),
-    }
+    return {"bronze.fx_rates": ingest_fx(spark, paths, fx_csv_dir, start, end),
+            "bronze.symbols": ingest_symbols(spark, paths, symbols_csv)}
+
+
+def ingest_fx(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
+              start: str, end: str) -> int:
+    raw = files.read_fx_csv(spark, fx_csv_dir, start, end)
+    if not sinks.has_rows(raw):
+        return 0
+    return sinks.write_partitioned(bronze.transform_bronze_fx_rates(raw), paths.fx, ["ds"])
+
+
+def ingest_symbols(spark: SparkSession, paths: LakePaths, symbols_csv: str) -> int:
+    raw = files.read_symbols_csv(spark, symbols_csv)
+    if not sinks.has_rows(raw):          # never replace the master with nothing
+        return 0
+    return sinks.write_table(bronze.transform_bronze_symbols(raw), paths.symbols)
 
 
 def build_silver(spark: SparkSession, paths: LakePaths, trades: DataFrame,
                  start: str, end: str) -> int:
     t = files.trades_scan(trades, start, end)
+    if not sinks.has_rows(t):
+        return 0
     sym = sinks.read_layer(spark, paths.symbols, [f.name for f in BR_SYMBOLS.fields])
     enriched = silver.enrich_trades(t, sym)
     return sinks.write_partitioned(enriched, paths.silver, ["event_date", "symbol"])
@@ -74,6 +86,8 @@ def build_fact(spark: SparkSession, paths: LakePaths, kind: str, start: str,
     range prunes silver's ``event_date`` partitions)."""
     s = read_silver(spark, paths)
     base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
+    if not sinks.has_rows(silver.valid_trades(s, start, end, ("portfolio_id",))):
+        return 0
     if kind == "pnl":
         df, path = gold.fact_pnl_daily(silver.valid_trades(s, start, end, base)), paths.pnl
     elif kind == "liquidity":
@@ -102,7 +116,10 @@ def run(spark: SparkSession, trades: DataFrame, fx_csv_dir: str,
     paths = LakePaths(lake_root)
     counts = ingest_bronze(spark, paths, fx_csv_dir, symbols_csv, start, end)
     counts["silver.trades_enriched"] = build_silver(spark, paths, trades, start, end)
-    counts.update(build_gold(spark, paths, start, end))
+    if counts["silver.trades_enriched"] == 0:       # no trades in the window
+        counts.update({f"gold.{k}": 0 for k in FACT_KINDS})
+    else:
+        counts.update(build_gold(spark, paths, start, end))
     return counts
 
 

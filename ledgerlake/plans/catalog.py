@@ -49,7 +49,7 @@ class Lake:
     def _materialize(self, name: str, df: DataFrame, columns: list[str]) -> DataFrame:
         path = scratch_path(self.spark, f"gold-{name}")
         if sinks.write_partitioned(df, path, ["ds"]) == 0:
-            return df
+            return df                       # nothing written: keep the plan
         return sinks.read_layer(self.spark, path, columns)
 
     @cached_property

@@ -3,6 +3,11 @@
 Re-running a day replaces that day's partitions only; every other day stays
 (a ``saveAsTable`` overwrite would drop the whole table).  The row count of
 a write is taken with an ``Observation`` on the same job — no second pass.
+
+No sink probes its input for emptiness: on an aggregated plan that probe
+would run the whole map side a second time.  A partitioned write of zero
+rows replaces no partition, so it is a no-op by construction; jobs apply the
+"no input, no write" rule to their (pruned) input scans instead.
 """
 
 from __future__ import annotations
@@ -22,10 +27,9 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     every task writing a small file into every directory.  ``REBALANCE``
     (unlike ``repartition``) lets AQE split a skewed directory — a hot day
     or symbol — over several tasks and merge tiny ones.
-    Returns the number of rows written; writes nothing for an empty input.
+    Returns the number of rows written (0 rows leave every partition as it
+    was).
     """
-    if df.isEmpty():
-        return 0
     obs = Observation("rows_written")
     keyed = df.hint("rebalance", *(shuffle_by or partition_cols))
     (keyed.observe(obs, F.count(F.lit(1)).alias("n"))
@@ -37,14 +41,18 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
 
 
 def write_table(df: DataFrame, path: str) -> int:
-    """Full-refresh write of an unpartitioned table."""
-    if df.isEmpty():
-        return 0
+    """Full-refresh write of an unpartitioned table (callers decide whether
+    an empty input may replace it)."""
     obs = Observation("rows_written")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
     return int(obs.get["n"])
 
 
+def has_rows(df: DataFrame) -> bool:
+    """The empty-input guard, for *input* scans (stops at the first row)."""
+    return not df.isEmpty()
+
+
 def read_layer(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Read a written layer back in its contract column order (partition
     columns come back last otherwise)."""

@@ -56,12 +56,12 @@ class IncrementalLake:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if not sinks.has_rows(batch):
+            return
         enriched = (silver.enrich_trades(batch, self.symbols)
                     .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        if sinks.write_partitioned(enriched, self.silver,
-                                   ["event_date", "batch_id"],
-                                   shuffle_by=["event_date"]) == 0:
-            return
+        sinks.write_partitioned(enriched, self.silver, ["event_date", "batch_id"],
+                                shuffle_by=["event_date"])
         touched = (sinks.read_layer(spark, self.silver, ["event_date", "batch_id"])
                    .filter(F.col("batch_id") == batch_id)
                    .select("event_date").distinct())

@@ -93,7 +93,21 @@ def test_gold_from_written_silver_equals_in_memory(spark, tmp_path):
     assert written.select(*key, "num_trades").exceptAll(mem.select(*key, "num_trades")).count() == 0
 
 
-def test_empty_input_writes_nothing(spark, tmp_path):
+def test_empty_write_keeps_partitions(spark, tmp_path):
+    p = str(tmp_path / "e")
+    full = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 2)],
+                                 "ds date, x int")
+    assert sinks.write_partitioned(full, p, ["ds"]) == 2
     empty = spark.createDataFrame([], "ds date, x int")
-    assert sinks.write_partitioned(empty, str(tmp_path / "e"), ["ds"]) == 0
-    assert not (tmp_path / "e").exists()
+    assert sinks.write_partitioned(empty, p, ["ds"]) == 0
+    assert spark.read.parquet(p).count() == 2
+    assert not sinks.has_rows(empty) and sinks.has_rows(full)
+
+
+def test_empty_window_writes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    t, fx_dir, sym = land_inputs(spark, root)
+    lake = f"{root}/lake"
+    c = pipeline.run(spark, t.trades, fx_dir, sym, lake, "2030-01-01", "2030-01-02")
+    assert c["bronze.fx_rates"] == 0 and c["silver.trades_enriched"] == 0
+    assert c["gold.pnl"] == 0 and c["bronze.symbols"] == 22
