@@ -22,6 +22,7 @@ def test_query_matches_oracle(spark, name):
     r = compare(spark, SF, [name], verbose=False)[name]
     assert "error" not in r, r.get("error")
     assert r["cols_match"], r
+    assert not r["type_mismatches"], r["type_mismatches"]
     assert r["values_match"], r.get("diff")
 
 
