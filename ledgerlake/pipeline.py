@@ -81,13 +81,16 @@ FACT_KINDS = ("pnl", "liquidity", "activity")
 
 
 def build_fact(spark: SparkSession, paths: LakePaths, kind: str, start: str,
-               end: str) -> int:
+               end: str, silver_df: DataFrame | None = None) -> int:
     """One gold fact for [start, end] from the written silver layer (the date
-    range prunes silver's ``event_date`` partitions)."""
-    s = read_silver(spark, paths)
+    range prunes silver's ``event_date`` partitions).  ``silver_df`` lets
+    several facts share one read (one partition listing, one input check)."""
+    s = silver_df
+    if s is None:
+        s = read_silver(spark, paths)
+        if not sinks.has_rows(silver.valid_trades(s, start, end, ("portfolio_id",))):
+            return 0
     base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
-    if not sinks.has_rows(silver.valid_trades(s, start, end, ("portfolio_id",))):
-        return 0
     if kind == "pnl":
         df, path = gold.fact_pnl_daily(silver.valid_trades(s, start, end, base)), paths.pnl
     elif kind == "liquidity":
@@ -104,7 +107,12 @@ def build_fact(spark: SparkSession, paths: LakePaths, kind: str, start: str,
 
 def build_gold(spark: SparkSession, paths: LakePaths, start: str,
                end: str) -> dict[str, int]:
-    return {f"gold.{k}": build_fact(spark, paths, k, start, end) for k in FACT_KINDS}
+    """All gold facts of the window over one shared read of silver."""
+    s = read_silver(spark, paths)
+    if not sinks.has_rows(silver.valid_trades(s, start, end, ("portfolio_id",))):
+        return {f"gold.{k}": 0 for k in FACT_KINDS}
+    return {f"gold.{k}": build_fact(spark, paths, k, start, end, silver_df=s)
+            for k in FACT_KINDS}
 
 
 def run(spark: SparkSession, trades: DataFrame, fx_csv_dir: str,
