@@ -8,7 +8,8 @@ form processes each new trade file once and keeps the layers current:
 * ``foreachBatch``: the micro-batch is enriched and written to silver under
   ``event_date=…/batch_id=…`` with dynamic partition overwrite, so a replayed
   batch (after a failure) replaces exactly its own rows — effectively once.
-* The days the batch touched are a distinct projection of the batch; gold
+* The days the batch touched are a distinct projection of the batch itself
+  (its own files, not a scan of the silver history); gold
   facts for those days are recomputed from the whole silver layer (left-semi
   join on ``event_date`` → dynamic partition pruning) and overwrite only
   those ``ds`` partitions.  Late trades for old days simply re-touch them.
@@ -62,9 +63,7 @@ class IncrementalLake:
                     .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         sinks.write_partitioned(enriched, self.silver, ["event_date", "batch_id"],
                                 shuffle_by=["event_date"])
-        touched = (sinks.read_layer(spark, self.silver, ["event_date", "batch_id"])
-                   .filter(F.col("batch_id") == batch_id)
-                   .select("event_date").distinct())
+        touched = batch.select("event_date").distinct()   # the batch's own files
         s = (sinks.read_layer(spark, self.silver, SILVER_COLUMNS)
              .join(touched, on="event_date", how="left_semi"))
         base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
