@@ -12,6 +12,28 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (put them in spark-defaults or pass with
+# --conf).  Shuffles start wide and AQE coalesces them to ~256 MiB, so one
+# setting serves an hourly window and a full-history rebuild alike; skewed
+# join partitions are split; scans cut files into 256 MiB splits.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "32768",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    # spark.checkpoint.dir: a shared folder (HDFS / object store) chosen by
+    # the cluster; the library reads it and never sets it there.
+}
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerlake") -> SparkSession:
     """A local session with the settings the library is tuned for.
