@@ -23,6 +23,7 @@ import sys
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import pipeline, sinks
 from .plans import documented, regional, risk, users
@@ -66,10 +67,22 @@ def silver_job(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
             pipeline.build_silver(spark, paths, _trades(spark, a), start, end)}
 
 
+# Sample shown after a gold write: the fact's headline metric, descending.
+SHOW_ORDER = {"pnl": "realized_pnl_usd", "liquidity": "total_turnover_usd",
+              "activity": "activity_score"}
+
+
 def _gold(kind: str) -> Callable[[SparkSession, argparse.Namespace], dict[str, int]]:
     def job(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
         start, end = _window(a)
-        n = pipeline.build_fact(spark, pipeline.LakePaths(a.lake), kind, start, end)
+        paths = pipeline.LakePaths(a.lake)
+        n = pipeline.build_fact(spark, paths, kind, start, end)
+        if n and a.show:
+            path = {"pnl": paths.pnl, "liquidity": paths.liquidity,
+                    "activity": paths.activity}[kind]
+            written = pipeline.read_fact(spark, path, kind).filter(
+                F.col("ds").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+            written.orderBy(F.desc(SHOW_ORDER[kind])).show(a.show, truncate=False)
         return {f"gold.{kind}": n}
     return job
 
@@ -143,6 +156,8 @@ def parse(argv: Sequence[str]) -> argparse.Namespace:
     ap.add_argument("--sf-dir", help="driver tables directory (fixtures)")
     ap.add_argument("--as-of", default="2024-01-31", help="report as-of date")
     ap.add_argument("--out", help="report output directory")
+    ap.add_argument("--show", type=int, default=0,
+                    help="after a gold write, show the top N rows of the window")
     return ap.parse_args(list(argv))
 
 

@@ -22,7 +22,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert run("fx-bronze", "--lake", lake, "--fx-csv", fx_dir, *win)["bronze.fx_rates"] == 3000
     assert run("symbols-bronze", "--lake", lake, "--symbols-csv", sym)["bronze.symbols"] == 22
     assert run("silver", "--lake", lake, "--trades", trades, *win)["silver.trades_enriched"] == 1000
-    assert run("gold-pnl", "--lake", lake, *win)["gold.pnl"] == 776
+    assert run("gold-pnl", "--lake", lake, *win, "--show", "3")["gold.pnl"] == 776
     assert run("gold-liquidity", "--lake", lake, *win)["gold.liquidity"] == 417
     assert run("gold-activity", "--lake", lake, *win)["gold.activity"] == 386
     c = run("reports", "--lake", lake, "--sf-dir", SF, "--out", out)
