@@ -10,6 +10,7 @@ out of compared outputs.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from collections.abc import Callable
 from functools import cached_property
@@ -28,7 +29,9 @@ from ..sources import files, fixtures
 from . import documented, regional, risk, users
 
 AS_OF = AS_OF_DEFAULT
-WINDOW_START = "2024-01-01"   # first day of the 30-day window ending at AS_OF
+WINDOW_DAYS = 30
+# First day of the 30-day window ending at AS_OF (ds >= as_of - 30 days).
+WINDOW_START = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=WINDOW_DAYS)).isoformat()
 
 
 class Lake:
