@@ -88,6 +88,17 @@ def stabilize(df: DataFrame, scale: int = 6,
 _SIZE_CHECKS: dict[tuple[str, int, int], bool] = {}
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows (reads at most
+    ``max_rows + 1`` rows; remembered per session and plan)."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[key] = small
+    return small
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
@@ -98,9 +109,4 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     (semantic hash), so a report that touches the same dimension many times
     pays for one bounded scan.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -123,3 +123,22 @@ def test_hot_portfolio_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_explicit_hot_key_split_matches_plain_join(spark):
+    """Opt-in split: hot portfolios join a broadcast, the rest shuffle; the
+    result is the same rows as the plain join."""
+    from ledgerlake.operators import bronze
+    t = fixtures.load(spark, SF)
+    hot = t.trades.withColumn(
+        "portfolio_id", F.when(F.col("trade_id").cast("int") % 3 == 0, F.lit("PORT_000001"))
+        .otherwise(F.col("portfolio_id")))
+    v = silver.valid_trades(silver.enrich_trades(hot, t.symbols),
+                            columns=("trade_id", "portfolio_id", "notional_usd"))
+    fx = bronze.transform_bronze_fx_rates(
+        bronze.redelivered_fx_feed(fixtures.trading_days(t.trades)))
+    plain = silver.to_base_currency(v, t.portfolios, fx)
+    split = silver.to_base_currency(v, t.portfolios, fx, hot_rows=100)
+    assert "LeftAnti" in plan(split) and "Union" in plan(split)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert split.count() == v.count()
