@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import packing, quality_rules, simhash
+from ledgerlake.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from ledgerlake.llm.common import written
 from ledgerlake.llm.queries import packing_defaults, table
 
@@ -25,18 +25,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.clean(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line of the corpus are cut."""
+    return line_dedup.deduplicate(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
     return simhash.deduplicate(docs)
 
 
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack(docs, packing_defaults()))
 
 
 STAGES = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", benchmark),
     ("packing", pack),
 ]
 
