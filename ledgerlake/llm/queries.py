@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, line_dedup, packing, quality_rules, simhash
+from . import (chat_format, decontaminate, html_extract, line_dedup, packing, pii, quality_rules,
+               simhash, url_filter, warc_fixity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,10 +44,58 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.per_document(table(spark, sf_dir, "documents"))
 
 
+#: Declared url rules, the longest fitting one wins.
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block",
+             "com/fr/": "allow", "com/de/": "block"}
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages; a page's label is that of the document its path ends in:
+    bad if it is of low quality or toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    _, path = url_filter.parts(F.col("url"))
+    pages = pages.withColumn(
+        "doc_id", F.regexp_extract(path, r"/([0-9]{1,18})[^/0-9]*/?$", 1).try_cast("bigint"))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    judged = url_filter.judge(pages.join(labels, "doc_id", "left"), "page_id", URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: The key of the registered query; a real run brings its own secret.
+PSEUDONYM_KEY = "registered-query"
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY)
+
+
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records in files, against a replica of the same files in
+    which one page in 97 has a flipped byte and one in 89 is lost."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", warc_fixity.record(F.col("url"), F.col("html")).alias("payload"))
+    place = warc_fixity.lay_out(pages.select("page_id", F.octet_length("payload").cast("long").alias("length")),
+                                "page_id")
+    records = warc_fixity.written(place.dropDuplicates(["page_id", "length"]), "warc-places")
+    first = pages.withColumn("length", F.octet_length("payload").cast("long")).join(
+        records, ["page_id", "length"])
+    flipped = F.concat(F.lit("w"), F.substring("payload", F.lit(2), F.length("payload")))
+    second = first.where(F.pmod("page_id", F.lit(89)) != 7).withColumn(
+        "payload", F.when(F.pmod("page_id", F.lit(97)) == 5, flipped).otherwise(F.col("payload")))
+    found = warc_fixity.audit(first, second)
+    return found.join(records, ["file", "offset"]).select("page_id", "file", "offset", "length", "status")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack(table(spark, sf_dir, "documents"), packing_defaults()))
 
@@ -63,5 +112,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_chat_format, op2_line_dedup, op5_decontamination, op8_packing, op9_quality_rules,
-        op10_simhash)}
+        op1_chat_format, op2_line_dedup, op3_url_filter, op4_html_extract, op5_decontamination,
+        op6_pii, op7_warc_fixity, op8_packing, op9_quality_rules, op10_simhash)}
