@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
 
 
 def col_(c: str | Column) -> Column:
@@ -22,14 +21,21 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col_(num), col_(den))
 
 
+# Digits kept beyond the target scale before the final rounding, so that
+# 0.00499999999 does not become 0.005 on its way to two decimals.
+GUARD_DIGITS = 8
+
+
 def round_half_up(c: str | Column, scale: int) -> Column:
     """Decimal HALF_UP rounding of a double, returned as DOUBLE.
 
     Rounding the binary double directly is engine dependent
     (``round(1.005, 2)`` gives 1.01 in one engine and 1.00 in another);
-    going through DECIMAL(38,8) first fixes the digits being rounded.
+    going through a decimal with ``GUARD_DIGITS`` more digits fixes the digits
+    being rounded.  NaN, infinity and values too large for it give NULL.
     """
-    return F.round(col_(c).cast("decimal(38,8)"), scale).cast("double")
+    exact = col_(c).try_cast(f"decimal(38,{scale + GUARD_DIGITS})")
+    return F.round(exact, scale).cast("double")
 
 
 def padded_id(prefix: str, n: str | Column, width: int = 6) -> Column:
@@ -69,44 +75,11 @@ def rank_of(value: str | Column, labels: Sequence[str],
     return expr.otherwise(default) if default is not None else expr
 
 
-def stabilize(df: DataFrame, scale: int = 6,
-              skip: Sequence[str] = ()) -> DataFrame:
-    """Round every floating column to ``scale`` decimals (HALF_UP).
+def stabilize(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFrame:
+    """Round the aggregated ``columns`` to ``scale`` decimals (HALF_UP).
 
     Sums of doubles depend on the order rows meet in a shuffle; rounding the
-    published values makes a result reproducible across runs and engines.
-    """
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (DoubleType, FloatType)) and f.name not in skip:
-            out.append(round_half_up(F.col(f.name), scale).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
-
-
-_SIZE_CHECKS: dict[tuple[str, int, int], bool] = {}
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows; remembered per session and plan)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return small
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (small, dimension)
-    side.  Beyond the bound the frame is returned unhinted, so the optimizer
-    and AQE pick a shuffle join and may still broadcast at run time from
-    measured sizes.  The verdict is remembered per session and plan
-    (semantic hash), so a report that touches the same dimension many times
-    pays for one bounded scan.
+    published aggregates makes a result reproducible across runs and engines.
+    Columns that are merely passed on keep all their digits.
     """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    return df.withColumns({c: round_half_up(F.col(f"`{c}`"), scale) for c in columns})

@@ -7,8 +7,11 @@
     symbols-bronze --symbols-csv PATH --lake ROOT
     silver         --lake ROOT (--trades PATH | --sf-dir DIR) [--start D --end D]
     gold-pnl | gold-liquidity | gold-activity  --lake ROOT [--start D --end D]
-    reports        --lake ROOT --sf-dir DIR --out DIR [--as-of D]
+    reports        --lake ROOT --out DIR [--as-of D]
+                   (--users PATH --portfolios PATH [--form json|parquet] | --sf-dir DIR)
+    tables         --lake ROOT
 
+The report date defaults to today (UTC).
 The run window defaults to yesterday (UTC) with start = end; every job
 takes it as arguments (no environment reads).  Jobs write with dynamic
 partition overwrite, skip empty inputs, and print the rows written as
@@ -27,11 +30,15 @@ from pyspark.sql import functions as F
 
 from . import pipeline, sinks
 from .plans import documented, regional, risk, users
-from .sources import files, fixtures
+from .sources import customers, files, fixtures
+
+
+def _today() -> str:
+    return dt.datetime.now(dt.timezone.utc).date().isoformat()
 
 
 def _yesterday() -> str:
-    return (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
+    return (dt.date.fromisoformat(_today()) - dt.timedelta(days=1)).isoformat()
 
 
 def _window(a: argparse.Namespace) -> tuple[str, str]:
@@ -78,9 +85,7 @@ def _gold(kind: str) -> Callable[[SparkSession, argparse.Namespace], dict[str, i
         paths = pipeline.LakePaths(a.lake)
         n = pipeline.build_fact(spark, paths, kind, start, end)
         if n and a.show:
-            path = {"pnl": paths.pnl, "liquidity": paths.liquidity,
-                    "activity": paths.activity}[kind]
-            written = pipeline.read_fact(spark, path, kind).filter(
+            written = pipeline.read_fact(spark, paths, kind).filter(
                 F.col("ds").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
             written.orderBy(F.desc(SHOW_ORDER[kind])).show(a.show, truncate=False)
         return {f"gold.{kind}": n}
@@ -124,13 +129,22 @@ def build_reports(u: DataFrame, p: DataFrame, pnl: DataFrame, activity: DataFram
 
 def reports_job(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     paths = pipeline.LakePaths(a.lake)
-    t = fixtures.load(spark, a.sf_dir, a.as_of)
-    pnl = pipeline.read_fact(spark, paths.pnl, "pnl")
-    act = pipeline.read_fact(spark, paths.activity, "activity")
-    counts = {}
-    for name, df in build_reports(t.users, t.portfolios, pnl, act, a.as_of).items():
-        counts[f"report.{name}"] = sinks.write_table(df, f"{a.out.rstrip('/')}/{name}")
-    return counts
+    as_of = a.as_of or _today()
+    if a.users and a.portfolios:
+        u = customers.read_users(spark, a.users, a.form)
+        p = customers.read_portfolios(spark, a.portfolios, a.form)
+    else:
+        t = fixtures.load(spark, a.sf_dir)
+        u, p = t.users, t.portfolios
+    pnl = pipeline.read_fact(spark, paths, "pnl")
+    act = pipeline.read_fact(spark, paths, "activity")
+    return {f"report.{name}": sinks.write_table(df, f"{a.out.rstrip('/')}/{name}")
+            for name, df in build_reports(u, p, pnl, act, as_of).items()}
+
+
+def tables_job(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
+    return {f"table.{t}": spark.table(t).count()
+            for t in pipeline.register_tables(spark, pipeline.LakePaths(a.lake))}
 
 
 JOBS: dict[str, Callable[[SparkSession, argparse.Namespace], dict[str, int]]] = {
@@ -141,6 +155,7 @@ JOBS: dict[str, Callable[[SparkSession, argparse.Namespace], dict[str, int]]] =
     "gold-liquidity": _gold("liquidity"),
     "gold-activity": _gold("activity"),
     "reports": reports_job,
+    "tables": tables_job,
 }
 
 
@@ -154,7 +169,10 @@ def parse(argv: Sequence[str]) -> argparse.Namespace:
     ap.add_argument("--symbols-csv", help="symbol master CSV path")
     ap.add_argument("--trades", help="trade Parquet path")
     ap.add_argument("--sf-dir", help="driver tables directory (fixtures)")
-    ap.add_argument("--as-of", default="2024-01-31", help="report as-of date")
+    ap.add_argument("--as-of", help="report date (default: today UTC)")
+    ap.add_argument("--users", help="user documents")
+    ap.add_argument("--portfolios", help="portfolio documents")
+    ap.add_argument("--form", default="json", choices=["json", "parquet"], help="form of the documents")
     ap.add_argument("--out", help="report output directory")
     ap.add_argument("--show", type=int, default=0,
                     help="after a gold write, show the top N rows of the window")

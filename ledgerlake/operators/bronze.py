@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round_half_up
-from ..sources.fixtures import FX_PER_USD
-
 FX_KEYS = ["base_ccy", "quote_ccy", "ds"]
 
 
@@ -28,27 +25,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
         .select(*df.columns)
 
 
-def fx_cross_rates(days: DataFrame, per_usd: Mapping[str, float] = FX_PER_USD,
-                   scale: int = 6) -> DataFrame:
-    """Cross-rate matrix for every day in ``days`` (column ``ds``).
-
-    rate(base, quote) = per_usd(quote) / per_usd(base), rounded HALF_UP to
-    ``scale`` decimals; 1.0 on the diagonal.  The currency list is a fixed
-    reference dimension, expanded per day by two generators (bounded fan-out
-    of len(per_usd)² rows per day); no join.
-    """
-    ccys = F.array(*[F.struct(F.lit(c).alias("ccy"), F.lit(float(r)).alias("per_usd"))
-                     for c, r in per_usd.items()])
-    pairs = (days.select("ds", F.explode(ccys).alias("b"))
-             .select("ds", "b", F.explode(ccys).alias("q")))
-    rate = F.when(F.col("b.ccy") == F.col("q.ccy"), F.lit(1.0)).otherwise(
-        round_half_up(F.col("q.per_usd") / F.col("b.per_usd"), scale))
-    return pairs.select(F.col("b.ccy").alias("base_ccy"),
-                        F.col("q.ccy").alias("quote_ccy"),
-                        rate.alias("rate"), F.col("ds"))
-
-
-def transform_bronze_fx_rates(raw: DataFrame, with_ingestion_ts: bool = True) -> DataFrame:
+def clean_rates(raw: DataFrame, with_ingestion_ts: bool = True) -> DataFrame:
     """Cast to the declared types and keep one rate per (base, quote, ds).
 
     Survivor of duplicates: the lowest rate (deterministic, unlike an
@@ -66,7 +43,7 @@ def transform_bronze_fx_rates(raw: DataFrame, with_ingestion_ts: bool = True) ->
     return out
 
 
-def transform_bronze_symbols(raw: DataFrame, with_ingestion_ts: bool = True) -> DataFrame:
+def clean_symbols(raw: DataFrame, with_ingestion_ts: bool = True) -> DataFrame:
     """Cast the symbol master and keep one row per symbol (first by
     exchange, sector, tick size)."""
     typed = raw.select(
@@ -90,23 +67,15 @@ def expected_days(start: str | Column, end: str | Column) -> Column:
 def missing_days(fx: DataFrame, start: str, end: str) -> DataFrame:
     """Calendar days in [start, end] with no FX rows (the input-exists gate
     as a report).  The day range is generated, the present days are a
-    distinct projection, and the two meet in an anti join."""
-    spark = fx.sparkSession
-    expected = spark.range(1).select(expected_days(start, end).alias("ds"))
-    present = fx.select("ds").distinct()
-    return expected.join(present, on="ds", how="left_anti")
-
-
-def latest_day(fx: DataFrame) -> DataFrame:
-    """Rows of the most recent ``ds`` (scalar subquery on max(ds))."""
-    return fx.filter(F.col("ds") == fx.select(F.max("ds")).scalar())
-
-
-def redelivered_fx_feed(days: DataFrame) -> DataFrame:
-    """A raw FX feed with duplicate deliveries, the input ``fx_bronze``
-    cleans: every day's matrix, plus a second delivery on odd days of month
-    with rates truncated to 4 decimals (the lower rate survives dedupe)."""
-    rates = fx_cross_rates(days)
-    again = (rates.filter(F.dayofmonth("ds") % 2 == 1)
-             .withColumn("rate", F.floor(F.col("rate") * 10000) / 10000))
-    return rates.unionByName(again)
+    distinct projection of that range only, and the two meet in an anti join."""
+    expected = fx.sparkSession.range(1).select(expected_days(start, end).alias("ds"))
+    present = fx.filter(F.col("ds").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    return expected.join(present.select("ds").distinct(), on="ds", how="left_anti")
+
+
+def latest_day(fx: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """Rows of the most recent ``ds``.  ``days`` (default: ``fx`` itself) is
+    where the maximum is looked up; the raw feed's ``ds`` partition column
+    answers it without reading or de-duplicating a rate."""
+    newest = (fx if days is None else days).select(F.max("ds")).scalar()
+    return fx.filter(F.col("ds") == newest)

@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import is_small, maybe_broadcast
 from ..schemas import TRADES_ENRICHED_COLUMNS
 
-# A symbol master is a dimension (listed instruments); beyond this many rows
-# the join is left to the optimizer instead of being broadcast.
-SYMBOLS_BROADCAST_MAX_ROWS = 200_000
 
-
-def enrich_trades(trades: DataFrame, symbols: DataFrame,
+def scored_trades(trades: DataFrame, symbols: DataFrame,
                   with_processed_ts: bool = True) -> DataFrame:
     """Left-join trades to the symbol master and score each row.
 
@@ -25,8 +20,7 @@ def enrich_trades(trades: DataFrame, symbols: DataFrame,
       count as false); then −10 when sector is missing.  An unlisted symbol
       therefore scores 40, a listed one without sector 90.
     """
-    sym = maybe_broadcast(
-        symbols.select("symbol", "exchange", "sector"), SYMBOLS_BROADCAST_MAX_ROWS)
+    sym = symbols.select("symbol", "exchange", "sector")
     j = trades.join(sym, on="symbol", how="left")
     is_valid = ((F.col("price") > 0) & (F.col("qty") > 0)
                 & F.col("symbol").isNotNull() & F.col("exchange").isNotNull())
@@ -60,52 +54,35 @@ def valid_trades(enriched: DataFrame, start: str | None = None,
     return df.select(F.col("event_date").alias("ds"), *columns)
 
 
-# FX rows are one per (day, currency): bounded by the calendar, not by trades.
-FX_BROADCAST_MAX_ROWS = 1_000_000
-
-
-# Hot portfolios are at most (trades / hot_rows); this bounds their broadcast.
-HOT_KEYS_MAX_ROWS = 100_000
+# A portfolio's trades meet their owner in this many join keys.
+OWNER_SALTS = 16
 
 
 def join_owner_ccy(valid: DataFrame, portfolios: DataFrame,
-                   hot_rows: int | None = None) -> DataFrame:
+                   salts: int = OWNER_SALTS) -> DataFrame:
     """valid trades ⋈ portfolios (base_ccy) on portfolio_id.
 
-    With ``hot_rows`` set, portfolios with more than that many trades are
-    split off: their trades join a broadcast of just those portfolios (no
-    shuffle, so a portfolio with a third of all trades never lands in one
-    task), the rest take the ordinary shuffle join.  The hot set is found
-    with one aggregation (partial counts) and is bounded by
-    trades / ``hot_rows``; if it still exceeds ``HOT_KEYS_MAX_ROWS`` the plain
-    join (with AQE skew handling) is used.  Results are identical.
+    The join is per trade, so nothing can be combined first, and one portfolio
+    may hold a third of all trades.  The (much smaller) portfolio side is
+    repeated once per salt and a trade takes the salt of its id, so the trades
+    of a hot portfolio are spread over ``salts`` keys before AQE splits what is
+    still skewed.
     """
-    owners = portfolios.select("portfolio_id", "base_ccy")
-    if hot_rows is None:
-        return valid.join(owners, on="portfolio_id", how="inner")
-    hot = (valid.groupBy("portfolio_id").agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") > hot_rows).select("portfolio_id"))
-    if not is_small(hot, HOT_KEYS_MAX_ROWS):
-        return valid.join(owners, on="portfolio_id", how="inner")
-    hot_b = F.broadcast(hot)
-    hot_owners = F.broadcast(owners.join(hot_b, on="portfolio_id", how="left_semi"))
-    cold = (valid.join(hot_b, on="portfolio_id", how="left_anti")
-            .join(owners, on="portfolio_id", how="inner"))
-    return cold.unionByName(valid.join(hot_owners, on="portfolio_id", how="inner"))
+    owners = portfolios.select("portfolio_id", "base_ccy", F.explode(
+        F.array(*[F.lit(i) for i in range(salts)])).alias("_salt"))
+    salted = valid.withColumn("_salt", F.pmod(F.hash("trade_id"), F.lit(salts)))
+    return salted.join(owners, on=["portfolio_id", "_salt"], how="inner").drop("_salt")
 
 
 def to_base_currency(valid: DataFrame, portfolios: DataFrame, fx: DataFrame,
-                     home_ccy: str = "USD", hot_rows: int | None = None) -> DataFrame:
+                     home_ccy: str = "USD") -> DataFrame:
     """Trade notionals converted to the portfolio's base currency at the
     day's rate (``fx``: base_ccy, quote_ccy, rate, ds; rate = quote units per
     one base unit).  Days without a rate give NULL, never a dropped trade.
-    ``hot_rows``: split hot portfolios off the shuffle (``join_owner_ccy``).
     """
-    rates = maybe_broadcast(
-        fx.filter(F.col("base_ccy") == home_ccy)
-        .select("ds", F.col("quote_ccy").alias("base_ccy"), F.col("rate").alias("fx_rate")),
-        FX_BROADCAST_MAX_ROWS)
-    j = (join_owner_ccy(valid, portfolios, hot_rows)
+    rates = (fx.filter(F.col("base_ccy") == home_ccy)
+             .select("ds", F.col("quote_ccy").alias("base_ccy"), F.col("rate").alias("fx_rate")))
+    j = (join_owner_ccy(valid, portfolios)
          .join(rates, on=["ds", "base_ccy"], how="left"))
     return j.select("trade_id", "portfolio_id", "ds", "base_ccy", "notional_usd",
                     "fx_rate", (F.col("notional_usd") * F.col("fx_rate"))

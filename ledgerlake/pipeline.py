@@ -10,8 +10,10 @@ inputs write nothing.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from . import sinks
@@ -53,66 +55,81 @@ def ingest_fx(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
     raw = files.read_fx_csv(spark, fx_csv_dir, start, end)
     if not sinks.has_rows(raw):
         return 0
-    return sinks.write_partitioned(bronze.transform_bronze_fx_rates(raw), paths.fx, ["ds"])
+    return sinks.replace_days(bronze.clean_rates(raw), paths.fx, "ds", start, end)
 
 
 def ingest_symbols(spark: SparkSession, paths: LakePaths, symbols_csv: str) -> int:
     raw = files.read_symbols_csv(spark, symbols_csv)
     if not sinks.has_rows(raw):          # never replace the master with nothing
         return 0
-    return sinks.write_table(bronze.transform_bronze_symbols(raw), paths.symbols)
+    return sinks.write_table(bronze.clean_symbols(raw), paths.symbols)
+
+
+#: Trades loaded by the batch run; streams write feeds of their own.
+BATCH_FEED = "batch"
 
 
 def build_silver(spark: SparkSession, paths: LakePaths, trades: DataFrame,
                  start: str, end: str) -> int:
+    """Silver for the days [start, end], replaced as a whole: a trade that
+    was re-booked or withdrawn is gone.  Partitioned by day and feed; inside a
+    day's files trades are sorted by symbol, so row groups are pruned by it."""
     t = files.trades_scan(trades, start, end)
     if not sinks.has_rows(t):
         return 0
     sym = sinks.read_layer(spark, paths.symbols, [f.name for f in BR_SYMBOLS.fields])
-    enriched = silver.enrich_trades(t, sym)
-    return sinks.write_partitioned(enriched, paths.silver, ["event_date", "symbol"])
+    enriched = silver.scored_trades(t, sym)
+    return sinks.replace_days(enriched, paths.silver, "event_date", start, end, BATCH_FEED)
 
 
-def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return sinks.read_layer(spark, paths.silver, TRADES_ENRICHED_COLUMNS)
+def read_silver(spark: SparkSession, paths: LakePaths, start: str | None = None,
+                end: str | None = None) -> DataFrame:
+    """All feeds of the silver layer."""
+    s = sinks.read_layer(spark, paths.silver, TRADES_ENRICHED_COLUMNS)
+    return files.trades_scan(s, start, end)
 
 
 FACT_KINDS = ("pnl", "liquidity", "activity")
 
 
-def build_fact(spark: SparkSession, paths: LakePaths, kind: str, start: str,
-               end: str, silver_df: DataFrame | None = None) -> int:
-    """One gold fact for [start, end] from the written silver layer (the date
-    range prunes silver's ``event_date`` partitions).  ``silver_df`` lets
-    several facts share one read (one partition listing, one input check)."""
-    s = silver_df
-    if s is None:
-        s = read_silver(spark, paths)
-        if not sinks.has_rows(silver.valid_trades(s, start, end, ("portfolio_id",))):
-            return 0
+FACT_COLUMNS = {"pnl": FACT_PNL_COLUMNS, "liquidity": FACT_LIQUIDITY_COLUMNS,
+                "activity": FACT_ACTIVITY_COLUMNS}
+
+
+def fact(kind: str, trades: DataFrame) -> DataFrame:
+    """One gold fact from silver trades."""
     base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
     if kind == "pnl":
-        df, path = gold.fact_pnl_daily(silver.valid_trades(s, start, end, base)), paths.pnl
-    elif kind == "liquidity":
-        df = gold.fact_liquidity(
-            silver.valid_trades(s, start, end, base + ("exchange", "sector")))
-        path = paths.liquidity
-    elif kind == "activity":
-        df = gold.fact_user_activity(silver.valid_trades(s, start, end, base))
-        path = paths.activity
-    else:
-        raise ValueError(f"unknown fact {kind!r}")
-    return sinks.write_partitioned(df, path, ["ds"])
+        return gold.fact_pnl_daily(silver.valid_trades(trades, columns=base))
+    if kind == "liquidity":
+        return gold.fact_liquidity(silver.valid_trades(trades, columns=base + ("exchange", "sector")))
+    if kind == "activity":
+        return gold.fact_user_activity(silver.valid_trades(trades, columns=base))
+    raise ValueError(f"unknown fact {kind!r}")
+
+
+def build_fact(spark: SparkSession, paths: LakePaths, kind: str, start: str,
+               end: str) -> int:
+    """One gold fact for [start, end] from the written silver layer (the date
+    range prunes silver's partitions).  The days are replaced as a whole: one
+    whose trades have all become invalid loses its old facts."""
+    s = read_silver(spark, paths, start, end)
+    if not sinks.has_rows(s):
+        return 0
+    return sinks.replace_days(fact(kind, s), getattr(paths, kind), "ds", start, end)
 
 
 def build_gold(spark: SparkSession, paths: LakePaths, start: str,
                end: str) -> dict[str, int]:
-    """All gold facts of the window over one shared read of silver."""
-    s = read_silver(spark, paths)
-    if not sinks.has_rows(silver.valid_trades(s, start, end, ("portfolio_id",))):
+    """The gold facts of the window, submitted side by side: they are
+    independent, and one's tail leaves room for the next."""
+    if not sinks.has_rows(read_silver(spark, paths, start, end)):
         return {f"gold.{k}": 0 for k in FACT_KINDS}
-    return {f"gold.{k}": build_fact(spark, paths, k, start, end, silver_df=s)
-            for k in FACT_KINDS}
+    build = inheritable_thread_target(spark)(
+        lambda k: build_fact(spark, paths, k, start, end))
+    with ThreadPoolExecutor(len(FACT_KINDS)) as pool:
+        counts = list(pool.map(build, FACT_KINDS))
+    return {f"gold.{k}": n for k, n in zip(FACT_KINDS, counts)}
 
 
 def run(spark: SparkSession, trades: DataFrame, fx_csv_dir: str,
@@ -131,19 +148,39 @@ def run(spark: SparkSession, trades: DataFrame, fx_csv_dir: str,
     return counts
 
 
-def read_fact(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    cols = {"pnl": FACT_PNL_COLUMNS, "liquidity": FACT_LIQUIDITY_COLUMNS,
-            "activity": FACT_ACTIVITY_COLUMNS}[kind]
-    return sinks.read_layer(spark, path, cols)
+def read_fact(spark: SparkSession, paths: LakePaths, kind: str) -> DataFrame:
+    return sinks.read_layer(spark, getattr(paths, kind), FACT_COLUMNS[kind])
 
 
 def read_bronze_fx(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return sinks.read_layer(spark, paths.fx, [f.name for f in BR_FX_RATES.fields])
 
 
-def days_between(spark: SparkSession, start: str, end: str) -> DataFrame:
-    return spark.range(1).select(bronze.expected_days(start, end).alias("ds"))
+LAYER_TABLES = {
+    "bronze_v1.br_fx_rates": "fx", "bronze_v1.br_symbols": "symbols",
+    "silver_v1.trades_enriched": "silver", "gold_v1.fact_pnl_daily": "pnl",
+    "gold_v1.fact_liquidity": "liquidity", "gold_v1.fact_user_activity": "activity",
+}
+
+
+#: layers whose files lie in one folder per day
+LAYER_PARTITIONS = {"fx": "ds", "silver": "event_date", "pnl": "ds", "liquidity": "ds", "activity": "ds"}
+
+
+def register_tables(spark: SparkSession, paths: LakePaths) -> list[str]:
+    """Names the written layers as tables of the session's catalog, one
+    database per layer, so that reports can be written in SQL by name.  Call it
+    again after new days were written: that refreshes the file listing."""
+    for table, layer in LAYER_TABLES.items():
+        path = getattr(paths, layer)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.partition('.')[0]}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
+        if LAYER_PARTITIONS.get(layer):
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.catalog.refreshTable(table)
+    return sorted(LAYER_TABLES)
 
 
 __all__ = ["run", "LakePaths", "ingest_bronze", "build_silver", "build_fact",
-           "build_gold", "read_silver", "read_fact", "read_bronze_fx", "days_between"]
+           "build_gold", "fact", "read_silver", "read_fact", "read_bronze_fx",
+           "register_tables"]

@@ -1,17 +1,20 @@
 """The query catalog: every operator and report as ``(spark, sf_dir) → DataFrame``.
 
 Each entry reads the driver's tables under ``sf_dir`` and builds the whole
-lineage lazily (fixtures → silver → gold → report); nothing is collected.
-Floating outputs are rounded HALF_UP (6 decimals unless the report rounds
-itself) so results do not depend on the order a shuffle adds doubles in.
-Timestamps stamped at run time (``ingestion_ts``, ``processed_ts``) are left
-out of compared outputs.
+lineage lazily (fixtures → silver → gold → report): no job runs before the
+result is asked for.  Only the queries about sinks and file scans (``LANDING``)
+write files first, because that is what they show.  Aggregated floating columns
+are rounded HALF_UP to 6 decimals unless the report rounds itself; columns that
+are passed on keep all digits.  Timestamps stamped at run time
+(``ingestion_ts``, ``processed_ts``) are left out of compared outputs.
+
+Scheduled runs build the gold facts as written layers (``pipeline.build_gold``)
+and report on those; here a report's plan contains its fact.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Callable
 from functools import cached_property
 
@@ -22,8 +25,7 @@ from .. import AS_OF_DEFAULT
 from .. import sinks
 from ..functions.exprs import stabilize
 from ..operators import bronze, gold, silver
-from ..schemas import (FACT_ACTIVITY_COLUMNS, FACT_LIQUIDITY_COLUMNS,
-                       FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS)
+from ..schemas import FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS
 from ..session import scratch_path
 from ..sources import files, fixtures
 from . import documented, regional, risk, users
@@ -33,41 +35,18 @@ WINDOW_DAYS = 30
 # First day of the 30-day window ending at AS_OF (ds >= as_of - 30 days).
 WINDOW_START = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=WINDOW_DAYS)).isoformat()
 
+# Aggregated floating columns of the facts.
+PNL_MEASURES = ["avg_buy_price", "avg_sell_price", "realized_pnl_usd", "notional_traded_usd"]
+LIQUIDITY_MEASURES = ["total_turnover_usd", "avg_trade_size", "price_volatility"]
+ACTIVITY_MEASURES = ["total_notional_usd", "buy_sell_ratio"]
 
-class Lake:
-    """Lazily built layers over one scale-factor directory.
 
-    ``pnl`` / ``liquidity`` / ``activity`` are the gold facts as plans over
-    the raw tables.  ``gold_*`` are the same facts *written once* to the
-    shared scratch folder (partitioned by ``ds``) and read back: reports read
-    those, as the reference's reports read the gold tables — the facts are
-    computed once per session, the 7/30-day windows prune ``ds``
-    partitions, and lineage is cut at the layer boundary.
-    """
+class Lake:
+    """The layers over one scale-factor directory, as lazy plans."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self.t = fixtures.load(spark, sf_dir, as_of)
-
-    def _materialize(self, name: str, df: DataFrame, columns: list[str]) -> DataFrame:
-        path = scratch_path(self.spark, f"gold-{name}")
-        if sinks.write_partitioned(df, path, ["ds"]) == 0:
-            return df                       # nothing written: keep the plan
-        return sinks.read_layer(self.spark, path, columns)
-
-    @cached_property
-    def gold_pnl(self) -> DataFrame:
-        return self._materialize("fact_pnl_daily", self.pnl, FACT_PNL_COLUMNS)
-
-    @cached_property
-    def gold_activity(self) -> DataFrame:
-        return self._materialize("fact_user_activity", self.activity,
-                                 FACT_ACTIVITY_COLUMNS)
-
-    @cached_property
-    def gold_liquidity(self) -> DataFrame:
-        return self._materialize("fact_liquidity", self.liquidity,
-                                 FACT_LIQUIDITY_COLUMNS)
+        self.t = fixtures.load(spark, sf_dir)
 
     @property
     def users(self) -> DataFrame:
@@ -79,8 +58,7 @@ class Lake:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return silver.enrich_trades(self.t.trades, self.t.symbols,
-                                    with_processed_ts=False)
+        return silver.scored_trades(self.t.trades, self.t.symbols, with_processed_ts=False)
 
     def valid(self, *extra: str) -> DataFrame:
         cols = ("portfolio_id", "symbol", "side", "price_usd", "qty",
@@ -100,96 +78,99 @@ class Lake:
         return gold.fact_user_activity(self.valid())
 
     @cached_property
-    def trading_days(self) -> DataFrame:
-        return fixtures.trading_days(self.t.trades)
-
+    def rates(self) -> DataFrame:
+        return bronze.clean_rates(self.t.rate_feed, with_ingestion_ts=False)
 
-_LAKES: dict[tuple[str, str, str], Lake] = {}
-
-
-def lake_for(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Lake:
-    """One ``Lake`` per (session, directory, as-of date): plans are built and
-    gold layers written once, then shared by every report of the session."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), as_of)
-    lake = _LAKES.get(key)
-    if lake is None or lake.spark is not spark:
-        lake = _LAKES[key] = Lake(spark, sf_dir, as_of)
-    return lake
+    def landed_rates(self) -> DataFrame:
+        """The rate feed landed as daily CSV files, and read again."""
+        path = scratch_path(self.spark, "landed-rates")
+        files.write_fx_csv(self.t.rate_feed, path)
+        return files.read_fx_csv(self.spark, path)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
+#: queries that write files when they are built
+LANDING = {"fx_bronze", "fx_missing_days", "fx_latest_day", "symbols_bronze",
+           "roundtrip_silver", "roundtrip_fact_pnl"}
 
 
-def query(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
-    name = fn.__name__
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return stabilize(fn(lake_for(spark, sf_dir)))
+def query(*rounded: str):
+    """Registers a query; ``rounded`` names its aggregated floating columns."""
+    def register(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return stabilize(fn(Lake(spark, sf_dir)), rounded)
 
-    run.__name__ = name
-    run.__doc__ = fn.__doc__
-    _QUERIES[name] = run
-    return fn
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        _QUERIES[fn.__name__] = run
+        return fn
+    return register
 
 
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-# --- bronze -----------------------------------------------------------------
+def last_day(L: Lake) -> dt.date:
+    """The last day that carries trades (a re-run needs a day to re-run)."""
+    return L.t.trades.agg(F.max("event_date")).first()[0]
+
 
-@query
-def fx_cross_rates(L: Lake) -> DataFrame:
-    """Cross-rate matrix for every trading day."""
-    return bronze.fx_cross_rates(L.trading_days)
+def corrected(trades: DataFrame) -> DataFrame:
+    """A day's trades as delivered again: those with an even id are withdrawn,
+    the others re-booked to the first symbol."""
+    return (trades.filter(F.col("trade_id").cast("bigint") % 2 == 1)
+            .withColumn("symbol", F.lit("SYM_00")))
 
 
-@query
+# --- bronze -----------------------------------------------------------------
+
+@query()
 def fx_bronze(L: Lake) -> DataFrame:
-    """Raw FX feed with duplicate deliveries → typed, de-duplicated."""
-    raw = bronze.redelivered_fx_feed(L.trading_days)
-    return bronze.transform_bronze_fx_rates(raw, with_ingestion_ts=False)
+    """Daily rate CSVs → typed, one rate per (base, quote, day), written by day."""
+    rates = bronze.clean_rates(L.landed_rates(), with_ingestion_ts=False)
+    path = scratch_path(L.spark, "bronze-rates")
+    sinks.write_partitioned(rates, path, ["ds"])
+    return sinks.read_layer(L.spark, path, ["base_ccy", "quote_ccy", "rate", "ds"])
 
 
-@query
+@query()
 def fx_missing_days(L: Lake) -> DataFrame:
     """Days of the 30-day window ending at as_of with no FX file."""
-    fx = bronze.fx_cross_rates(L.trading_days)
-    return bronze.missing_days(fx, WINDOW_START, L.as_of)
+    return bronze.missing_days(L.landed_rates(), WINDOW_START, L.as_of)
 
 
-@query
+@query()
 def fx_latest_day(L: Lake) -> DataFrame:
     """The latest day's FX rows."""
-    raw = bronze.redelivered_fx_feed(L.trading_days)
-    fx = bronze.transform_bronze_fx_rates(raw, with_ingestion_ts=False)
-    return bronze.latest_day(fx)
+    raw = L.landed_rates()
+    return bronze.clean_rates(bronze.latest_day(raw), with_ingestion_ts=False)
 
 
-@query
+@query()
 def symbols_bronze(L: Lake) -> DataFrame:
-    """Symbol master delivered with duplicates → typed, one row per symbol."""
-    raw = L.t.symbols
-    again = raw.filter(F.substring("symbol", 5, 2).cast("int") % 2 == 0)
-    return bronze.transform_bronze_symbols(raw.unionByName(again),
-                                           with_ingestion_ts=False)
+    """Symbol CSV with duplicates → typed, one row per symbol, full refresh."""
+    landed, path = scratch_path(L.spark, "landed-symbols"), scratch_path(L.spark, "bronze-symbols")
+    files.write_symbols_csv(L.t.symbol_feed, landed)
+    raw = files.read_symbols_csv(L.spark, landed)
+    sinks.write_table(bronze.clean_symbols(raw, with_ingestion_ts=False), path)
+    return sinks.read_layer(L.spark, path, ["symbol", "exchange", "sector", "tick_size"])
 
 
 # --- silver -----------------------------------------------------------------
 
-@query
+@query()
 def trades_scan(L: Lake) -> DataFrame:
     """Trades in an inclusive date range (pushed into the scan)."""
     return files.trades_scan(L.t.trades, WINDOW_START, L.as_of)
 
 
-@query
+@query()
 def trades_enriched(L: Lake) -> DataFrame:
     return L.enriched
 
 
-@query
+@query()
 def silver_valid_trades(L: Lake) -> DataFrame:
     return silver.valid_trades(L.enriched, WINDOW_START, L.as_of,
                                columns=("portfolio_id", "symbol", "side",
@@ -197,224 +178,252 @@ def silver_valid_trades(L: Lake) -> DataFrame:
                                         "is_valid"))
 
 
-@query
+@query()
 def quality_score_histogram(L: Lake) -> DataFrame:
     return silver.quality_score_histogram(L.enriched)
 
 
-@query
+@query()
 def roundtrip_silver(L: Lake) -> DataFrame:
-    """Write silver partitioned by (event_date, symbol), read it back."""
-    path = scratch_path(L.spark, "trades_enriched")
-    sinks.write_partitioned(L.enriched, path, ["event_date", "symbol"])
+    """Silver written by day, then its last two days run again on corrected
+    trades (the day before the last withdrawn altogether), and read back."""
+    path, last = scratch_path(L.spark, "trades_enriched"), last_day(L)
+    days = L.t.trades.agg(F.min("event_date")).first()[0]
+    sinks.replace_days(L.enriched, path, "event_date", str(days), str(last), "batch")
+    again = corrected(L.t.trades.filter(F.col("event_date") == F.lit(last)))
+    scored = silver.scored_trades(again, L.t.symbols, with_processed_ts=False)
+    sinks.replace_days(scored, path, "event_date", str(last - dt.timedelta(days=1)), str(last), "batch")
     cols = [c for c in TRADES_ENRICHED_COLUMNS if c != "processed_ts"]
     return sinks.read_layer(L.spark, path, cols)
 
 
 # --- gold -------------------------------------------------------------------
 
-@query
+@query(*PNL_MEASURES)
 def fact_pnl_daily(L: Lake) -> DataFrame:
     return L.pnl
 
 
-@query
+@query(*PNL_MEASURES)
 def pnl_outer_join(L: Lake) -> DataFrame:
     return gold.pnl_outer_join(L.valid())
 
 
-@query
+@query(*LIQUIDITY_MEASURES)
 def fact_liquidity(L: Lake) -> DataFrame:
     return L.liquidity
 
 
-@query
+@query(*ACTIVITY_MEASURES)
 def fact_user_activity(L: Lake) -> DataFrame:
     return L.activity
 
 
-@query
+@query()
 def most_traded_symbol(L: Lake) -> DataFrame:
     return gold.most_traded_symbol(L.valid())
 
 
-@query
+@query(*PNL_MEASURES)
 def top_pnl_rows(L: Lake) -> DataFrame:
-    return L.gold_pnl.orderBy(F.desc("realized_pnl_usd"), "ds", "portfolio_id",
+    return L.pnl.orderBy(F.desc("realized_pnl_usd"), "ds", "portfolio_id",
                          "symbol").limit(10)
 
 
-@query
+@query(*LIQUIDITY_MEASURES)
 def top_turnover_rows(L: Lake) -> DataFrame:
-    return L.gold_liquidity.orderBy(F.desc("total_turnover_usd"), "ds",
+    return L.liquidity.orderBy(F.desc("total_turnover_usd"), "ds",
                                "symbol").limit(10)
 
 
-@query
+@query(*ACTIVITY_MEASURES)
 def top_activity_rows(L: Lake) -> DataFrame:
-    return L.gold_activity.orderBy(F.desc("activity_score"), "ds",
+    return L.activity.orderBy(F.desc("activity_score"), "ds",
                               "portfolio_id").limit(10)
 
 
-@query
+@query(*PNL_MEASURES)
 def roundtrip_fact_pnl(L: Lake) -> DataFrame:
-    """Write the PnL fact by ds, re-run one day, read back: other days stay."""
-    path = scratch_path(L.spark, "fact_pnl_daily")
+    """The PnL fact written by day, then its last two days run again on
+    corrected trades, and read back: other days stay."""
+    path, last = scratch_path(L.spark, "fact_pnl_daily"), last_day(L)
     sinks.write_partitioned(L.pnl, path, ["ds"])
-    last = L.pnl.filter(F.col("ds") == F.lit("2024-01-30").cast("date"))
-    sinks.write_partitioned(last, path, ["ds"])
+    again = corrected(L.t.trades.filter(F.col("event_date") == F.lit(last)))
+    fact = gold.fact_pnl_daily(silver.valid_trades(silver.scored_trades(again, L.t.symbols)))
+    sinks.replace_days(fact, path, "ds", str(last - dt.timedelta(days=1)), str(last))
     return sinks.read_layer(L.spark, path, FACT_PNL_COLUMNS)
 
 
-@query
+@query()
 def daily_bars(L: Lake) -> DataFrame:
     return gold.daily_bars(L.valid("ts", "trade_id"))
 
 
-@query
+@query("turnover_usd")
 def sector_turnover(L: Lake) -> DataFrame:
-    return gold.sector_turnover(L.gold_liquidity)
+    return gold.sector_turnover(L.liquidity)
 
 
-@query
+@query()
 def trades_in_base_ccy(L: Lake) -> DataFrame:
     """Valid trades converted to the portfolio's base currency (bronze FX)."""
-    raw = bronze.redelivered_fx_feed(L.trading_days)
-    fx = bronze.transform_bronze_fx_rates(raw, with_ingestion_ts=False)
-    v = L.valid("trade_id")
-    return silver.to_base_currency(v, L.portfolios, fx)
+    return silver.to_base_currency(L.valid("trade_id"), L.portfolios, L.rates)
 
 
-@query
+@query("holdings_value_usd")
 def holdings_value(L: Lake) -> DataFrame:
-    """Portfolio holdings marked to the latest daily close."""
-    bars = gold.daily_bars(L.valid("ts", "trade_id"))
-    return gold.holdings_value(L.portfolios, bars, L.as_of)
+    """Portfolio holdings marked to the latest price."""
+    return gold.holdings_value(L.portfolios, L.valid("ts", "trade_id"), L.as_of)
 
 
-@query
+@query()
 def engagement_bands(L: Lake) -> DataFrame:
-    return gold.engagement_bands(L.gold_activity)
+    return gold.engagement_bands(L.activity)
 
 
-@query
+@query("total_turnover_usd")
 def regional_symbol_activity(L: Lake) -> DataFrame:
     return gold.regional_symbol_activity(L.valid(), L.portfolios, L.users)
 
 
+# --- a larger feed: lineitem ⋈ orders ⋈ part -----------------------------------
+
+def _line_trades(L: Lake, *extra: str) -> DataFrame:
+    scored = silver.scored_trades(
+        fixtures.lineitem_trades(L.spark, L.sf_dir),
+        fixtures.brand_master(fixtures.read_table(L.spark, L.sf_dir, "part")), with_processed_ts=False)
+    cols = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd", *extra)
+    return silver.valid_trades(scored, columns=cols)
+
+
+@query(*PNL_MEASURES)
+def lineitem_fact_pnl_daily(L: Lake) -> DataFrame:
+    return gold.fact_pnl_daily(_line_trades(L))
+
+
+@query(*LIQUIDITY_MEASURES)
+def lineitem_fact_liquidity(L: Lake) -> DataFrame:
+    return gold.fact_liquidity(_line_trades(L, "exchange", "sector"))
+
+
+@query(*ACTIVITY_MEASURES)
+def lineitem_fact_user_activity(L: Lake) -> DataFrame:
+    return gold.fact_user_activity(_line_trades(L))
+
+
 # --- reports: users ---------------------------------------------------------
 
-@query
+@query("total_pnl_usd", "total_volume_usd")
 def top_profitable_users(L: Lake) -> DataFrame:
-    return users.top_profitable_users(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return users.top_profitable_users(L.users, L.portfolios, L.pnl, L.as_of)
 
 
-@query
+@query()
 def risk_profile_performance(L: Lake) -> DataFrame:
-    return users.risk_profile_performance(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return users.risk_profile_performance(L.users, L.portfolios, L.pnl, L.as_of)
 
 
-@query
+@query()
 def age_group_activity(L: Lake) -> DataFrame:
-    return users.age_group_activity(L.users, L.portfolios, L.gold_activity, L.as_of)
+    return users.age_group_activity(L.users, L.portfolios, L.activity, L.as_of)
 
 
-@query
+@query()
 def income_bracket_activity(L: Lake) -> DataFrame:
-    return users.income_bracket_activity(L.users, L.portfolios, L.gold_activity, L.as_of)
+    return users.income_bracket_activity(L.users, L.portfolios, L.activity, L.as_of)
 
 
-@query
+@query()
 def activation_rate(L: Lake) -> DataFrame:
-    return users.activation_rate(L.users, L.portfolios, L.gold_activity, L.as_of)
+    return users.activation_rate(L.users, L.portfolios, L.activity, L.as_of)
 
 
-@query
+@query("avg_pnl")
 def pnl_by_risk_profile(L: Lake) -> DataFrame:
-    return documented.pnl_by_risk_profile(L.users, L.portfolios, L.gold_pnl)
+    return documented.pnl_by_risk_profile(L.users, L.portfolios, L.pnl)
 
 
-@query
+@query("avg_trades", "avg_activity")
 def activity_by_age_band(L: Lake) -> DataFrame:
-    return documented.activity_by_age_band(L.users, L.portfolios, L.gold_activity)
+    return documented.activity_by_age_band(L.users, L.portfolios, L.activity)
 
 
-@query
+@query("avg_activity_score")
 def activity_by_age_split(L: Lake) -> DataFrame:
-    return documented.activity_by_age_split(L.users, L.portfolios, L.gold_activity)
+    return documented.activity_by_age_split(L.users, L.portfolios, L.activity)
 
 
 # --- reports: regional ------------------------------------------------------
 
-@query
+@query()
 def regional_volume(L: Lake) -> DataFrame:
-    return regional.regional_volume(L.users, L.portfolios, L.gold_activity, L.as_of)
+    return regional.regional_volume(L.users, L.portfolios, L.activity, L.as_of)
 
 
-@query
+@query()
 def regional_profitability(L: Lake) -> DataFrame:
-    return regional.regional_profitability(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return regional.regional_profitability(L.users, L.portfolios, L.pnl, L.as_of)
 
 
-@query
+@query()
 def regional_risk_distribution(L: Lake) -> DataFrame:
     return regional.regional_risk_distribution(L.users, L.portfolios,
-                                               L.gold_activity, L.as_of)
+                                               L.activity, L.as_of)
 
 
-@query
+@query()
 def regional_symbol_preferences(L: Lake) -> DataFrame:
-    return regional.regional_symbol_preferences(L.users, L.portfolios, L.gold_pnl,
+    return regional.regional_symbol_preferences(L.users, L.portfolios, L.pnl,
                                                 L.as_of)
 
 
-@query
+@query("total_pnl_usd", "pnl_last_7d_usd")
 def pnl_by_region(L: Lake) -> DataFrame:
-    return documented.pnl_by_region(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return documented.pnl_by_region(L.users, L.portfolios, L.pnl, L.as_of)
 
 
 # --- reports: risk ----------------------------------------------------------
 
-@query
+@query()
 def portfolio_concentration(L: Lake) -> DataFrame:
-    return risk.portfolio_concentration(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return risk.portfolio_concentration(L.users, L.portfolios, L.pnl, L.as_of)
 
 
-@query
+@query("total_volume_30d")
 def high_risk_users(L: Lake) -> DataFrame:
-    return risk.high_risk_users(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return risk.high_risk_users(L.users, L.portfolios, L.pnl, L.as_of)
 
 
-@query
+@query()
 def loss_making_users(L: Lake) -> DataFrame:
-    return risk.loss_making_users(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return risk.loss_making_users(L.users, L.portfolios, L.pnl, L.as_of)
 
 
-@query
+@query()
 def risk_mismatch(L: Lake) -> DataFrame:
-    return risk.risk_mismatch(L.users, L.portfolios, L.gold_pnl, L.as_of)
+    return risk.risk_mismatch(L.users, L.portfolios, L.pnl, L.as_of)
 
 
 # --- reports on the data ----------------------------------------------------
 
-@query
+@query()
 def users_by_region(L: Lake) -> DataFrame:
     return L.users.groupBy("region").agg(F.count(F.lit(1)).alias("num_users"))
 
 
-@query
+@query()
 def users_by_risk_profile(L: Lake) -> DataFrame:
     return L.users.groupBy("risk_profile").agg(F.count(F.lit(1)).alias("num_users"))
 
 
-@query
+@query()
 def active_portfolios(L: Lake) -> DataFrame:
     return L.portfolios.agg(
         F.count(F.lit(1)).alias("total_portfolios"),
         F.count_if(F.col("is_active")).alias("active_portfolios"))
 
 
-@query
+@query()
 def table_counts(L: Lake) -> DataFrame:
     def n(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -424,13 +433,13 @@ def table_counts(L: Lake) -> DataFrame:
             .unionByName(n(L.t.symbols, "symbols")))
 
 
-@query
+@query()
 def portfolio_ids(L: Lake) -> DataFrame:
     """Zero-padded portfolio and owner ids with currency and status."""
     return L.portfolios.select("portfolio_id", "user_id", "base_ccy", "is_active")
 
 
-@query
+@query("notional_usd")
 def weekday_trades(L: Lake) -> DataFrame:
     """Valid trades on weekdays (Mon–Fri) per day."""
     v = L.valid().filter(F.weekday("ds") < 5)
@@ -439,4 +448,4 @@ def weekday_trades(L: Lake) -> DataFrame:
         F.sum("notional_usd").alias("notional_usd"))
 
 
-__all__ = ["queries", "Lake", "lake_for", "AS_OF"]
+__all__ = ["queries", "Lake", "LANDING", "AS_OF"]

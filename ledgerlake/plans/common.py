@@ -27,10 +27,10 @@ def window_start(as_of: str, days: int) -> Column:
 
 
 def since(fact: DataFrame, as_of: str | None, days: int | None) -> DataFrame:
-    """Rows with ``ds >= as_of − days`` (no filter when days is None)."""
+    """Rows with ``as_of − days <= ds <= as_of`` (no filter when days is None)."""
     if days is None or as_of is None:
         return fact
-    return fact.filter(F.col("ds") >= window_start(as_of, days))
+    return fact.filter(F.col("ds").between(window_start(as_of, days), F.lit(as_of).cast("date")))
 
 
 def verified(users: DataFrame) -> DataFrame:
@@ -48,11 +48,13 @@ def user_portfolios(users: DataFrame, portfolios: DataFrame,
     return u.join(owners(portfolios), on="user_id", how="inner")
 
 
-def per_grain(fact: DataFrame, keys: list[str], sums: dict[str, Column],
-              rows: str = "n_rows") -> DataFrame:
-    """Pre-aggregate a fact to ``keys`` with the given sums and a row count."""
-    aggs = [expr.alias(name) for name, expr in sums.items()]
-    return fact.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias(rows))
+def per_grain(fact: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Pre-aggregate a fact to ``keys``: each of ``sums`` (name → measure)
+    becomes its sum and, as ``n_<name>``, the number of its non-null values."""
+    aggs = []
+    for name, measure in sums.items():
+        aggs += [F.sum(measure).alias(name), F.count(measure).alias(f"n_{name}")]
+    return fact.groupBy(*keys).agg(*aggs)
 
 
 def left_window(users: DataFrame, portfolios: DataFrame, fact: DataFrame,
@@ -69,6 +71,6 @@ def left_window(users: DataFrame, portfolios: DataFrame, fact: DataFrame,
     return up.join(f, on="portfolio_id", how="left")
 
 
-def avg_from(sum_col: str, rows_col: str = "n_rows") -> Column:
-    """AVG over fact rows from pre-aggregated sums: Σsum / Σrows."""
-    return safe_ratio(F.sum(sum_col), F.sum(rows_col))
+def avg_from(name: str) -> Column:
+    """AVG of a measure of ``per_grain``: Σ sums / Σ counts of its values."""
+    return safe_ratio(F.sum(name), F.sum(f"n_{name}"))

@@ -17,12 +17,13 @@ SENIOR_SPLIT = "Senior"
 
 def pnl_by_region(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
                   as_of: str, recent_days: int = 7) -> DataFrame:
-    """Σ realised PnL per region, all time and over the last ``recent_days``
-    (NULL when the region has no facts in that window)."""
+    """Σ realised PnL per region up to ``as_of``, and over the last
+    ``recent_days`` (NULL when the region has no facts in that window)."""
     recent = F.col("ds") >= window_start(as_of, recent_days)
-    f = per_grain(pnl, ["portfolio_id"],
-                  {"pnl": F.sum("realized_pnl_usd"),
-                   "pnl_recent": F.sum(F.when(recent, F.col("realized_pnl_usd")))})
+    until = pnl.filter(F.col("ds") <= F.lit(as_of).cast("date"))
+    f = per_grain(until, ["portfolio_id"],
+                  {"pnl": F.col("realized_pnl_usd"),
+                   "pnl_recent": F.when(recent, F.col("realized_pnl_usd"))})
     out = (f.join(user_portfolios(users, portfolios, ["region"]),
                   on="portfolio_id", how="inner")
            .groupBy("region")
@@ -34,7 +35,7 @@ def pnl_by_region(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
 def pnl_by_risk_profile(users: DataFrame, portfolios: DataFrame,
                         pnl: DataFrame) -> DataFrame:
     """Mean realised PnL per fact row, by declared risk profile."""
-    f = per_grain(pnl, ["portfolio_id"], {"pnl": F.sum("realized_pnl_usd")})
+    f = per_grain(pnl, ["portfolio_id"], {"pnl": F.col("realized_pnl_usd")})
     out = (f.join(user_portfolios(users, portfolios, ["risk_profile"]),
                   on="portfolio_id", how="inner")
            .groupBy("risk_profile").agg(avg_from("pnl").alias("avg_pnl")))
@@ -46,7 +47,7 @@ def activity_by_age_band(users: DataFrame, portfolios: DataFrame,
     u = users.withColumn("age_group",
                          band("metadata.age", YOUNG_MIDDLE_SENIOR, SENIOR))
     f = per_grain(activity, ["portfolio_id"],
-                  {"trades": F.sum("num_trades"), "score": F.sum("activity_score")})
+                  {"trades": F.col("num_trades"), "score": F.col("activity_score")})
     return (f.join(user_portfolios(u, portfolios, ["age_group"]),
                    on="portfolio_id", how="inner")
             .groupBy("age_group")
@@ -57,7 +58,7 @@ def activity_by_age_band(users: DataFrame, portfolios: DataFrame,
 def activity_by_age_split(users: DataFrame, portfolios: DataFrame,
                           activity: DataFrame) -> DataFrame:
     u = users.withColumn("age_group", band("metadata.age", YOUNG_SPLIT, SENIOR_SPLIT))
-    f = per_grain(activity, ["portfolio_id"], {"score": F.sum("activity_score")})
+    f = per_grain(activity, ["portfolio_id"], {"score": F.col("activity_score")})
     return (f.join(user_portfolios(u, portfolios, ["age_group"]),
                    on="portfolio_id", how="inner")
             .groupBy("age_group")

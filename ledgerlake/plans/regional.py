@@ -13,12 +13,12 @@ from .common import (RISK_ORDER, avg_from, left_window, per_grain, since,
 def regional_volume(users: DataFrame, portfolios: DataFrame,
                     activity: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     j = left_window(users, portfolios, activity, as_of, days, ["region"],
-                    {"trades": F.sum("num_trades"),
-                     "notional": F.sum("total_notional_usd"),
-                     "score": F.sum("activity_score")})
+                    {"trades": F.col("num_trades"),
+                     "notional": F.col("total_notional_usd"),
+                     "score": F.col("activity_score")})
     out = j.groupBy("region").agg(
         F.countDistinct("user_id").alias("num_users"),
-        F.countDistinct("portfolio_id").alias("num_portfolios"),
+        F.count("portfolio_id").alias("num_portfolios"),    # one row per portfolio
         F.sum("trades").cast("bigint").alias("total_trades"),
         round_half_up(F.sum("notional"), 2).alias("total_volume_usd"),
         round_half_up(avg_from("score"), 2).alias("avg_activity_score"),
@@ -29,8 +29,8 @@ def regional_volume(users: DataFrame, portfolios: DataFrame,
 def regional_profitability(users: DataFrame, portfolios: DataFrame,
                            pnl: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     j = left_window(users, portfolios, pnl, as_of, days, ["region"],
-                    {"pnl": F.sum("realized_pnl_usd"),
-                     "notional": F.sum("notional_traded_usd")})
+                    {"pnl": F.col("realized_pnl_usd"),
+                     "notional": F.col("notional_traded_usd")})
     out = j.groupBy("region").agg(
         F.countDistinct("user_id").alias("num_users"),
         round_half_up(F.sum("pnl"), 2).alias("total_pnl_usd"),
@@ -45,7 +45,7 @@ def regional_risk_distribution(users: DataFrame, portfolios: DataFrame,
                                activity: DataFrame, as_of: str,
                                days: int = 7) -> DataFrame:
     j = left_window(users, portfolios, activity, as_of, days,
-                    ["region", "risk_profile"], {"trades": F.sum("num_trades")})
+                    ["region", "risk_profile"], {"trades": F.col("num_trades")})
     out = j.groupBy("region", "risk_profile").agg(
         F.countDistinct("user_id").alias("num_users"),
         F.sum("trades").cast("bigint").alias("total_trades"),
@@ -58,12 +58,12 @@ def regional_symbol_preferences(users: DataFrame, portfolios: DataFrame,
                                 min_trades: int = 10) -> DataFrame:
     """Region × symbol activity, kept where Σ trades > ``min_trades``."""
     f = per_grain(since(pnl, as_of, days), ["portfolio_id", "symbol"],
-                  {"trades": F.sum("num_trades"),
-                   "notional": F.sum("notional_traded_usd")})
+                  {"trades": F.col("num_trades"),
+                   "notional": F.col("notional_traded_usd")})
     up = user_portfolios(verified(users), portfolios, ["region"])
     out = (f.join(up, on="portfolio_id", how="inner")
            .groupBy("region", "symbol")
-           .agg(F.countDistinct("portfolio_id").alias("num_portfolios_traded"),
+           .agg(F.count("portfolio_id").alias("num_portfolios_traded"),   # unique per symbol
                 F.sum("trades").cast("bigint").alias("total_trades"),
                 F.sum("notional").alias("_volume"))
            .filter(F.col("total_trades") > min_trades)

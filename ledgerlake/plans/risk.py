@@ -31,7 +31,7 @@ def portfolio_concentration(users: DataFrame, portfolios: DataFrame,
     portfolio total as a window sum over that small result.
     """
     ps = per_grain(since(pnl, as_of, days), ["portfolio_id", "symbol"],
-                   {"symbol_notional": F.sum("notional_traded_usd")})
+                   {"symbol_notional": F.col("notional_traded_usd")})
     ps = ps.withColumn("total_notional", F.sum("symbol_notional").over(
         Window.partitionBy("portfolio_id")))
     share = safe_ratio(F.col("symbol_notional"), F.col("total_notional"))
@@ -57,8 +57,8 @@ def high_risk_users(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
                     top_n: int = 30) -> DataFrame:
     """Aggressive-profile verified users trading more than ``min_volume``."""
     f = per_grain(since(pnl, as_of, days), ["portfolio_id", "symbol"],
-                  {"notional": F.sum("notional_traded_usd"),
-                   "abs_pnl": F.sum(F.abs("realized_pnl_usd"))})
+                  {"notional": F.col("notional_traded_usd"),
+                   "abs_pnl": F.abs("realized_pnl_usd")})
     u = verified(users).filter(F.col("risk_profile").isin(*profiles))
     keys = ["user_id", "name", "risk_profile"]
     j = user_portfolios(u, portfolios, keys).join(f, on="portfolio_id", how="left")
@@ -76,8 +76,8 @@ def loss_making_users(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
                       min_trades: int = 10, top_n: int = 30) -> DataFrame:
     """Verified users with Σ PnL < ``max_pnl`` over > ``min_trades`` trades."""
     f = per_grain(since(pnl, as_of, days), ["portfolio_id", "ds"],
-                  {"pnl": F.sum("realized_pnl_usd"),
-                   "trades": F.sum("num_trades")})
+                  {"pnl": F.col("realized_pnl_usd"),
+                   "trades": F.col("num_trades")})
     keys = ["user_id", "name", "region", "risk_profile"]
     up = user_portfolios(verified(users), portfolios, keys)
     out = (f.join(up, on="portfolio_id", how="inner")
@@ -107,13 +107,13 @@ def risk_mismatch(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
                   thresholds: dict[str, float] = MISMATCH_VOLUME) -> DataFrame:
     """Portfolios whose traded volume contradicts the declared risk profile."""
     per_sym = per_grain(since(pnl, as_of, days), ["portfolio_id", "symbol"],
-                        {"notional": F.sum("notional_traded_usd"),
-                         "abs_pnl": F.sum(F.abs("realized_pnl_usd")),
-                         "trades": F.sum("num_trades")})
+                        {"notional": F.col("notional_traded_usd"),
+                         "abs_pnl": F.abs("realized_pnl_usd"),
+                         "trades": F.col("num_trades")})
     tb = (per_sym.join(portfolios.select("portfolio_id", "user_id"),
                        on="portfolio_id", how="inner")
           .groupBy("portfolio_id", "user_id")
-          .agg(F.countDistinct("symbol").alias("symbols_traded"),
+          .agg(F.count("symbol").alias("symbols_traded"),      # one row per symbol
                F.sum("notional").alias("total_volume"),
                avg_from("abs_pnl").alias("avg_absolute_pnl"),
                F.sum("trades").cast("bigint").alias("total_trades")))

@@ -20,8 +20,8 @@ def top_profitable_users(users: DataFrame, portfolios: DataFrame,
                          top_n: int = 20) -> DataFrame:
     """Verified users ranked by realised PnL over the window (inner joins)."""
     f = per_grain(since(pnl, as_of, days), ["portfolio_id", "symbol"],
-                  {"pnl": F.sum("realized_pnl_usd"),
-                   "notional": F.sum("notional_traded_usd")})
+                  {"pnl": F.col("realized_pnl_usd"),
+                   "notional": F.col("notional_traded_usd")})
     keys = ["user_id", "name", "region", "risk_profile"]
     up = user_portfolios(verified(users), portfolios, keys)
     out = (f.join(up, on="portfolio_id", how="inner")
@@ -37,8 +37,8 @@ def risk_profile_performance(users: DataFrame, portfolios: DataFrame,
                              pnl: DataFrame, as_of: str,
                              days: int = 30) -> DataFrame:
     j = left_window(users, portfolios, pnl, as_of, days, ["risk_profile"],
-                    {"trades": F.sum("num_trades"),
-                     "pnl": F.sum("realized_pnl_usd")})
+                    {"trades": F.col("num_trades"),
+                     "pnl": F.col("realized_pnl_usd")})
     out = j.groupBy("risk_profile").agg(
         F.countDistinct("user_id").alias("num_users"),
         F.sum("trades").cast("bigint").alias("total_trades"),
@@ -55,9 +55,9 @@ def age_group_activity(users: DataFrame, portfolios: DataFrame,
                        days: int = 30) -> DataFrame:
     u = users.withColumn("age_group", band("metadata.age", AGE_BANDS, AGE_BAND_TOP))
     j = left_window(u, portfolios, activity, as_of, days, ["age_group"],
-                    {"trades": F.sum("num_trades"),
-                     "score": F.sum("activity_score"),
-                     "notional": F.sum("total_notional_usd")})
+                    {"trades": F.col("num_trades"),
+                     "score": F.col("activity_score"),
+                     "notional": F.col("total_notional_usd")})
     out = j.groupBy("age_group").agg(
         F.countDistinct("user_id").alias("num_users"),
         F.sum("trades").cast("bigint").alias("total_trades"),
@@ -73,8 +73,8 @@ def income_bracket_activity(users: DataFrame, portfolios: DataFrame,
     u = users.withColumn("income_bracket", band("metadata.annual_income_usd",
                                                 INCOME_BANDS, INCOME_BAND_TOP))
     j = left_window(u, portfolios, activity, as_of, days, ["income_bracket"],
-                    {"trades": F.sum("num_trades"),
-                     "notional": F.sum("total_notional_usd")})
+                    {"trades": F.col("num_trades"),
+                     "notional": F.col("total_notional_usd")})
     out = j.groupBy("income_bracket").agg(
         F.countDistinct("user_id").alias("num_users"),
         F.sum("trades").cast("bigint").alias("total_trades"),
@@ -97,10 +97,13 @@ def activation_rate(users: DataFrame, portfolios: DataFrame,
     """
     start = F.add_months(F.lit(as_of).cast("date"), -months)
     cohorts = (verified(users)
-               .filter(F.col("created_at") >= start.cast("timestamp_ntz"))
+               .filter((F.col("created_at") >= start.cast("timestamp_ntz"))
+                       & (F.col("created_at") < F.date_add(F.lit(as_of).cast("date"), 1).cast("timestamp_ntz")))
                .select("user_id",
                        F.trunc(F.to_date("created_at"), "MM").alias("signup_month")))
-    last_active = (activity.filter(F.col("num_trades") > 0)
+    # No cohort starts before the month of ``start``: earlier days are pruned.
+    in_reach = activity.filter(F.col("ds").between(F.trunc(start, "MM"), F.lit(as_of).cast("date")))
+    last_active = (in_reach.filter(F.col("num_trades") > 0)
                    .groupBy("portfolio_id").agg(F.max("ds").alias("last_active_ds")))
     cp = cohorts.join(portfolios.select("portfolio_id", "user_id"),
                       on="user_id", how="left")

@@ -2,8 +2,8 @@
 
 ``register_views(spark, sf_dir)`` publishes the tables under the names the
 reports use, so reports can also be written as ``spark.sql(...)``; the views
-are the same lazy plans (gold facts: the session's written gold layer), and
-Catalyst optimises SQL and DataFrame reports identically.
+are the same lazy plans as the DataFrames.  For written layers, see
+``pipeline.register_tables``.
 """
 
 from __future__ import annotations
@@ -11,22 +11,21 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators import bronze
-from .catalog import AS_OF, lake_for
+from .catalog import Lake
 
 
-def register_views(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> list[str]:
-    L = lake_for(spark, sf_dir, as_of)
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    L = Lake(spark, sf_dir)
     views = {
         "users": L.users,
         "portfolios": L.portfolios,
         "trades_stream": L.t.trades,
         "symbols": L.t.symbols,
         "trades_enriched": L.enriched,
-        "fact_pnl_daily": L.gold_pnl,
-        "fact_liquidity": L.gold_liquidity,
-        "fact_user_activity": L.gold_activity,
-        "br_fx_rates": bronze.transform_bronze_fx_rates(
-            bronze.redelivered_fx_feed(L.trading_days)),
+        "fact_pnl_daily": L.pnl,
+        "fact_liquidity": L.liquidity,
+        "fact_user_activity": L.activity,
+        "br_fx_rates": bronze.clean_rates(L.t.rate_feed),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)

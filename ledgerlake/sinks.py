@@ -1,17 +1,18 @@
-"""Layer sinks: partitioned Parquet with dynamic partition overwrite.
+"""Layer sinks: partitioned Parquet whose days are replaced as a whole.
 
-Re-running a day replaces that day's partitions only; every other day stays
+Re-running days replaces those days only, also where a day has become empty or
+a trade has moved to another symbol (``replace_days``); every other day stays
 (a ``saveAsTable`` overwrite would drop the whole table).  The row count of
 a write is taken with an ``Observation`` on the same job — no second pass.
 
 No sink probes its input for emptiness: on an aggregated plan that probe
-would run the whole map side a second time.  A partitioned write of zero
-rows replaces no partition, so it is a no-op by construction; jobs apply the
-"no input, no write" rule to their (pruned) input scans instead.
+would run the whole map side a second time.  Jobs apply the "no input, no
+write" rule to their (pruned) input scans instead.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,6 +41,41 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     return int(obs.get["n"])
 
 
+def replace_days(df: DataFrame, path: str, day: str, start: str, end: str,
+                 feed: str | None = None) -> int:
+    """Make ``df`` the whole content of the days [start, end] under ``path``.
+
+    The days processed decide what is replaced, not the days that have
+    output: days with rows are overwritten by the write, and partitions of the
+    range that got none are then deleted.  With ``feed``, the layer has a
+    second partition column ``feed``, and only that feed's part of each day is
+    replaced.  Returns the number of rows written.
+    """
+    obs = Observation("days_written")
+    keys = [day]
+    if feed is not None:
+        df, keys = df.withColumn("feed", F.lit(feed)), [day, "feed"]
+    inside = df.filter(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    (inside.hint("rebalance", day)
+     .observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set(F.col(day).cast("string")).alias("days"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(path))
+    written = set(obs.get["days"])
+    first, last = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    _delete(df.sparkSession, [
+        f"{path}/{day}={d}" + (f"/feed={feed}" if feed is not None else "")
+        for d in (str(first + dt.timedelta(days=i)) for i in range((last - first).days + 1))
+        if d not in written])
+    return int(obs.get["n"])
+
+
+def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def write_table(df: DataFrame, path: str) -> int:
     """Full-refresh write of an unpartitioned table (callers decide whether
     an empty input may replace it)."""

@@ -45,7 +45,7 @@ def read_symbols_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_symbols_csv(symbols: DataFrame, path: str) -> None:
     (symbols.select("symbol", "exchange", "sector", "tick_size")
-     .coalesce(1).write.mode("overwrite").option("header", "true").csv(path))
+     .write.mode("overwrite").option("header", "true").csv(path))
 
 
 def read_trades(spark: SparkSession, path: str, start: str | None = None,

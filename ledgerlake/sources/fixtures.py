@@ -8,37 +8,28 @@ and Catalyst prunes the columns a query does not use.
 
 from __future__ import annotations
 
-import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import maybe_broadcast, padded_id
+from ..functions.exprs import padded_id
 
 # --- fixed values (must stay as they are for results to match) -------------
 VENUES = ["NYSE", "NASDAQ", "BATS", "IEX", "ARCA"]
 PORTFOLIO_CCYS = ["USD", "EUR", "GBP", "JPY", "AUD"]
 BUY_EVENT_TYPES = ["click", "purchase"]
 CONSERVATIVE_SEGMENTS = ["HOUSEHOLD", "FURNITURE"]
-# Units of each currency per one USD.
-FX_PER_USD = {
-    "USD": 1.0, "EUR": 0.92, "GBP": 0.79, "JPY": 149.5, "AUD": 1.54,
-    "CAD": 1.36, "CHF": 0.88, "CNY": 7.24, "HKD": 7.83, "SGD": 1.35,
-}
-LISTED_PARTS = 22            # SYM_00 .. SYM_21 are in the symbol master
-PARTS_WITHOUT_SECTOR = [20, 21]
+# Sign-up and opening dates count back from here, whatever a report's date is.
+SIGN_UP_EPOCH = "2024-01-31"
 # ---------------------------------------------------------------------------
 
-# Nations and regions are fixed by the TPC-H specification (25 / 5 rows).
-NATION_MAX_ROWS = 1_000
-
 
 class Tables:
     """The domain tables of one scale-factor directory, built on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str):
-        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self._scans: dict[str, DataFrame] = {}
 
     def _t(self, name: str) -> DataFrame:
@@ -48,37 +39,42 @@ class Tables:
 
     @cached_property
     def users(self) -> DataFrame:
-        return users(self._t("customer"), self._t("nation"), self._t("region"),
-                     self.as_of)
+        return users(self._t("customer"), self._t("nation"), self._t("region"))
 
     @cached_property
     def portfolios(self) -> DataFrame:
-        return portfolios(self._t("customer"), self.as_of)
+        return portfolios(self._t("customer"), self._t("part"))
 
     @cached_property
     def trades(self) -> DataFrame:
-        return trades(self._t("events"))
+        return trades(self._t("events"), self._t("part"))
 
     @cached_property
     def symbols(self) -> DataFrame:
         return symbols_master(self._t("part"))
 
+    @cached_property
+    def symbol_feed(self) -> DataFrame:
+        return symbol_feed(self._t("part"), self._t("lineitem"))
+
+    @cached_property
+    def rate_feed(self) -> DataFrame:
+        return rate_feed(self._t("events"))
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def users(customer: DataFrame, nation: DataFrame, region: DataFrame,
-          as_of: str) -> DataFrame:
-    """One user per customer whose key is not ``2 mod 3``."""
-    geo = maybe_broadcast(
-        nation.join(region, nation.n_regionkey == region.r_regionkey)
-        .select("n_nationkey", "r_name"), NATION_MAX_ROWS)
-    c = customer.filter(F.col("c_custkey") % 3 != 2)
+def users(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """One user per customer."""
+    geo = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+           .select("n_nationkey", "r_name"))
+    c = customer
     k = F.col("c_custkey")
     seg = F.col("c_mktsegment")
     kyc = k % 20
-    created = F.date_sub(F.lit(as_of).cast("date"), ((k * 13) % 730).cast("int"))
+    created = F.date_sub(F.lit(SIGN_UP_EPOCH).cast("date"), ((k * 13) % 730).cast("int"))
     return (
         c.join(geo, c.c_nationkey == geo.n_nationkey)
         .select(
@@ -109,43 +105,55 @@ def users(customer: DataFrame, nation: DataFrame, region: DataFrame,
     )
 
 
-def portfolios(customer: DataFrame, as_of: str) -> DataFrame:
-    """One portfolio per customer; customers ``2 mod 3`` belong to key−1."""
-    k = F.col("c_custkey")
-    owner = F.when(k % 3 == 2, k - 1).otherwise(k)
-    opened = F.date_sub(F.lit(as_of).cast("date"), ((k * 11) % 700).cast("int"))
-    return customer.select(
-        padded_id("PORT_", k + 1).alias("portfolio_id"),
-        padded_id("USER_", owner + 1).alias("user_id"),
-        F.format_string("Portfolio %d", k + 1).alias("portfolio_name"),
+def listed(part: DataFrame) -> Column:
+    """Number of symbol keys in the master: one past the largest part key."""
+    return part.agg((F.coalesce(F.max("p_partkey"), F.lit(-1)) + 1).alias("n")).scalar()
+
+
+def portfolios(customer: DataFrame, part: DataFrame) -> DataFrame:
+    """One portfolio per customer, and a second one for every third."""
+    k, second = F.col("c_custkey"), F.col("second")
+    opened = F.date_sub(F.lit(SIGN_UP_EPOCH).cast("date"), ((k * 11) % 700).cast("int"))
+    number = 2 * k + 1 + second
+    both = F.explode(F.when(k % 3 == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return customer.select("c_custkey", "c_acctbal", both.alias("second")).select(
+        padded_id("PORT_", number).alias("portfolio_id"),
+        padded_id("USER_", k + 1).alias("user_id"),
+        F.format_string("Portfolio %d", number).alias("portfolio_name"),
         F.element_at(F.array(*[F.lit(c) for c in PORTFOLIO_CCYS]),
-                     (k % 5 + 1).cast("int")).alias("base_ccy"),
+                     (number % 5 + 1).cast("int")).alias("base_ccy"),
         F.array(F.struct(
-            padded_id("SYM_", k % LISTED_PARTS, 2).alias("symbol"),
+            padded_id("SYM_", number % F.greatest(listed(part), F.lit(1)), 2).alias("symbol"),
             (k % 100 + 1).cast("int").alias("qty"))).alias("holdings"),
         F.abs(F.col("c_acctbal")).alias("cash_balance_usd"),
         opened.cast("timestamp_ntz").alias("created_at"),
-        F.lit(as_of).cast("date").cast("timestamp_ntz").alias("updated_at"),
-        (k % 20 != 0).alias("is_active"),
+        F.lit(SIGN_UP_EPOCH).cast("date").cast("timestamp_ntz").alias("updated_at"),
+        (number % 20 != 0).alias("is_active"),
         (F.abs(F.col("c_acctbal")) * 2).alias("total_deposits_usd"),
         F.abs(F.col("c_acctbal")).alias("total_withdrawals_usd"),
     )
 
 
-def trades(events: DataFrame) -> DataFrame:
-    """Trade events from the ``events`` stream table."""
+def trades(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Trade events from the ``events`` stream table.
+
+    Symbols range over the whole master and a tenth beyond it (unlisted);
+    some users keep to the popular first hundredth of the list."""
     e, u = F.col("event_id"), F.col("user_id")
-    h = e * 7 + u
-    sym = (F.when(u % 5 == 0, F.when(e % 2 == 0, u % 20).otherwise(h % 24))
-           .when(u % 5 == 1, h % 5).when(u % 5 == 2, h % 9)
-           .when(u % 5 == 3, h % 14).otherwise(h % 24))
+    h, n = e * 7 + u, F.col("n_listed")
+    wide, popular = n + F.floor(n / 10) + 1, F.floor(n / 100) + 1
+    sym = (F.when(u % 5 == 0, F.when(e % 2 == 0, u % popular).otherwise(h % wide))
+           .when(u % 5 == 1, h % (F.floor(popular / 4) + 1))
+           .when(u % 5 == 2, h % (F.floor(popular / 2) + 1))
+           .when(u % 5 == 3, h % popular).otherwise(h % wide))
     is_error = F.col("event_type") == "error"
     price = (F.when(is_error & (e % 10 == 0), -F.col("value"))
              .when(is_error & (e % 10 == 1), F.lit(None).cast("double"))
              .otherwise(F.col("value")))
-    return events.select(
+    number = 2 * u + 1 + F.when((u % 3 == 2) & (e % 2 == 1), 1).otherwise(0)
+    return events.withColumn("n_listed", listed(part)).select(
         e.cast("string").alias("trade_id"),
-        padded_id("PORT_", u + 1).alias("portfolio_id"),
+        padded_id("PORT_", number).alias("portfolio_id"),
         padded_id("SYM_", sym, 2).alias("symbol"),
         F.when(F.col("event_type").isin(*BUY_EVENT_TYPES), "BUY")
         .otherwise("SELL").alias("side"),
@@ -159,30 +167,38 @@ def trades(events: DataFrame) -> DataFrame:
 
 
 def symbols_master(part: DataFrame) -> DataFrame:
-    """Symbol master (the static CSV of the reference) from ``part``."""
+    """Symbol master: one symbol per part; every eleventh has no sector."""
     p = F.col("p_partkey")
-    return part.filter(p < LISTED_PARTS).select(
+    return part.select(
         padded_id("SYM_", p, 2).alias("symbol"),
         F.when(p % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
-        F.when(p.isin(*PARTS_WITHOUT_SECTOR), F.lit(None).cast("string"))
+        F.when(p % 11 == 10, F.lit(None).cast("string"))
         .otherwise(F.col("p_type")).alias("sector"),
         F.lit(0.01).alias("tick_size"),
     )
 
 
-def fx_base_rates(spark: SparkSession) -> DataFrame:
-    """The ten units-per-USD rates as a 10-row frame (fixed values)."""
-    return spark.createDataFrame(
-        [(c, r) for c, r in FX_PER_USD.items()], "ccy string, per_usd double")
+def symbol_feed(part: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The symbol master as delivered: the list, and again the symbols of
+    every shipped line (natural duplicates)."""
+    shipped = lineitem.select(F.col("l_partkey").alias("p_partkey")).join(part, "p_partkey")
+    return symbols_master(part).unionByName(symbols_master(shipped))
 
 
-def trading_days(trades_df: DataFrame) -> DataFrame:
-    """Distinct calendar days that carry trades (one column ``ds``)."""
-    return trades_df.select(F.col("event_date").alias("ds")).distinct()
+def rate_feed(events: DataFrame) -> DataFrame:
+    """A feed of exchange rates observed at events, several for most days and
+    currencies: units of ``quote_ccy`` per USD."""
+    e = F.col("event_id")
+    return events.select(
+        F.lit("USD").alias("base_ccy"),
+        F.element_at(F.array(*[F.lit(c) for c in PORTFOLIO_CCYS]),
+                     (e % 5 + 1).cast("int")).alias("quote_ccy"),
+        F.when(e % 5 == 0, F.lit(1.0)).otherwise(1 + F.col("value") / 100).alias("rate"),
+        F.to_date("ts").alias("ds"))
 
 
-def load(spark: SparkSession, sf_dir: str, as_of: str = "2024-01-31") -> Tables:
-    return Tables(spark, sf_dir, as_of)
+def load(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(spark, sf_dir)
 
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +216,7 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string"),
                     F.col("l_partkey").cast("string")).alias("trade_id"),
-        padded_id("PORT_", F.col("o_custkey") + 1).alias("portfolio_id"),
+        padded_id("PORT_", 2 * F.col("o_custkey") + 1).alias("portfolio_id"),
         F.col("p_brand").alias("symbol"),
         F.when(F.col("l_linestatus") == "O", "BUY").otherwise("SELL").alias("side"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
@@ -220,7 +236,3 @@ def brand_master(part: DataFrame) -> DataFrame:
             .select(F.col("p_brand").alias("symbol"),
                     F.when(n % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
                     "sector", F.lit(0.01).alias("tick_size")))
-
-
-def as_date(s: str) -> dt.date:
-    return dt.date.fromisoformat(s)

@@ -5,14 +5,14 @@ form processes each new trade file once and keeps the layers current:
 
 * ``readStream`` of the trade files (declared schema, file source; the
   checkpoint records which files were consumed).
-* ``foreachBatch``: the micro-batch is enriched and written to silver under
-  ``event_date=…/batch_id=…`` with dynamic partition overwrite, so a replayed
-  batch (after a failure) replaces exactly its own rows — effectively once.
-* The days the batch touched are a distinct projection of the batch itself
-  (its own files, not a scan of the silver history); gold
-  facts for those days are recomputed from the whole silver layer (left-semi
-  join on ``event_date`` → dynamic partition pruning) and overwrite only
-  those ``ds`` partitions.  Late trades for old days simply re-touch them.
+* ``foreachBatch``: the micro-batch is enriched and written to the lake's one
+  silver layer under ``event_date=…/feed=<name>-<batch>`` with dynamic
+  partition overwrite, so a replayed batch (after a failure) replaces exactly
+  its own rows — effectively once.  The batch run writes feed ``batch`` of the
+  same layer, so both see each other's trades.
+* The gold facts of the days the batch touched are recomputed from all feeds
+  of these days (left-semi join on ``event_date`` → dynamic partition pruning)
+  and overwrite those ``ds`` partitions.  Late trades simply re-touch old days.
 
 Nothing is collected to the driver; every step is a Spark job over files
 in the shared lake folder.
@@ -24,17 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import sinks
-from ..operators import gold, silver
-from ..schemas import (FACT_ACTIVITY_COLUMNS, FACT_LIQUIDITY_COLUMNS,
-                       FACT_PNL_COLUMNS, TRADES)
-
-SILVER_COLUMNS = [
-    "trade_id", "portfolio_id", "symbol", "side", "price", "qty", "ts",
-    "venue", "event_date", "exchange", "sector", "price_usd", "notional_usd",
-    "is_valid", "quality_score", "processed_ts", "batch_id",
-]
-
+from .. import pipeline, sinks
+from ..operators import silver
+from ..schemas import TRADES, TRADES_ENRICHED_COLUMNS
 
 def trade_stream(spark: SparkSession, source_dir: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -45,40 +37,33 @@ def trade_stream(spark: SparkSession, source_dir: str,
 
 
 class IncrementalLake:
-    """Paths and the per-batch step of the incremental job."""
+    """The per-batch step over the layers of a lake."""
 
-    def __init__(self, lake_root: str, symbols: DataFrame):
-        r = lake_root.rstrip("/")
-        self.silver = f"{r}/silver/trades_enriched_stream"
-        self.pnl = f"{r}/gold/fact_pnl_daily"
-        self.liquidity = f"{r}/gold/fact_liquidity"
-        self.activity = f"{r}/gold/fact_user_activity"
-        self.symbols = symbols
+    def __init__(self, lake_root: str, symbols: DataFrame, name: str = "stream"):
+        self.paths = pipeline.LakePaths(lake_root)
+        self.symbols, self.name = symbols, name
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not sinks.has_rows(batch):
-            return
-        enriched = (silver.enrich_trades(batch, self.symbols)
-                    .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        sinks.write_partitioned(enriched, self.silver, ["event_date", "batch_id"],
-                                shuffle_by=["event_date"])
-        touched = batch.select("event_date").distinct()   # the batch's own files
-        s = (sinks.read_layer(spark, self.silver, SILVER_COLUMNS)
-             .join(touched, on="event_date", how="left_semi"))
-        base = ("portfolio_id", "symbol", "side", "price_usd", "qty", "notional_usd")
-        v = silver.valid_trades(s, columns=base)
-        vl = silver.valid_trades(s, columns=base + ("exchange", "sector"))
-        sinks.write_partitioned(gold.fact_pnl_daily(v), self.pnl, ["ds"])
-        sinks.write_partitioned(gold.fact_liquidity(vl), self.liquidity, ["ds"])
-        sinks.write_partitioned(gold.fact_user_activity(v), self.activity, ["ds"])
+        batch.persist()           # the trades are used three times
+        try:
+            if not sinks.has_rows(batch):
+                return
+            scored = (silver.scored_trades(batch, self.symbols)
+                      .withColumn("feed", F.lit(f"{self.name}-{batch_id}")))
+            sinks.write_partitioned(scored, self.paths.silver, ["event_date", "feed"],
+                                    shuffle_by=["event_date"])
+            days = sinks.read_layer(spark, self.paths.silver, TRADES_ENRICHED_COLUMNS).join(
+                batch.select("event_date").distinct(), on="event_date", how="left_semi")
+            for kind in pipeline.FACT_KINDS:
+                sinks.write_partitioned(pipeline.fact(kind, days), getattr(self.paths, kind), ["ds"])
+        finally:
+            batch.unpersist()
 
     def read(self, spark: SparkSession, kind: str) -> DataFrame:
-        path, cols = {"pnl": (self.pnl, FACT_PNL_COLUMNS),
-                      "liquidity": (self.liquidity, FACT_LIQUIDITY_COLUMNS),
-                      "activity": (self.activity, FACT_ACTIVITY_COLUMNS),
-                      "silver": (self.silver, SILVER_COLUMNS)}[kind]
-        return sinks.read_layer(spark, path, cols)
+        if kind == "silver":
+            return pipeline.read_silver(spark, self.paths)
+        return pipeline.read_fact(spark, self.paths, kind)
 
 
 def start_incremental(spark: SparkSession, source_dir: str, lake_root: str,

@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exprs import maybe_broadcast
 from ledgerlake.operators import gold, silver
 from ledgerlake.plans import regional
-from ledgerlake.plans.catalog import lake_for
+from ledgerlake.plans import catalog, users
+from ledgerlake.plans.catalog import Lake
 from ledgerlake.sources import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -24,7 +24,7 @@ def hash_exchanges(df) -> int:
 
 @pytest.fixture(scope="module")
 def lake(spark):
-    return lake_for(spark, SF)
+    return Lake(spark, SF)
 
 
 def test_pnl_is_one_shuffle(lake):
@@ -53,26 +53,49 @@ def test_scan_reads_only_needed_columns(lake):
     assert scan
 
 
-def test_reports_prune_gold_partitions(lake):
-    df = regional.regional_volume(lake.users, lake.portfolios, lake.gold_activity, lake.as_of)
+@pytest.fixture()
+def written_activity(spark, lake, tmp_path):
+    lake.activity.write.partitionBy("ds").parquet(str(tmp_path / "act"))
+    return spark.read.parquet(str(tmp_path / "act"))
+
+
+def test_reports_prune_gold_partitions(lake, written_activity):
+    df = regional.regional_volume(lake.users, lake.portfolios, written_activity, lake.as_of)
     p = plan(df)
     assert re.search(r"PartitionFilters: \[[^\]]*ds#\d+ >= 2024-01-01", p), p
+    assert re.search(r"PartitionFilters: \[[^\]]*ds#\d+ <= 2024-01-31", p), p
+    p = plan(users.activation_rate(lake.users, lake.portfolios, written_activity, lake.as_of))
+    assert re.search(r"PartitionFilters: \[[^\]]*ds#\d+ >= 2023-01-01", p), p
+
+
+def test_bars_use_a_hash_aggregation(lake):
+    p = plan(gold.daily_bars(lake.valid("ts", "trade_id")))
+    assert "HashAggregate" in p and "SortAggregate" not in p
+    p = plan(gold.latest_closes(lake.valid("ts", "trade_id"), lake.as_of))
+    assert "SortAggregate" not in p
+
+
+def test_no_needless_distinct(lake):
+    df = gold.regional_symbol_activity(lake.valid(), lake.portfolios, lake.users)
+    assert "Expand" not in plan(df) and "distinct" not in plan(df)
 
 
-def test_size_checked_broadcast_falls_back(spark):
-    part = fixtures.read_table(spark, SF, "part")
-    sym = fixtures.symbols_master(part)          # 22 rows
-    t = fixtures.trades(fixtures.read_table(spark, SF, "events"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = t.join(maybe_broadcast(sym, 1000), "symbol")
-        big = t.join(maybe_broadcast(sym, 5), "symbol")
-        assert "BroadcastHashJoin" in plan(small)
-        assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
-        assert small.count() == big.count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_building_a_query_starts_no_job(spark):
+    """But for those about sinks and file scans, queries are lazy."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    for name, build in catalog.queries().items():
+        if name in catalog.LANDING:
+            continue
+        sc.setJobGroup(f"build-{name}", name)
+        try:
+            build(spark, SF)
+            # reading a Parquet footer for the schema may start a job of one task
+            jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"build-{name}")]
+            stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+            assert all(s is None or s.numTasks == 1 for s in stages), name
+            assert len(jobs) <= 10, (name, len(jobs))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_hot_portfolio_is_combined_map_side(spark):
@@ -82,63 +105,33 @@ def test_hot_portfolio_is_combined_map_side(spark):
     hot = t.trades.withColumn(
         "portfolio_id", F.when(F.col("trade_id").cast("int") % 3 == 0, F.lit("PORT_HOT"))
         .otherwise(F.col("portfolio_id")))
-    v = silver.valid_trades(silver.enrich_trades(hot, t.symbols))
+    v = silver.valid_trades(silver.scored_trades(hot, t.symbols))
     act = gold.fact_user_activity(v)
     assert "partial_count" in plan(act)
     h = act.filter(F.col("portfolio_id") == "PORT_HOT").agg(F.sum("num_trades")).first()[0]
     assert h == v.filter(F.col("portfolio_id") == "PORT_HOT").count()
 
 
-def test_hot_portfolio_join_is_split_by_aqe(spark):
-    """A portfolio holding a third of all trades: the per-trade join to the
-    portfolios table is a shuffle join whose hot partition AQE splits
-    (thresholds lowered to test scale; many map tasks as on real input)."""
-    from ledgerlake.operators import bronze
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        t = fixtures.load(spark, "/root/testdata/sf0.01")
-        hot = t.trades.withColumn(
-            "portfolio_id", F.when(F.col("trade_id").cast("int") % 3 == 0, F.lit("PORT_000001"))
-            .otherwise(F.col("portfolio_id"))).repartition(8)
-        v = silver.valid_trades(silver.enrich_trades(hot, t.symbols),
-                                columns=("trade_id", "portfolio_id", "notional_usd"))
-        fx = bronze.transform_bronze_fx_rates(
-            bronze.redelivered_fx_feed(fixtures.trading_days(t.trades)))
-        df = silver.to_base_currency(v, t.portfolios, fx)
-        rows = df.collect()                           # executes this plan
-        final = plan(df)
-        assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
-        assert len(rows) == v.count()                 # no trade lost or duplicated
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def test_explicit_hot_key_split_matches_plain_join(spark):
-    """Opt-in split: hot portfolios join a broadcast, the rest shuffle; the
-    result is the same rows as the plain join."""
-    from ledgerlake.operators import bronze
+def test_hot_portfolio_join_is_spread(spark):
+    """A portfolio holding a third of all trades meets its owner in several
+    keys, and no trade is lost or doubled."""
     t = fixtures.load(spark, SF)
     hot = t.trades.withColumn(
         "portfolio_id", F.when(F.col("trade_id").cast("int") % 3 == 0, F.lit("PORT_000001"))
         .otherwise(F.col("portfolio_id")))
-    v = silver.valid_trades(silver.enrich_trades(hot, t.symbols),
+    v = silver.valid_trades(silver.scored_trades(hot, t.symbols),
                             columns=("trade_id", "portfolio_id", "notional_usd"))
-    fx = bronze.transform_bronze_fx_rates(
-        bronze.redelivered_fx_feed(fixtures.trading_days(t.trades)))
-    plain = silver.to_base_currency(v, t.portfolios, fx)
-    split = silver.to_base_currency(v, t.portfolios, fx, hot_rows=100)
-    assert "LeftAnti" in plan(split) and "Union" in plan(split)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
-    assert split.count() == v.count()
+    joined = silver.join_owner_ccy(v, t.portfolios)
+    plain = v.join(t.portfolios.select("portfolio_id", "base_ccy"), "portfolio_id")
+    cols = ["trade_id", "portfolio_id", "base_ccy"]
+    assert joined.select(cols).exceptAll(plain.select(cols)).count() == 0
+    assert joined.count() == plain.count()
+    salts = v.filter("portfolio_id = 'PORT_000001'").select(
+        F.pmod(F.hash("trade_id"), F.lit(silver.OWNER_SALTS))).distinct().count()
+    assert salts == silver.OWNER_SALTS
+
+
+def test_symbol_master_grows_with_the_data(spark):
+    small, large = (fixtures.load(spark, f"/root/testdata/{d}").symbols.count() for d in ("sf0.001", "sf0.01"))
+    assert (small, large) == (200, 2000)
+    assert fixtures.load(spark, SF).users.count() == 150          # every customer

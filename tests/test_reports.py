@@ -112,3 +112,33 @@ def test_high_risk_having(spark, customers):
                     (D_IN, "PE", "X", 1.0, 99.0, 1)])
     rows = risk.high_risk_users(u, p, f, AS_OF).collect()
     assert [(r.user_id, r.unique_symbols, r.avg_absolute_pnl) for r in rows] == [("U2", 2, 100.0)]
+
+
+def test_reports_end_at_their_date(spark, customers):
+    u, p = customers
+    f = pnl(spark, [(dt.date(2024, 1, 10), "PA", "X", 5.0, 100.0, 1),
+                    (dt.date(2024, 1, 25), "PA", "X", 70.0, 900.0, 4)])     # after the date
+    out = {r.region: r for r in regional.regional_profitability(u, p, f, "2024-01-15").collect()}
+    assert out["EUROPE"].total_pnl_usd == 5.0
+    a = activity(spark, [(dt.date(2024, 1, 25), "PC", 3, 10.0, 40)])
+    rows = {r.signup_month: r for r in users.activation_rate(u, p, a, "2024-01-15").collect()}
+    assert rows[dt.date(2023, 11, 1)].active_users == 0
+
+
+def test_averages_skip_null_measures(spark, customers):
+    u, p = customers
+    f = pnl(spark, [(D_IN, "PA", "X", 10.0, 100.0, 2), (D_IN, "PA", "Y", None, 100.0, 2)])
+    out = {r.risk_profile: r for r in users.risk_profile_performance(u, p, f, AS_OF).collect()}
+    assert out["conservative"].avg_pnl_per_position == 10.0
+    assert out["conservative"].avg_trades_per_portfolio == 2.0
+
+
+def test_rounding_keeps_guard_digits(spark):
+    from pyspark.sql import functions as F
+    from ledgerlake.functions.exprs import round_half_up
+    row = spark.createDataFrame(
+        [(0.00499999999, 1.2344999999, 1.005, float("nan"), float("inf"))],
+        "a double, b double, c double, d double, e double").select(
+        round_half_up("a", 2), round_half_up("b", 3), round_half_up("c", 2),
+        round_half_up("d", 2), round_half_up("e", 2)).first()
+    assert tuple(row) == (0.0, 1.234, 1.01, None, None) and F is not None

@@ -31,7 +31,7 @@ def test_five_quality_cases(spark):
         ("ZZZ", 10.0, 5),       # unlisted: invalid and no sector → 40
         ("AAA", None, 5),       # NULL price: validity NULL → stays 100
     ])
-    out = {r.trade_id: r for r in silver.enrich_trades(t, symbols(spark)).collect()}
+    out = {r.trade_id: r for r in silver.scored_trades(t, symbols(spark)).collect()}
     assert [out[f"T{i}"].quality_score for i in range(5)] == [100, 90, 50, 40, 100]
     assert [out[f"T{i}"].is_valid for i in range(5)] == [True, True, False, False, None]
     assert out["T0"].notional_usd == 8775.0          # 175.50 × 50
@@ -41,9 +41,9 @@ def test_five_quality_cases(spark):
 
 def test_contract_columns(spark):
     t = trades(spark, [("AAA", 1.0, 1)])
-    df = silver.enrich_trades(t, symbols(spark))
+    df = silver.scored_trades(t, symbols(spark))
     assert df.columns == TRADES_ENRICHED_COLUMNS
-    assert "processed_ts" not in silver.enrich_trades(
+    assert "processed_ts" not in silver.scored_trades(
         t, symbols(spark), with_processed_ts=False).columns
 
 
@@ -52,7 +52,7 @@ def test_valid_trades_drops_null_validity_and_bounds_inclusive(spark):
     t = trades(spark, rows).unionByName(
         trades(spark, [("AAA", 3.0, 1)]).withColumn(
             "event_date", F.lit(dt.date(2024, 1, 11))).withColumn("trade_id", F.lit("L")))
-    e = silver.enrich_trades(t, symbols(spark))
+    e = silver.scored_trades(t, symbols(spark))
     v = silver.valid_trades(e, "2024-01-10", "2024-01-10", columns=("portfolio_id",))
     assert v.count() == 1
     v2 = silver.valid_trades(e, "2024-01-10", "2024-01-11", columns=("portfolio_id",))
@@ -63,5 +63,5 @@ def test_valid_trades_drops_null_validity_and_bounds_inclusive(spark):
 def test_quality_histogram(spark):
     t = trades(spark, [("AAA", 1.0, 1), ("AAA", 2.0, 1), ("ZZZ", 1.0, 1)])
     h = {(r.quality_score, r.is_valid): r.num_trades
-         for r in silver.quality_score_histogram(silver.enrich_trades(t, symbols(spark))).collect()}
+         for r in silver.quality_score_histogram(silver.scored_trades(t, symbols(spark))).collect()}
     assert h == {(100, True): 2, (40, False): 1}
