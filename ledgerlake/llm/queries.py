@@ -41,7 +41,9 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.per_document(table(spark, sf_dir, "documents"))
+    """Per document, the number of its lines and which of them go."""
+    found = line_dedup.per_document(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed_lines", F.array_join("removed_lines", ","))
 
 
 #: Declared url rules, the longest fitting one wins.

@@ -1,0 +1,217 @@
+"""Chat formatting, quality rules, decontamination, line dedup, personal data:
+small inputs against brute force, and the odd ones (null, empty, repeated,
+empty tables, clashing column names)."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import chat_format, decontaminate, line_dedup, pii, quality_rules
+
+DOCS = "doc_id long, text string, source string, k string, n int, item_id int"
+WORDS = [f"w{i}" for i in range(60)]
+
+
+def docs(spark, texts, source="s"):
+    return spark.createDataFrame([(i, t, source, "x", 1, 2) for i, t in enumerate(texts)], DOCS)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(3)
+    lines = [" ".join(rng.choices(WORDS, k=rng.choice([1, 3, 5, 8, 12, 40, 120]))) for _ in range(60)]
+    lines += [" ".join(["alone"] + line.split()[1:]) for line in lines[:30]]
+    texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 6))) for _ in range(60)]
+    return texts + [None, "", "\n \n", texts[0], texts[0], "a b c", "x " * 3000]
+
+
+# --- chat formatting ----------------------------------------------------------
+
+def test_chats_read_back_whatever_they_say(spark):
+    nasty = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\nhi", "\x1b1\x1b0 <<|im_end|>", "", None, "[[INST]"]
+    rows = [(c, t, r, x, 0) for c in range(3) for t, (r, x) in enumerate(
+        zip(["user", "assistant", "<|im_end|>", "a\nb", None, "assistant"], nasty))]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, segments int")
+    chats = chat_format.format_chats(given)
+    got = chats.select("conv_id", "valid", chat_format.read_back(chat_format.formatted("segments")).alias("t"),
+                       chat_format.loss_text("segments").alias("loss")).collect()
+    want = [(r or "", x or "") for _, _, r, x, _ in rows[:6]]
+    assert len(got) == 3
+    for g in got:
+        assert [tuple(x) for x in g.t] == want and not g.valid
+        assert g.loss == "".join(x for r, x in want if r == "assistant")
+
+
+def test_turn_order(spark):
+    cases = {"user,assistant": True, "system,user,assistant,user,assistant": True, "user": False,
+             "assistant": False, "user,user,assistant": False, "user,tool,assistant": True, "user,assistant,bot": False}
+    rows = [(i, t, r, "x") for i, c in enumerate(cases) for t, r in enumerate(c.split(","))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r.valid for r in chat_format.format_chats(df).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+    assert chat_format.format_chats(df.limit(0)).count() == 0
+
+
+def test_template_refuses_ambiguous_controls():
+    with pytest.raises(ValueError):
+        chat_format.Template(controls=("<|im_start|>", "<|im_end|>", "><"))
+
+
+# --- quality rules ----------------------------------------------------------------
+
+def base_of(text):
+    text = text or ""
+    w = [x for x in re.split("[\x20\x09-\x0d]+", text) if x]
+    seen = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    covered = {j for i in range(len(w) - 7) if seen[tuple(w[i:i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)),
+            len(covered), len(w) < 20 or 100 * len(covered) > 30 * len(w))
+
+
+def test_base_rules(spark, corpus):
+    texts = corpus + ["# * $ a|b <x> &amp; 100%", "été x y\tz"]
+    got = {r.doc_id: tuple(r)[1:7] for r in quality_rules.judge(docs(spark, texts)).collect()}
+    assert got == {i: base_of(t) for i, t in enumerate(texts)}
+
+
+def test_boilerplate_goes_and_copies_stay(spark):
+    body = lambda i: " ".join(f"t{i}n{j}" for j in range(40))
+    boiler = " ".join(f"legal{j}" for j in range(25))
+    texts = [f"{body(i)}\n{boiler}" for i in range(30)]            # a line of 30 documents
+    texts += [body(100) + "\n" + body(101)] * 40                   # forty exact copies
+    texts += [f"{boiler}\nt{i} " for i in range(5)]                # little else left
+    d = docs(spark, texts)
+    got = {r.doc_id: r for r in quality_rules.judge(d).collect()}
+    assert all(got[i].kept and got[i].removed_chars == len(boiler) for i in range(30))
+    assert all(got[i].kept and got[i].removed_chars == 0 for i in range(30, 70))
+    assert not any(got[i].kept for i in range(70, 75))
+    left = {r.doc_id: r for r in quality_rules.clean(d).collect()}
+    assert set(left) == set(range(70)) and left[3].text == body(3) and left[40].text == texts[40]
+    assert list(left[3].asDict()) == d.columns
+    # hosts are counted apart
+    apart = d.withColumn("source", F.col("doc_id").cast("string"))
+    assert quality_rules.frequent_lines(apart).count() == 0
+
+
+def test_quality_odd_inputs(spark, corpus):
+    d = docs(spark, corpus)
+    assert quality_rules.judge(d.limit(0)).count() == 0 and quality_rules.clean(d.limit(0)).count() == 0
+    twice = d.unionByName(d).withColumn("source", F.lit(None).cast("string"))
+    rows = quality_rules.judge(twice).collect()
+    assert len(rows) == 2 * len(corpus) and len(set(rows)) == len(corpus)
+
+
+# --- line dedup -------------------------------------------------------------------
+
+def jaccard_dedup(texts):
+    lines = [(i, k, frozenset(x.lower().split())) for i, t in enumerate(texts)
+             for k, x in enumerate((t or "").split("\n")) if x.strip()]
+    gone = set()
+    for a, (i, k, w) in enumerate(lines):
+        if any(100 * len(w & v) >= 80 * len(w | v) for _, _, v in lines[:a]):
+            gone.add((i, k))
+    return gone
+
+
+def test_lines_that_repeat_earlier_lines(spark, corpus):
+    d = docs(spark, corpus)
+    got = {(r.doc_id, x) for r in line_dedup.per_document(d).collect() for x in r.removed_lines}
+    assert got == jaccard_dedup(corpus)
+    kept = {r.doc_id: r for r in line_dedup.deduplicate(d).collect()}
+    assert len(kept) == len(corpus) and list(kept[0].asDict()) == d.columns
+    for i, t in enumerate(corpus):
+        want = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in got)
+        assert kept[i].text == want
+    assert line_dedup.deduplicate(d.limit(0)).count() == 0
+
+
+def test_many_variants_of_one_line(spark):
+    rng = random.Random(5)
+    base = [f"v{i}" for i in range(40)]
+    texts = [" ".join(w if rng.random() > 0.05 else f"{w}x{i}" for w in base) for i in range(80)]
+    got = {(r.doc_id, x) for r in line_dedup.per_document(docs(spark, texts)).collect() for x in r.removed_lines}
+    assert got == jaccard_dedup(texts)
+
+
+# --- decontamination --------------------------------------------------------------
+
+def test_short_items_in_long_documents(spark):
+    rng = random.Random(7)
+    say = lambda n: [rng.choice(WORDS) + str(rng.randint(0, 9)) for _ in range(n)]
+    items = [say(n) for n in (3, 5, 12, 30, 60)]
+    items.append(items[3])                                       # an equal item
+    texts = []
+    for share in (1.0, 0.95, 0.85, 0.7, 0.3):
+        for it in items:
+            part = it[: round(len(it) * share)]
+            texts.append(" ".join(say(2000) + part + say(500)).title().replace(" ", ",\n"))
+    texts += [None, "", "a b"]
+    grams = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    want = {(d, min(items.index(it), j), len(g), len(g & grams(words(t))))
+            for d, t in enumerate(texts) for j, it in enumerate(items)
+            if (g := grams(it)) and 100 * len(g & grams(words(t))) >= 80 * len(g)}
+    bench = spark.createDataFrame([(i, " ".join(w), "z") for i, w in enumerate(items)] + [(9, None, "z")],
+                                  "item_id long, text string, h string")
+    d = docs(spark, texts)
+    assert {tuple(r) for r in decontaminate.contained(d, bench).collect()} == want and want
+    clean = {r.doc_id for r in decontaminate.decontaminate(d, bench).collect()}
+    assert clean == set(range(len(texts))) - {w[0] for w in want}
+    assert decontaminate.contained(d, bench.limit(0)).count() == 0
+    assert decontaminate.contained(d.limit(0), bench).count() == 0
+    assert decontaminate.decontaminate(d.unionByName(d), bench).count() == 2 * len(clean)
+
+
+# --- personal data ------------------------------------------------------------------
+
+def luhn(n):
+    d = [int(c) for c in reversed(n)]
+    return sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])
+
+
+def test_pseudonyms_keep_format_and_links(spark):
+    rng = random.Random(11)
+    def card():
+        body = "4" + "".join(str(rng.randint(0, 9)) for _ in range(14))
+        return next(body + str(c) for c in range(10) if luhn(body + str(c)) % 10 == 0)
+    cards = [card() for _ in range(40)]
+    texts = [f"pay {c[:4]}-{c[4:8]}-{c[8:12]}-{c[12:]} or {c}, mail jo.{i}@ex.org, from 10.0.{i}.7 "
+             f"on 1984-03-{i % 28 + 1:02d}, call +1 (212) 555-{i:04d}; id 123-45-{i + 1000}" for i, c in enumerate(cards)]
+    texts += [None, "", "4.0. 300.1.1.1 2024-13-45 1234567890123456 nothing @ all"]
+    d = docs(spark, texts)
+    out = {r.doc_id: r for r in pii.pseudonymise(d, "secret").collect()}
+    again = {r.doc_id: r.text for r in pii.pseudonymise(d, "secret").collect()}
+    other = {r.doc_id: r.text for r in pii.pseudonymise(d, "other key").collect()}
+    assert {i: r.text for i, r in out.items()} == again
+    form = re.compile(r"pay (\d{4})-(\d{4})-(\d{4})-(\d{4}) or (\d{16}), mail [a-z]{2}\.\d+@ex\.org, from "
+                      r"(\d+)\.(\d+)\.(\d+)\.(\d+) on (\d{4}-\d\d-\d\d), call \+1 \(\d{3}\) \d{3}-\d{4}; id \d{3}-\d\d-\d{4}")
+    images = set()
+    for i in range(40):
+        m = form.fullmatch(out[i].text)
+        assert m, out[i].text
+        assert "".join(m.group(1, 2, 3, 4)) == m[5] != cards[i] and luhn(m[5]) % 10 == 0
+        assert all(int(m[k]) < 256 for k in (6, 7, 8, 9)) and out[i].n_private == 7
+        assert other[i] != out[i].text
+        images.add(m[5])
+    assert len(images) == len(set(cards))                    # a permutation: no two meet
+    assert out[40].text is None and out[41].text == "" and out[42].text == texts[42] and out[42].n_private == 0
+    with pytest.raises(ValueError):
+        pii.pseudonymise(d, "k", found="SOURCE")
+    assert pii.pseudonymise(d.limit(0), "k").count() == 0
+
+
+def test_the_permutation_is_one(spark):
+    for radix, n in ((10, 3), (10, 2), (16, 2), (26, 2), (10, 1)):
+        digits = "0123456789abcdefghijklmnop"[:radix]
+        every = [a + b + c for a in (digits if n > 2 else [""]) for b in (digits if n > 1 else [""]) for c in digits]
+        df = spark.createDataFrame([(x,) for x in every], "s string")
+        got = [r[0] for r in df.select(pii.permuted(F.col("s"), radix, "k", "t")).collect()]
+        assert sorted(got) == sorted(every) and got != every
+    long = "0123456789" * 6
+    assert len(spark.range(1).select(pii.permuted(F.lit(long), 10, "k", "t")).first()[0]) == 60
+    assert hashlib is not None
