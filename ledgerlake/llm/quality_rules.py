@@ -169,10 +169,10 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          F.col(key).alias("_id"), F.col(body).alias("_text")), "_text", rules)
     df = df.withColumn("_total", F.aggregate(
         "_lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))
-    df = df.where(~F.col("base_failed")).select("_row", "_id", "_text", "_total")
+    df = df.where(~F.col("base_failed")).select("_row", "_id", "_total")
     df = df.join(_removed(docs, text, host, rules), "_id", "left")
     df = df.where(~_depleted(F.coalesce("_gone", F.lit(0)), F.col("_total"), rules))
-    df = df.withColumn("_l", F.split("_text", "\n"))
+    df = df.withColumn("_l", F.split(text_or_empty(F.col(f"_row.`{text}`")), "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_cut"))
     rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_l"), i)), "\n")
     return df.select(*[
