@@ -20,7 +20,10 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,8 +34,11 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 CACHED_LENGTH = 64
+ENCODED_AT_ONCE = 4096
+BATCH_CHARS = 1 << 22
+CLOSING = ".,;:!?*%#&$|"
 
 
 @dataclass(frozen=True)
@@ -46,26 +52,73 @@ class Packing:
     gaps: str = " \n"
 
 
-class WordIds(dict):
-    """Ids of a stretch without gaps, as little-endian bytes, remembered."""
+class WordIds:
+    """Ids of words (stretches without gaps), as little-endian bytes.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+    The tokenizer sees each new word once, without its closing marks; the words
+    seen first, among them the frequent ones, stay remembered up to a bound."""
 
-
-def token_ids(text: str, known: WordIds, gaps: str) -> np.ndarray:
-    for g in gaps[1:]:
-        text = text.replace(g, gaps[0])
-    return np.frombuffer(b"".join(map(known.__getitem__, text.split(gaps[0]))), "<u4")
+    def __init__(self, path: str, gaps: str):
+        from tokenizers import Tokenizer
+        self.tokenizer, self.gaps = Tokenizer.from_file(path), gaps
+        self.known: dict[str, bytes] = {"": b""}
+        #: byte-level spelling: printable bytes are themselves, the n-th other
+        #: byte is the character 256 + n
+        others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        spell = {b: chr(256 + others.index(b)) if b in others else chr(b) for b in range(256)}
+        self.spelled = {c: "".join(spell[b] for b in chr(c).encode()) for c in range(256)}
+
+    def learn(self, words: list[str]) -> None:
+        """Words of plain letters go to the BPE model as they are: nothing but
+        lower case and the spelling of bytes stands between."""
+        model, spelled, other = self.tokenizer.model, self.spelled, []
+        for w in words:
+            if w.isalpha() and max(w) <= "\xff":
+                self.known[w] = array("I", [t.id for t in model.tokenize(w.lower().translate(spelled))]).tobytes()
+            else:
+                other.append(w)
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self.known[w] = array("I", e.ids).tobytes()
+
+    def of(self, texts: list[str]) -> Iterator[np.ndarray]:
+        split = []
+        for t in texts:
+            for g in self.gaps[1:]:
+                t = t.replace(g, self.gaps[0])
+            split.append(t.split(self.gaps[0]))
+        new = set().union(*split) - self.known.keys()
+        halves = {w: self.halves(w) for w in new}
+        parts = list(set().union(*halves.values()) - self.known.keys())
+        for k in range(0, len(parts), ENCODED_AT_ONCE):
+            self.learn(parts[k:k + ENCODED_AT_ONCE])
+        known = self.known
+        for w, (head, tail) in halves.items():
+            known[w] = known[head] + known[tail]
+        for w in split:
+            yield np.frombuffer(b"".join(map(known.__getitem__, w)), "<u4")
+        added = list(new.union(parts))
+        room = max(0, CACHED_WORDS - (len(known) - len(added)))
+        for k, w in enumerate(added):
+            if k >= room or len(w) > CACHED_LENGTH:
+                del known[w]
+
+    @staticmethod
+    def halves(word: str) -> tuple[str, str]:
+        """A word without its closing marks, and these.  The tokenizer never
+        joins a letter or digit with such a mark, and ignores ASCII case."""
+        head = word.rstrip(CLOSING)
+        if not head or not head[-1].isalnum():
+            return word, ""
+        return head.lower() if head.isascii() and "<|" not in head else head, word[len(head):]
+
+
+def word_ids(path: str, gaps: str) -> WordIds:
+    """One ``WordIds`` for all tasks of a Python worker."""
+    held = sys.modules.setdefault("_words_of_this_worker", types.ModuleType("_words_of_this_worker")).__dict__
+    key = f"{path} {gaps!r}"
+    if key not in held:
+        held[key] = WordIds(path, gaps)
+    return held[key]
 
 
 def id_type(how: Packing) -> str:
@@ -158,28 +211,29 @@ def pack(docs: DataFrame, how: Packing, doc_id: str = "doc_id", text: str = "tex
     kept = id_type(how)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(how.tokenizer)
+        known = word_ids(how.tokenizer, how.gaps)
         end = np.array([how.end_id], "<u4")
         for b in batches:
-            rows: list[list] = [[], [], [], [], []]
-            size = 0
-            for d, t in zip(b.column(0), b.column(1)):
-                ids = np.concatenate((token_ids(t.as_py(), known, how.gaps), end))
-                for s in range(0, len(ids), how.length):
-                    part = ids[s:s + how.length].astype(kept).tobytes()
-                    mark = zlib.crc32(part, zlib.crc32(f"{d.as_py()}/{s}".encode()))
-                    for col, v in zip(rows, (d, s, part, len(ids), mark * 2654435761 % (1 << 32) % groups)):
-                        col.append(v)
-                    size += len(part)
-                if size > 1 << 23:
-                    yield batch(rows, b.schema.field(0).type)
-                    rows, size = [[], [], [], [], []], 0
-            yield batch(rows, b.schema.field(0).type)
+            at = 0
+            while at < len(b):       # a few megabytes of text at a time
+                some, size = [], 0
+                while at + len(some) < len(b) and size < BATCH_CHARS:
+                    some.append(b.column(1)[at + len(some)].as_py())
+                    size += len(some[-1])
+                rows: list[list] = [[], [], [], [], []]
+                for k, ids in enumerate(known.of(some)):
+                    ids, d = np.concatenate((ids, end)), b.column(0)[at + k].as_py()
+                    for s in range(0, len(ids), how.length):
+                        part = ids[s:s + how.length].astype(kept).tobytes()
+                        mark = zlib.crc32(part, zlib.crc32(f"{d}/{s}".encode()))
+                        for col, v in zip(rows, (d, s, part, len(ids), mark * 2654435761 % (1 << 32) % groups)):
+                            col.append(v)
+                at += len(some)
+                yield batch(rows, b.schema.field(0).type)
 
     def batch(rows: list[list], kind: pa.DataType) -> pa.RecordBatch:
-        ids = pa.array([x.as_py() for x in rows[0]], kind)
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary()),
+            [pa.array(rows[0], kind), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary()),
              pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.int64())],
             names=["doc_id", "start", "part", "doc_tokens", "grp"])
 
