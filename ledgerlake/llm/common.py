@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -43,5 +45,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: later passes read the files, and a lost executor costs
     nothing but the tasks it was running."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    schema, spark = df.schema, df.sparkSession
+    del df
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished phases now: it does so
+    when the driver's collector finds that no plan refers to them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from .common import fresh, row_key, text_or_empty, words, written
 from .decontaminate import bitmap, is_set
 
-RARITY_BITS = 20      # log2 of the number of word buckets
+RARITY_BITS = 16      # log2 of the number of word buckets
 LOOKUP_BITS = 21      # log2 of the bits of the bitmap of sets to verify
+LARGE = 90            # sets of more words have a second parity bitmap
+PASSES = 4            # the words are joined in so many passes, to bound the shuffle
 
 
 def _shl(value: Column, n: Column) -> Column:
@@ -50,107 +52,139 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     given = docs.select(row_key(docs).alias("k"), F.col(f"`{doc_id}`").alias("doc_id"),
                         F.posexplode_outer(F.split(text_or_empty(F.col(f"`{text}`")), "\n"))
                         .alias("line_no", "line"))
-    tk = F.array_sort(F.array_distinct(F.transform(words(F.lower("line")), lambda w: F.xxhash64(w))))
+    tk = F.sort_array(F.array_distinct(F.transform(words(F.lower("line")), lambda w: F.xxhash64(w))))
     return (given.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
             .select("k", "doc_id", "line_no", tk.alias("tk"))
             .withColumn("set_id", F.xxhash64("tk")))
 
 
 def _rarity(lines: DataFrame) -> DataFrame:
-    """One row, one array: the level (about log2 of its count) of each bucket."""
+    """One row, one array: the level (about log2 of its count) of each bucket,
+    in the upper bits of a long."""
     buckets = 1 << RARITY_BITS
     counts = (lines.select(F.explode_outer("tk").alias("t"))
               .select(F.col("t").bitwiseAND(F.lit(buckets - 1)).alias("id"))
               .groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-              .select("id", F.least(F.floor(1.5 * F.log2("n")), F.lit(62)).cast("tinyint").alias("level")))
+              .select("id", F.least(F.floor(1.5 * F.log2("n")), F.lit(62)).cast("long").alias("level")))
     every = lines.sparkSession.range(buckets).join(counts, "id", "left")
     return every.agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("id", F.coalesce("level", F.lit(0).cast("tinyint")).alias("level")))),
+        F.sort_array(F.collect_list(F.struct("id", _shl(F.coalesce("level", F.lit(0).cast("long")), F.lit(57))
+                                             .alias("level")))),
         lambda x: x["level"]).alias("levels"))
 
 
 def _sets(lines: DataFrame, threshold: int) -> DataFrame:
-    """Per distinct set: set_id, n, its first place ``at``, the parity bitmap
-    (pa, pb), and its rarest words ``prefix`` in the common order."""
+    """Per distinct set: set_id, n, its first place ``at``, parity bitmaps and
+    its rarest words ``prefix`` in the common order.
+
+    ``p1`` has the parity of the words by the low six bits of their hash;
+    ``p2``, for large sets, that of the words with a negative hash alone."""
     levels = _rarity(lines).scalar()
-    low = (1 << 57) - 1
+    low, one, zero = (1 << 57) - 1, F.lit(1).cast("long"), F.lit(0).cast("long")
 
     def ranked(t: Column) -> Column:
         level = F.get("levels", t.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
-        return _shl(level.cast("long"), F.lit(57)).bitwiseOR(t.bitwiseAND(F.lit(low)))
+        return level.bitwiseOR(t.bitwiseAND(F.lit(low)))
 
-    def parity(negative: bool) -> Column:
-        def step(a: Column, t: Column) -> Column:
-            sign = F.shiftright(t, 63)
-            bit = _shl(F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))
-            return a.bitwiseXOR(bit.bitwiseAND(sign if negative else F.bitwise_not(sign)))
-        return F.aggregate("tk", F.lit(0).cast("long"), step)
+    def flip(a: Column, t: Column) -> Column:
+        return a.bitwiseXOR(_shl(one, t.bitwiseAND(F.lit(63)).cast("int")))
 
     n = F.size("tk")
     keep = n - F.expr(f"({threshold} * size(tk) + 99) div 100").cast("int") + 1
     per_line = (lines.withColumn("levels", levels)
                 .select("set_id", n.alias("n"), F.struct("doc_id", "line_no", "set_id").alias("at"),
-                        F.struct(parity(True).alias("pa"), parity(False).alias("pb"),
-                                 F.slice(F.array_sort(F.transform("tk", ranked)), F.lit(1), keep)
+                        F.struct(F.aggregate("tk", zero, flip).alias("p1"),
+                                 F.when(n > LARGE, F.aggregate(F.filter("tk", lambda t: t < 0), zero, flip))
+                                 .otherwise(zero).alias("p2"),
+                                 F.slice(F.sort_array(F.transform("tk", ranked)), F.lit(1), keep)
                                  .alias("prefix")).alias("sketch")))
     first = per_line.groupBy("set_id", "n").agg(
         F.min("at").alias("at"), F.first("sketch").alias("sketch"))
-    return first.select("set_id", "n", "at", "sketch.pa", "sketch.pb", "sketch.prefix")
-
-
-def _may_match(a: str, b: str, threshold: int, positions: bool) -> Column:
-    """Necessary conditions for sets a and b, from their sizes and sketches."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    both = na + nb
-    need = F.expr(f"({threshold} * ({a}.n + {b}.n) + {99 + threshold}) div {100 + threshold}")
-    apart = (F.bit_count(F.col(f"{a}.pa").bitwiseXOR(F.col(f"{b}.pa")))
-             + F.bit_count(F.col(f"{a}.pb").bitwiseXOR(F.col(f"{b}.pb"))))
-    ok = ((100 * F.least(na, nb) >= threshold * F.greatest(na, nb))
-          & (apart <= both - 2 * need) & (F.col(f"{a}.at") > F.col(f"{b}.at")))
-    if positions:
-        ok &= F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos")) >= need
-    return ok
-
-
-def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
-    """set_id of the later sets of ``pairs`` (later, earlier) that do match."""
-    ids = pairs.select(F.explode(F.array("later", "earlier")).alias("set_id")).distinct()
+    return first.select("set_id", "n", "at", "sketch.p1", "sketch.p2", "sketch.prefix")
+
+
+def _may_match(threshold: int) -> Column:
+    """Necessary conditions for sets a and b, from their sizes and bitmaps:
+    no more parity bits differ than words may."""
+    na, nb = F.col("a.n"), F.col("b.n")
+    apart = na + nb - 2 * _needed(threshold)
+    all_words = F.col("a.p1").bitwiseXOR(F.col("b.p1"))
+    some = F.col("a.p2").bitwiseXOR(F.col("b.p2"))
+    return ((100 * F.least(na, nb) >= threshold * F.greatest(na, nb))
+            & (F.bit_count(all_words) <= apart)
+            & ((F.least(na, nb) <= LARGE)
+               | (F.bit_count(some) + F.bit_count(some.bitwiseXOR(all_words)) <= apart)))
+
+
+def _needed(threshold: int) -> Column:
+    """Common words that sets of the sizes a.n and b.n must have at least."""
+    return F.expr(f"(({threshold} * (a.n + b.n) + {99 + threshold}) div {100 + threshold})")
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """set_id of the later set of each of ``pairs`` (x, y) that does match."""
+    pairs = written(pairs, "line-pairs")
+    ids = pairs.select(F.explode(F.array("x", "y")).alias("set_id")).distinct()
     wanted = bitmap(ids, "set_id", LOOKUP_BITS).scalar()
     tokens = (lines.select("set_id", "tk").where(is_set(wanted, F.col("set_id"), LOOKUP_BITS))
               .groupBy("set_id").agg(F.first("tk").alias("tk")))
-    held = (pairs.join(tokens.withColumnsRenamed({"set_id": "later", "tk": "ta"}), "later")
-            .join(tokens.withColumnsRenamed({"set_id": "earlier", "tk": "tb"}), "earlier"))
-    common = F.size(F.array_intersect("ta", "tb"))
-    return (held.withColumn("common", common)
-            .where(100 * F.col("common") >= threshold * (F.size("ta") + F.size("tb") - F.col("common")))
-            .select(F.col("later").alias("set_id")).distinct())
+    places = sets.select("set_id", "at").where(is_set(wanted, F.col("set_id"), LOOKUP_BITS))
+    whole = written(tokens.join(places, "set_id"), "line-candidates")
+    held = (pairs.join(whole.select(F.col("set_id").alias("x"), F.col("tk").alias("tx"), F.col("at").alias("ax")), "x")
+            .join(whole.select(F.col("set_id").alias("y"), F.col("tk").alias("ty"), F.col("at").alias("ay")), "y"))
+    common = F.size(F.array_intersect("tx", "ty"))
+    return (held.select("ax", "ay", F.size("tx").alias("nx"), F.size("ty").alias("ny"), common.alias("common"))
+            .where(100 * F.col("common") >= threshold * (F.col("nx") + F.col("ny") - F.col("common")))
+            .select(F.greatest("ax", "ay")["set_id"].alias("set_id")).distinct())
 
 
 def _matched_sets(sets: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     """set_id of every set that matches an earlier, different set."""
     def pairs_of(joined: DataFrame) -> DataFrame:
-        return joined.select(F.col("a.set_id").alias("later"), F.col("b.set_id").alias("earlier")).distinct()
+        return joined.select(F.least("a.set_id", "b.set_id").alias("x"),
+                             F.greatest("a.set_id", "b.set_id").alias("y")).distinct()
 
     # a set that cannot match even one more or one fewer word has no partner
     long_enough = sets.where(100 * F.col("n") >= threshold * (F.col("n") + 1))
     # Round 1: the earliest set with the same rare word and like size.
     like = F.floor(F.log(F.col("n").cast("double")) * 4).cast("int")
-    heads = long_enough.select("set_id", "n", "at", "pa", "pb", like.alias("like"),
+    heads = long_enough.select("set_id", "n", "at", "p1", "p2", like.alias("like"),
                                F.explode_outer(F.slice("prefix", 1, 2)).alias("rk"))
     leaders = heads.groupBy("rk", "like").agg(
-        F.min(F.struct("at", "set_id", "n", "pa", "pb")).alias("b")).select("rk", "like", "b.*")
-    first = pairs_of(heads.alias("a").join(
-        leaders.alias("b"), (F.col("a.rk") == F.col("b.rk")) & (F.col("a.like") == F.col("b.like"))
-        & _may_match("a", "b", threshold, False)))
-    decided = written(_verified(written(first, "line-pairs"), lines, threshold), "decided-sets")
-    # Round 2: all earlier sets, for what is undecided.
-    tokens = long_enough.select("set_id", "n", "at", "pa", "pb",
-                                F.posexplode_outer("prefix").alias("pos", "rk"))
-    later = tokens.join(decided, "set_id", "left_anti")
-    second = pairs_of(later.alias("a").join(
-        tokens.alias("b"), (F.col("a.rk") == F.col("b.rk")) & _may_match("a", "b", threshold, True)))
-    rest = _verified(written(second, "line-pairs"), lines, threshold)
-    return decided.unionByName(rest)
+        F.min(F.struct("at", "set_id", "n", "p1", "p2")).alias("b")).select("rk", "like", "b.*")
+    first = pairs_of(heads.drop("at").alias("a").join(
+        leaders.drop("at").alias("b"), (F.col("a.rk") == F.col("b.rk")) & (F.col("a.like") == F.col("b.like"))
+        & (F.col("a.set_id") != F.col("b.set_id")) & _may_match(threshold)))
+    decided = written(_verified(first, lines, sets, threshold), "decided-sets")
+    # Round 2: all pairs with an undecided set.  Both sides of the join have
+    # the same columns and conditions, so the words are shuffled once; they are
+    # taken in passes, each of which frees its shuffle files before the next.
+    done = decided.withColumn("done", F.lit(1))
+    flagged = written(long_enough.join(done, "set_id", "left").select(
+        "set_id", "p1", "p2", "prefix",
+        (F.col("n").cast("long") * 2 + F.coalesce("done", F.lit(0))).alias("nd")), "flagged-sets")
+
+    def unpacked(side: DataFrame, name: str) -> DataFrame:
+        return side.select("rk", "set_id", "p1", "p2", F.shiftright("npd", 21).cast("int").alias("n"),
+                           F.shiftright("npd", 1).bitwiseAND(F.lit((1 << 20) - 1)).cast("int").alias("pos"),
+                           F.col("npd").bitwiseAND(F.lit(1)).alias("done")).alias(name)
+
+    found = None
+    for k in range(PASSES):
+        tokens = (flagged.select("set_id", "p1", "p2", "nd", F.posexplode_outer("prefix").alias("pos", "rk"))
+                  .where(F.pmod("rk", F.lit(PASSES)) == k)
+                  .select("rk", "set_id", "p1", "p2",
+                          (F.shiftright("nd", 1) * (1 << 21) + F.col("pos") * 2
+                           + F.col("nd").bitwiseAND(F.lit(1))).alias("npd")))
+        both = unpacked(tokens, "a").join(
+            unpacked(tokens, "b"),
+            (F.col("a.rk") == F.col("b.rk")) & (F.col("a.set_id") < F.col("b.set_id"))
+            & (F.col("a.done") + F.col("b.done") < 2) & _may_match(threshold)
+            & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= _needed(threshold)))
+        some = written(pairs_of(both), f"line-pairs-{k}")
+        found = some if found is None else found.unionByName(some)
+    rest = _verified(found.distinct(), lines, sets, threshold)
+    return decided.unionByName(rest).distinct()
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
