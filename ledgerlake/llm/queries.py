@@ -84,16 +84,17 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as WARC records in files, against a replica of the same files in
     which one page in 97 has a flipped byte and one in 89 is lost."""
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id", warc_fixity.record(F.col("url"), F.col("html")).alias("payload"))
-    place = warc_fixity.lay_out(pages.select("page_id", F.octet_length("payload").cast("long").alias("length")),
-                                "page_id")
-    records = warc_fixity.written(place.dropDuplicates(["page_id", "length"]), "warc-places")
-    first = pages.withColumn("length", F.octet_length("payload").cast("long")).join(
-        records, ["page_id", "length"])
+    payload = warc_fixity.record(F.col("url"), F.col("html"))
     flipped = F.concat(F.lit("w"), F.substring("payload", F.lit(2), F.length("payload")))
-    second = first.where(F.pmod("page_id", F.lit(89)) != 7).withColumn(
-        "payload", F.when(F.pmod("page_id", F.lit(97)) == 5, flipped).otherwise(F.col("payload")))
+    pages = table(spark, sf_dir, "pages").select("page_id", payload.alias("payload")).select(
+        "page_id", F.octet_length("payload").cast("long").alias("length"),
+        warc_fixity.hashed(F.col("payload")).alias("sound"),
+        F.when(F.pmod("page_id", F.lit(97)) == 5, warc_fixity.hashed(flipped)).alias("flipped"))
+    records = warc_fixity.written(
+        warc_fixity.lay_out(pages, "page_id", ["length", "sound"]), "warc-places")
+    first = records.withColumn("digest", F.col("sound"))
+    second = records.where(F.pmod("page_id", F.lit(89)) != 7).withColumn(
+        "digest", F.coalesce("flipped", "sound"))
     found = warc_fixity.audit(first, second)
     return found.join(records, ["file", "offset"]).select("page_id", "file", "offset", "length", "status")
 

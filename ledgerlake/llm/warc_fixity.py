@@ -1,7 +1,8 @@
 """Merkle fixity audit of WARC replicas.
 
 A replica is a table of records: ``file``, ``offset`` (of the record in its
-file), ``length`` and ``payload``.  Each record is hashed with its place; the
+file), and its ``payload``, or the ``digest`` that ``hashed`` made of it where the
+payload was read.  Each record is hashed with its place; the
 records of an offset range of ``range_bytes`` form a leaf, ordered by offset;
 ``fanout`` neighbouring nodes form the next level, up to one root per file, and
 the file roots one root per replica.  An audit compares the roots and descends
@@ -45,22 +46,28 @@ def record(url: Column, body: Column) -> Column:
         body, F.lit("\r\n\r\n"))
 
 
-def lay_out(records: DataFrame, record_id: str, records_per_file: int = 1024) -> DataFrame:
+def lay_out(records: DataFrame, record_id: str, order: list[str],
+            records_per_file: int = 1024) -> DataFrame:
     """Adds ``file`` and ``offset`` to records with an integer id and a
-    ``length``: ids are dealt to files in turn and follow each other there.
-    A file holds a bounded number of ids."""
+    ``length``: ids are dealt to files in turn and follow each other there, ties
+    by ``order``.  A file holds a bounded number of ids."""
     files = max(1, -(-records.count() // records_per_file))
     placed = records.withColumn("file", F.pmod(F.col(record_id), F.lit(files)))
-    before = Window.partitionBy("file").orderBy(record_id, "length").rowsBetween(
+    before = Window.partitionBy("file").orderBy(record_id, *order).rowsBetween(
         Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
 
 
+def hashed(payload: Column) -> Column:
+    """The digest of a record; a null payload is an empty record."""
+    return F.sha2(F.coalesce(payload.cast("binary"), F.lit("").cast("binary")), 256)
+
+
 def record_digests(replica: DataFrame, how: Tree) -> DataFrame:
     """(file, leaf, offset, digest): one row per place."""
-    payload = F.coalesce(F.col("payload").cast("binary"), F.lit("").cast("binary"))
+    digest = F.col("digest") if "digest" in replica.columns else hashed(F.col("payload"))
     one = replica.where(F.col("file").isNotNull() & F.col("offset").isNotNull()).select(
-        "file", "offset", F.sha2(payload, 256).alias("d"))
+        "file", "offset", digest.alias("d"))
     # several records at one place: sums of their digests' quarters, so that
     # even a place with very many rows is combined before the shuffle
     quarters = [F.sum(F.conv(F.substring("d", 16 * i + 1, 15), 16, 10).cast("decimal(38,0)"))
