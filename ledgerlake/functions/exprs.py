@@ -23,7 +23,7 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
 
 # Digits kept beyond the target scale before the final rounding, so that
 # 0.00499999999 does not become 0.005 on its way to two decimals.
-GUARD_DIGITS = 8
+GUARD_DIGITS = 10
 
 
 def round_half_up(c: str | Column, scale: int) -> Column:

@@ -6,7 +6,7 @@ roll-up per portfolio joined to its owner, labels and limits from small VALUES
 tables.  The driver registers the source tables as views.
 
 Conventions shared with the Spark side: as-of date 2024-01-31; aggregated
-doubles rounded HALF_UP through a decimal with eight guard digits (``R``);
+doubles rounded HALF_UP through a decimal with ten guard digits (``R``);
 integer sums cast to BIGINT.
 """
 
@@ -18,7 +18,7 @@ AS_OF = "DATE '2024-01-31'"
 def R(expr: str, n: int) -> str:
     # by way of the shortest text of the double, which is exact; the direct cast
     # multiplies in binary and misses ties
-    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,{n + 8})), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,{n + 10})), {n}) AS DOUBLE)"
 
 
 def window(days: int, ds: str = "ds") -> str:
