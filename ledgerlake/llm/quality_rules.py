@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP, fresh, row_key, text_or_empty, words
+from .common import WORD_GAP, fresh, row_key, text_or_empty, words, written
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 #: Characters counted as symbols.
@@ -140,10 +140,9 @@ def _depleted(gone: Column, total: Column, rules: Rules) -> Column:
     return gone > (1 - rules.min_rest) * total
 
 
-def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          host: str = "source", rules: Rules = Rules()) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, the base columns,
-    ``removed_chars`` (code points of removed lines), ``depleted``, ``kept``."""
+def _verdicts(docs: DataFrame, doc_id: str, text: str, host: str, rules: Rules) -> DataFrame:
+    """Per row of ``docs``: ``_id``, ``_cut`` (numbers of its removed lines) and
+    the columns of ``judge``."""
     base = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), row_key(docs).alias("_id"),
                        text_or_empty(F.col(f"`{text}`")).alias("_text"))
     base = _base(base, "_text", rules)
@@ -151,30 +150,35 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "_lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
             "n_repeat_words", "base_failed"]
-    out = base.select("_id", "_total", *cols).join(
-        _removed(docs, text, host, rules).drop("_cut"), "_id", "left")
+    out = base.select("_id", "_total", *cols).join(_removed(docs, text, host, rules), "_id", "left")
     gone = F.coalesce("_gone", F.lit(0)).cast("long")
     depleted = _depleted(gone, F.col("_total"), rules)
-    return out.select(*cols, (~F.col("base_failed") & ~depleted).alias("kept"),
+    return out.select("_id", "_cut", *cols, (~F.col("base_failed") & ~depleted).alias("kept"),
                       gone.alias("removed_chars"), depleted.alias("depleted"))
 
 
+def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+          host: str = "source", rules: Rules = Rules()) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, the base columns,
+    ``removed_chars`` (code points of removed lines), ``depleted``, ``kept``."""
+    return _verdicts(docs, doc_id, text, host, rules).drop("_id", "_cut")
+
+
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
           host: str = "source", rules: Rules = Rules()) -> DataFrame:
     """``docs`` without rejected rows, the boilerplate lines cut from the
-    texts of the others (blank lines stay); same columns, same order."""
-    key, body = fresh(docs, "_id"), fresh(docs, "_text")
-    df = docs.withColumn(key, row_key(docs)).withColumn(body, text_or_empty(F.col(f"`{text}`")))
-    df = _base(df.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"),
-                         F.col(key).alias("_id"), F.col(body).alias("_text")), "_text", rules)
-    df = df.withColumn("_total", F.aggregate(
-        "_lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x)))
-    df = df.where(~F.col("base_failed")).select("_row", "_id", "_total")
-    df = df.join(_removed(docs, text, host, rules), "_id", "left")
-    df = df.where(~_depleted(F.coalesce("_gone", F.lit(0)), F.col("_total"), rules))
-    df = df.withColumn("_l", F.split(text_or_empty(F.col(f"_row.`{text}`")), "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_cut"))
-    rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_l"), i)), "\n")
+    texts of the others (blank lines stay); same columns, same order.
+
+    The verdicts are written first: as a filter of the same plan they would be
+    pushed below the steps that compute them, and be computed over and over."""
+    verdicts = written(_verdicts(docs, doc_id, text, host, rules).select("_id", "_cut", "kept"),
+                       "quality-verdicts").dropDuplicates(["_id"])
+    key, cut, lines = (fresh(docs, c) for c in ("_id", "_cut", "_l"))
+    df = docs.withColumn(key, row_key(docs)).join(
+        verdicts.where("kept").select(F.col("_id").alias(key), F.col("_cut").alias(cut)), key)
+    df = df.withColumn(lines, F.split(text_or_empty(F.col(f"`{text}`")), "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(cut))
+    rest = F.array_join(F.transform(left, lambda i: F.get(F.col(lines), i)), "\n")
     return df.select(*[
-        F.when(F.col("_cut").isNull(), F.col(f"_row.`{c}`")).otherwise(rest).alias(c)
-        if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+        F.when(F.col(cut).isNull(), F.col(f"`{c}`")).otherwise(rest).alias(c)
+        if c == text else F.col(f"`{c}`") for c in docs.columns])
