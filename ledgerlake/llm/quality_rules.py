@@ -9,17 +9,24 @@ Two kinds of rules decide about a document:
   than ``max_docs`` distinct documents of one host carry is boilerplate and is
   removed, and a document of which too little is left is depleted.
 
-Counting documents must not punish copies: a group of copies shares *every*
-line, and dropping copies is the near-duplicate stage's decision.  Documents
-are therefore counted by content: for a line, the least digest of the
-document's *other* lines stands for the document, so exact copies count once,
-and near copies nearly so.  A line is boilerplate only if, besides the limit, at least ``min_spread`` of the
-documents that carry it are distinct by content.
-
-Scale: each document contributes its distinct line hashes once; both counts
-are hash aggregations with map-side combine, so a line in a third of all
-documents is spread over tasks by content first.  The join back is a plain
-equi-join that AQE can split.  Texts are never shuffled by ``judge``.
+Documents are counted by content, as the digest of all their normalised lines,
+so that exact copies count once.  No block of lines, however long, can make two
+documents one that differ elsewhere.
+
+Near copies have a rule of their own, because a group of them shares nearly
+*every* line, and dropping copies is the near-duplicate stage's decision: before
+documents are digested, each line that is a variant of a line above the limit
+(at least ``same_pct`` per cent of their distinct words in common, estimated from
+the ``sketch`` least word hashes of each) is replaced by that line.  Near copies
+that differ by edited words so become one document.  Those that differ by a line
+of their own, by a line cut in two, or by a word in a line too short for
+``same_pct`` do not.
+
+Scale: lines are written once as hashes and read from there; texts are never
+shuffled by ``judge``.  Counts are hash aggregations with map-side combine over
+(line, document), so a line in a third of all documents is spread over tasks
+first.  Only documents with a line above the limit are digested again.  Joins are
+plain equi-joins that AQE can split.
 
 Defined results: a null text is the empty text (no words, base rules reject
 it); a null host is a host of its own; repeated rows are judged alike; an
@@ -50,6 +57,10 @@ class Rules:
     max_docs: int = 20
     #: ... if at least this share of the documents that carry it is distinct
     min_spread: float = 0.5
+    #: lines with this share of words in common are variants ...
+    same_pct: int = 80
+    #: ... held against each other by so many word hashes
+    sketch: int = 16
     #: a document with a smaller share of its line characters left is depleted
     min_rest: float = 0.3
 
@@ -97,42 +108,84 @@ def normalised(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, WORD_GAP, " ")))
 
 
-def _lines(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """Per row: ``_id`` (row key) and ``_ln``, its lines as (k: hash of host
-    and normalised line, n: code points, i: number, s: the least digest of the
-    document's other lines); k is null for lines without a word."""
+def _lines(docs: DataFrame, text: str, host: str, rules: Rules) -> DataFrame:
+    """Per line with a word, written: ``_id`` (row key), ``h`` (host), ``d``
+    (digest of the document's normalised lines), ``k`` (hash of host and
+    normalised line), ``n`` (code points), ``i`` (number), ``sk`` (least word hashes)."""
     df = docs.select(
         row_key(docs).alias("_id"),
-        F.xxhash64(F.col(f"`{host}`").isNull().cast("int"), F.col(f"`{host}`")).alias("_h"),
+        F.xxhash64(F.col(f"`{host}`").isNull().cast("int"), F.col(f"`{host}`")).alias("h"),
         F.split(text_or_empty(F.col(f"`{text}`")), "\n").alias("_l"))
     df = df.withColumn("_norm", F.transform("_l", lambda x: F.when(x.rlike(HAS_WORD), normalised(x))))
-    df = df.withColumn("_md", F.transform("_norm", lambda x: F.md5(x.cast("binary"))))
-    df = df.withColumn("_least", F.slice(F.sort_array(F.array_distinct(F.array_compact("_md"))), 1, 2))
-    return df.select("_id", F.transform(F.arrays_zip("_norm", "_md", "_l"), lambda x, i: F.struct(
-        F.when(x["_norm"].isNotNull(), F.xxhash64(F.col("_h"), x["_norm"])).alias("k"),
-        F.length(x["_l"]).alias("n"), i.alias("i"),
-        F.xxhash64(F.when(x["_md"] == F.get("_least", F.lit(0)), F.get("_least", F.lit(1)))
-                   .otherwise(F.get("_least", F.lit(0)))).alias("s"))).alias("_ln"))
+
+    def sketch(line):
+        hashes = F.transform(F.split(line, " "), lambda w: F.hash(F.col("h"), w))
+        return F.slice(F.sort_array(F.array_distinct(hashes)), 1, rules.sketch)
+
+    rows = F.transform(F.arrays_zip("_norm", "_l"), lambda x, i: F.struct(
+        F.when(x["_norm"].isNotNull(), F.xxhash64(F.col("h"), x["_norm"])).alias("k"),
+        F.length(x["_l"]).alias("n"), i.alias("i"), sketch(x["_norm"]).alias("sk")))
+    df = df.select("_id", "h", F.xxhash64("h", "_norm").alias("d"), F.explode_outer(rows).alias("x"))
+    return written(df.select("_id", "h", "d", "x.k", "x.n", "x.i", "x.sk").where(F.col("k").isNotNull()),
+                   "quality-lines")
+
+
+def _variants(lines: DataFrame, common: DataFrame, rules: Rules) -> DataFrame:
+    """(k, as): the lines of ``lines`` that are variants of one of ``common``, and
+    the least such; both have (k, sk), and hosts stay apart by their hashes."""
+    def keyed(df):   # any three of the four least hashes: one edited word leaves one key
+        least = [F.get("sk", F.lit(i)) for i in range(4)]
+        keys = F.array(*[F.xxhash64(*[x for x in least if x is not skipped]) for skipped in least])
+        return df.where(F.size("sk") > 4).withColumn("key", F.explode(keys))
+
+    ours = keyed(lines).alias("a")
+    theirs = keyed(common.withColumnsRenamed({"k": "as", "sk": "with"})
+                   .withColumn("sk", F.col("with"))).drop("sk").alias("b")
+    least = F.slice(F.array_sort(F.array_union("sk", "with")), 1, rules.sketch)
+    both = F.size(F.array_intersect(F.array_intersect("sk", "with"), least))
+    return (ours.join(theirs, (F.col("a.key") == F.col("b.key"))
+                      & (100 * both >= rules.same_pct * F.size(least)))
+            .groupBy("k").agg(F.min("as").alias("as")))
+
+
+def _contents(lines: DataFrame, common: DataFrame, rules: Rules) -> DataFrame:
+    """(d, content) of the documents with a line of ``common``: the digest of
+    their lines with variants of common lines replaced."""
+    touched = lines.join(common.select("k"), "k", "left_semi").select("d").distinct()
+    theirs = lines.select("d", "k", "sk").join(touched, "d", "left_semi").distinct()
+    theirs = written(theirs.join(common.select("k", F.lit(True).alias("common")), "k", "left"),
+                     "quality-touched")
+    sets = theirs.select("k", "sk", "common").distinct()
+    variants = _variants(sets.where(F.col("common").isNull()).select("k", "sk"),
+                         sets.where("common").select("k", "sk"), rules)
+    return theirs.select("d", "k").join(variants, "k", "left").groupBy("d").agg(
+        F.xxhash64(F.sort_array(F.collect_set(F.coalesce("as", "k")))).alias("content"))
+
+
+def _frequent(lines: DataFrame, rules: Rules) -> DataFrame:
+    """One row ``k`` per line of ``_lines`` above the limits."""
+    held = lines.groupBy("k", "d").agg(F.count(F.lit(1)).alias("n"))
+    common = written(held.groupBy("k").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("docs"))
+                     .where(F.col("texts") > rules.max_docs), "quality-common")
+    carriers = lines.select("k", "d").join(common.select("k"), "k", "left_semi").distinct()
+    per_line = carriers.join(_contents(lines, common, rules), "d").groupBy("k").agg(
+        F.count_distinct("content").alias("distinct_docs")).join(common, "k")
+    return per_line.where(
+        (F.col("distinct_docs") > rules.max_docs)
+        & (F.col("distinct_docs") >= rules.min_spread * F.col("docs"))).select("k")
 
 
 def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",
                    rules: Rules = Rules()) -> DataFrame:
     """One row ``k`` per (host, normalised line) above the limits."""
-    per_doc = _lines(docs, text, host).select(F.explode_outer(F.array_distinct(F.transform(
-        "_ln", lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"))))).alias("x")).select("x.k", "x.s")
-    by_content = per_doc.where(F.col("k").isNotNull()).groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
-    per_line = by_content.groupBy("k").agg(
-        F.count(F.lit(1)).alias("distinct_docs"), F.sum("n").alias("docs"))
-    return per_line.where(
-        (F.col("distinct_docs") > rules.max_docs)
-        & (F.col("distinct_docs") >= rules.min_spread * F.col("docs"))).select("k")
+    return _frequent(_lines(docs, text, host, rules), rules)
 
 
 def _removed(docs: DataFrame, text: str, host: str, rules: Rules) -> DataFrame:
     """Per row key with removed lines: their code points and their numbers."""
-    lines = (_lines(docs, text, host).select("_id", F.explode_outer("_ln").alias("x"))
-             .select("_id", "x.k", "x.n", "x.i").where(F.col("k").isNotNull()))
-    hits = lines.join(frequent_lines(docs, text, host, rules), "k").dropDuplicates(["_id", "i"])
+    lines = _lines(docs, text, host, rules)
+    hits = (lines.select("_id", "k", "n", "i").join(_frequent(lines, rules), "k")
+            .dropDuplicates(["_id", "i"]))
     return hits.groupBy("_id").agg(F.sum("n").alias("_gone"), F.collect_set("i").alias("_cut"))
 
 

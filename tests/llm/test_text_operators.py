@@ -98,6 +98,30 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert quality_rules.frequent_lines(apart).count() == 0
 
 
+def own(kind, i, n=12):
+    return " ".join(f"{kind}{i}n{j}" for j in range(n))
+
+
+def test_a_long_block_is_boilerplate_and_near_copies_are_not(spark):
+    for shared, mine in ((10, 3), (4, 2)):
+        block = [own("block", j) for j in range(shared)]
+        texts = ["\n".join(block + [own(f"m{j}x", i) for j in range(mine)]) for i in range(60)]
+        got = {r.doc_id: r for r in quality_rules.judge(docs(spark, texts)).collect()}
+        cut = sum(map(len, block))
+        for i, t in enumerate(texts):
+            assert got[i].removed_chars == cut and got[i].kept == (cut <= 0.7 * (len(t) - t.count("\n"))), (shared, mine)
+    # near copies: one or two edited words in each, wherever they stand
+    rng = random.Random(9)
+    lines = [[f"c{j}n{k}" for k in range(30)] for j in range(6)]
+    texts = []
+    for i in range(120):
+        near = [list(x) for x in lines]
+        for _ in range(1 + i % 2):
+            near[rng.randrange(6)][rng.randrange(30)] = f"edit{i}"
+        texts.append("\n".join(" ".join(x) for x in near))
+    assert all(r.kept and r.removed_chars == 0 for r in quality_rules.judge(docs(spark, texts)).collect())
+
+
 def test_quality_odd_inputs(spark, corpus):
     d = docs(spark, corpus)
     assert quality_rules.judge(d.limit(0)).count() == 0 and quality_rules.clean(d.limit(0)).count() == 0
