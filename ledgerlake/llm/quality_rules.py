@@ -20,7 +20,8 @@ documents are digested, each line that is a variant of a line above the limit
 the ``sketch`` least word hashes of each) is replaced by that line.  Near copies
 that differ by edited words so become one document.  Those that differ by a line
 of their own, by a line cut in two, or by a word in a line too short for
-``same_pct`` do not.
+``same_pct`` do not.  Rows play no part: a group of copies adds one document, so it neither
+makes a line boilerplate nor keeps one from being it.
 
 Scale: lines are written once as hashes and read from there; texts are never
 shuffled by ``judge``.  Counts are hash aggregations with map-side combine over
@@ -53,9 +54,9 @@ class Rules:
     min_words: int = 20
     window: int = 8
     max_repeat_pct: int = 30
-    #: a line in more distinct documents of its host than this is removed ...
+    #: a line in more distinct documents of its host than this is removed
     max_docs: int = 20
-    #: ... if at least this share of the documents that carry it is distinct
+    #: only in the SQL of the earlier rule, which compared distinct documents with rows
     min_spread: float = 0.5
     #: lines with this share of words in common are variants ...
     same_pct: int = 80
@@ -164,15 +165,13 @@ def _contents(lines: DataFrame, common: DataFrame, rules: Rules) -> DataFrame:
 
 def _frequent(lines: DataFrame, rules: Rules) -> DataFrame:
     """One row ``k`` per line of ``_lines`` above the limits."""
-    held = lines.groupBy("k", "d").agg(F.count(F.lit(1)).alias("n"))
-    common = written(held.groupBy("k").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("docs"))
+    held = lines.select("k", "d").distinct()
+    common = written(held.groupBy("k").agg(F.count(F.lit(1)).alias("texts"))
                      .where(F.col("texts") > rules.max_docs), "quality-common")
     carriers = lines.select("k", "d").join(common.select("k"), "k", "left_semi").distinct()
     per_line = carriers.join(_contents(lines, common, rules), "d").groupBy("k").agg(
-        F.count_distinct("content").alias("distinct_docs")).join(common, "k")
-    return per_line.where(
-        (F.col("distinct_docs") > rules.max_docs)
-        & (F.col("distinct_docs") >= rules.min_spread * F.col("docs"))).select("k")
+        F.count_distinct("content").alias("distinct_docs"))
+    return per_line.where(F.col("distinct_docs") > rules.max_docs).select("k")
 
 
 def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",

@@ -122,6 +122,14 @@ def test_a_long_block_is_boilerplate_and_near_copies_are_not(spark):
     assert all(r.kept and r.removed_chars == 0 for r in quality_rules.judge(docs(spark, texts)).collect())
 
 
+def test_copies_do_not_keep_a_line_of_others(spark):
+    line = own("legal", 0)
+    texts = [f"{own('body', i, 40)}\n{line}" for i in range(40)]
+    texts += [f"{own('copied', 0, 40)}\n{line}"] * 100
+    got = quality_rules.judge(docs(spark, texts)).collect()
+    assert all(r.kept and r.removed_chars == len(line) for r in got)
+
+
 def test_quality_odd_inputs(spark, corpus):
     d = docs(spark, corpus)
     assert quality_rules.judge(d.limit(0)).count() == 0 and quality_rules.clean(d.limit(0)).count() == 0
