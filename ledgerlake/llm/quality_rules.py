@@ -5,8 +5,9 @@ Two kinds of rules decide about a document:
 * base rules on the text alone: too few words, or too many words inside
   8-word windows that the text holds more than once;
 * cross-document line frequency: lines are normalised (lower case, white
-  space collapsed) and hashed with their host; a line that more
-  than ``max_docs`` distinct documents of one host carry is boilerplate and is
+  space collapsed) and hashed with their host; a line that more than
+  ``max_share`` of the distinct documents of one host carry (and more than
+  ``max_docs``, which counts on hosts with few) is boilerplate and is
   removed, and a document of which too little is left is depleted.
 
 Documents are counted by content, as the digest of all their normalised lines,
@@ -21,13 +22,14 @@ the ``sketch`` least word hashes of each) is replaced by that line.  Near copies
 that differ by edited words so become one document.  Those that differ by a line
 of their own, by a line cut in two, or by a word in a line too short for
 ``same_pct`` do not.  Rows play no part: a group of copies adds one document, so it neither
-makes a line boilerplate nor keeps one from being it.
+makes a line boilerplate nor keeps one from being it.  Lines are put through this
+from a quarter of the share on, counted with the near copies; so near copies hide
+a line only if they are some 75 times the other documents of its host.
 
 Scale: lines are written once as hashes and read from there; texts are never
 shuffled by ``judge``.  Counts are hash aggregations with map-side combine over
 (line, document), so a line in a third of all documents is spread over tasks
-first.  Only documents with a line above the limit are digested again.  Joins are
-plain equi-joins that AQE can split.
+first.  Joins are plain equi-joins that AQE can split.
 
 Defined results: a null text is the empty text (no words, base rules reject
 it); a null host is a host of its own; repeated rows are judged alike; an
@@ -54,8 +56,10 @@ class Rules:
     min_words: int = 20
     window: int = 8
     max_repeat_pct: int = 30
-    #: a line in more distinct documents of its host than this is removed
+    #: a line in more distinct documents of its host than this is removed ...
     max_docs: int = 20
+    #: ... if they are also more than this share of the host's distinct documents
+    max_share: float = 0.05
     #: only in the SQL of the earlier rule, which compared distinct documents with rows
     min_spread: float = 0.5
     #: lines with this share of words in common are variants ...
@@ -131,47 +135,57 @@ def _lines(docs: DataFrame, text: str, host: str, rules: Rules) -> DataFrame:
                    "quality-lines")
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """Adds ``key``, a row for any three of the four least hashes of ``sk``: one
+    edited word leaves one key at least."""
+    least = [F.get("sk", F.lit(i)) for i in range(4)]
+    keys = F.array(*[F.xxhash64(*[x for x in least if x is not skipped]) for skipped in least])
+    return df.where(F.size("sk") > 4).withColumn("key", F.explode(keys))
+
+
 def _variants(lines: DataFrame, common: DataFrame, rules: Rules) -> DataFrame:
-    """(k, as): the lines of ``lines`` that are variants of one of ``common``, and
-    the least such; both have (k, sk), and hosts stay apart by their hashes."""
-    def keyed(df):   # any three of the four least hashes: one edited word leaves one key
-        least = [F.get("sk", F.lit(i)) for i in range(4)]
-        keys = F.array(*[F.xxhash64(*[x for x in least if x is not skipped]) for skipped in least])
-        return df.where(F.size("sk") > 4).withColumn("key", F.explode(keys))
-
-    ours = keyed(lines).alias("a")
-    theirs = keyed(common.withColumnsRenamed({"k": "as", "sk": "with"})
-                   .withColumn("sk", F.col("with"))).drop("sk").alias("b")
+    """(k, as): the lines that are variants of one of ``common``, and the least
+    such.  Hosts stay apart by their hashes.  Only hashes of lines that share a key
+    with a common line are joined; common lines are few, by the limit."""
+    known = written(lines.select("k", "sk").join(common, "k", "left_semi").distinct(), "quality-known")
+    keys = written(_keyed(known).select("key").distinct(), "quality-keys")
+    near = written(_keyed(lines.select("k", "sk")).select("k", "key").join(keys, "key", "left_semi")
+                   .select("k").distinct().join(common, "k", "left_anti"), "quality-near")
+    ours = lines.select("k", "sk").join(near, "k", "left_semi").distinct()
+    theirs = _keyed(known).select(F.col("k").alias("as"), F.col("sk").alias("with"), F.col("key").alias("as_key"))
     least = F.slice(F.array_sort(F.array_union("sk", "with")), 1, rules.sketch)
     both = F.size(F.array_intersect(F.array_intersect("sk", "with"), least))
-    return (ours.join(theirs, (F.col("a.key") == F.col("b.key"))
-                      & (100 * both >= rules.same_pct * F.size(least)))
+    return (_keyed(ours).join(theirs, (F.col("key") == F.col("as_key"))
+                              & (100 * both >= rules.same_pct * F.size(least)))
             .groupBy("k").agg(F.min("as").alias("as")))
 
 
 def _contents(lines: DataFrame, common: DataFrame, rules: Rules) -> DataFrame:
-    """(d, content) of the documents with a line of ``common``: the digest of
-    their lines with variants of common lines replaced."""
-    touched = lines.join(common.select("k"), "k", "left_semi").select("d").distinct()
-    theirs = lines.select("d", "k", "sk").join(touched, "d", "left_semi").distinct()
-    theirs = written(theirs.join(common.select("k", F.lit(True).alias("common")), "k", "left"),
-                     "quality-touched")
-    sets = theirs.select("k", "sk", "common").distinct()
-    variants = _variants(sets.where(F.col("common").isNull()).select("k", "sk"),
-                         sets.where("common").select("k", "sk"), rules)
-    return theirs.select("d", "k").join(variants, "k", "left").groupBy("d").agg(
+    """(h, d, content) of the documents: the digest of their lines, with variants
+    of common lines replaced."""
+    variants = written(_variants(lines, common, rules), "quality-variants")
+    found = lines.select("h", "d", "k").join(variants, "k", "left").groupBy("h", "d").agg(
         F.xxhash64(F.sort_array(F.collect_set(F.coalesce("as", "k")))).alias("content"))
+    return written(found, "quality-contents")
+
+
+def _above(per_line: DataFrame, per_host: DataFrame, share: float, rules: Rules) -> DataFrame:
+    """(k) of (k, h, n) above both limits; ``per_host`` is (h, docs)."""
+    many = per_line.where(F.col("n") > rules.max_docs)
+    return many.join(per_host, "h").where(F.col("n") > share * F.col("docs")).select("k")
 
 
 def _frequent(lines: DataFrame, rules: Rules) -> DataFrame:
     """One row ``k`` per line of ``_lines`` above the limits."""
-    held = lines.select("k", "d").distinct()
-    common = written(held.groupBy("k").agg(F.count(F.lit(1)).alias("texts"))
-                     .where(F.col("texts") > rules.max_docs), "quality-common")
-    carriers = lines.select("k", "d").join(common.select("k"), "k", "left_semi").distinct()
-    per_line = carriers.join(_contents(lines, common, rules), "d").groupBy("k").agg(
-        F.count_distinct("content").alias("distinct_docs"))
-    return per_line.where(F.col("distinct_docs") > rules.max_docs).select("k")
+    texts = lines.select("h", "d").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("docs"))
+    held = lines.select("k", "h", "d").distinct().groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"))
+    common = written(_above(held, texts, rules.max_share / 4, rules), "quality-common")
+    contents = _contents(lines, common, rules)
+    per_host = contents.groupBy("h").agg(F.count_distinct("content").alias("docs"))
+    carriers = lines.select("k", "h", "d").join(common, "k", "left_semi").distinct()
+    per_line = carriers.join(contents.select("d", "content"), "d").groupBy("k", "h").agg(
+        F.count_distinct("content").alias("n"))
+    return _above(per_line, per_host, rules.max_share, rules)
 
 
 def frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",

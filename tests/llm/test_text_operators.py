@@ -130,6 +130,15 @@ def test_copies_do_not_keep_a_line_of_others(spark):
     assert all(r.kept and r.removed_chars == len(line) for r in got)
 
 
+def test_limits_follow_the_size_of_the_host(spark):
+    line, rare = own("legal", 0), own("rare", 0)
+    for size in (500, 1000):                         # the line in 6 %, the rare one in 4 %
+        texts = [own("body", i, 40) + (f"\n{line}" if i % 50 < 3 else f"\n{rare}" if i % 50 < 5 else "")
+                 for i in range(size)]
+        got = {r.doc_id: r for r in quality_rules.judge(docs(spark, texts)).collect()}
+        assert all(got[i].kept and got[i].removed_chars == (len(line) if i % 50 < 3 else 0) for i in range(size))
+
+
 def test_quality_odd_inputs(spark, corpus):
     d = docs(spark, corpus)
     assert quality_rules.judge(d.limit(0)).count() == 0 and quality_rules.clean(d.limit(0)).count() == 0
