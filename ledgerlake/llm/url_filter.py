@@ -7,11 +7,10 @@ judged by the template of their path in a tree that is grown per host:
 * a path is cut into segments, and runs of digits become ``#``, so that
   numbered pages share a path from the start; urls are aggregated by host and
   such path before anything else is done;
-* level by level from the host down, the children of a node become one
-  wildcard ``*`` if there are more than ``max_children`` of them, and else
-  those children merge whose labelled share of bad urls does not differ
-  significantly from that of all children (two-proportion z test); a child
-  that differs stays a branch of its own;
+* level by level from the host down, the children of a node merge into one
+  wildcard ``*`` if their labelled share of bad urls does not differ
+  significantly from that of the other children (two-proportion z test); a child
+  that differs stays a branch of its own, however many children there are;
 * a template is rejected if its purity, the share of good labelled urls, is
   below ``min_purity`` after smoothing: a template is drawn towards its host,
   and a host towards the whole table, by pseudo-counts.
@@ -41,7 +40,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @dataclass(frozen=True)
 class TemplateTree:
     depth: int = 6
-    max_children: int = 64
+    max_children: int = 64        # without effect: the test below holds for nodes of any width
     z: float = 2.576              # significance of a branch of its own (1 %)
     host_weight: float = 20.0     # pseudo-labels of the table in a host
     template_weight: float = 10.0  # pseudo-labels of the host in a template
@@ -98,8 +97,8 @@ def grow(paths: DataFrame, how: TemplateTree) -> DataFrame:
         children = (tree.where(F.col("seg").isNotNull())
                     .groupBy("host", "template", "seg").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b")))
         nodes = children.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("kids"), F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
-        own = (F.col("kids") <= how.max_children) & _significant("b", "n", "all_b", "all_n", how.z)
+            F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
+        own = _significant("b", "n", "all_b", "all_n", how.z)
         branches = (children.join(nodes, ["host", "template"]).where(own).select(
             "host", "template", "seg", F.col("seg").alias("own")))
         grown = tree.join(branches, ["host", "template", "seg"], "left")

@@ -201,6 +201,18 @@ def test_templates_by_purity(spark):
     assert got[1003].verdict == "allow" and got[1003].template == "/tag/*" and got[5001].verdict == "allow"
 
 
+def test_a_bad_section_of_a_wide_host(spark):
+    name = lambda i: chr(97 + i % 26) + chr(97 + i // 26)
+    for sections in (64, 65, 200):
+        rows = [(1000 * s + i, f"http://h.net/{name(s)}/{i}.html", int(s == 7))
+                for s in range(sections) for i in range(200 if s == 7 else 20)]
+        rows += [(-1, f"http://h.net/{name(7)}/999999.html", None)]
+        d = spark.createDataFrame(rows, "page_id long, url string, bad int")
+        got = {r.page_id: r for r in url_filter.judge(d, "page_id", {}).collect()}
+        assert all(got[r[0]].verdict == ("allow" if r[2] == 0 else "block") for r in rows), sections
+        assert got[-1].template.startswith(f"/{name(7)}/") and got[8000].template.startswith("/*/")
+
+
 # --- HTML extraction --------------------------------------------------------------------
 
 def test_blocks():
