@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, row_key, written
 from .graph import connected_components
 
 SEED = 42
@@ -243,9 +243,15 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one row (the smallest id) of each component; rows without
-    an id stay.  Same columns."""
-    found = components(docs, doc_id, text, shingle, max_bits)
-    keep = found.select(F.col("component_id").alias(doc_id)).where(F.col(doc_id).isNotNull()).distinct()
-    one = docs.join(keep, doc_id, "left_semi").dropDuplicates([doc_id])
-    return one.select(*docs.columns).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    """``docs`` with one row of each component, that of the smallest id and then of
+    the least row key; rows without an id stay.  Same columns."""
+    key, named = fresh(docs, "_key"), fresh(docs, "_named")
+    keyed = docs.withColumn(key, row_key(docs))
+    name = F.struct(F.col(f"`{doc_id}`").isNull().alias("unnamed"), F.col(f"`{doc_id}`").alias("id"),
+                    F.col(key).alias("key"))
+    found = components(keyed.withColumn(named, name), named, text, shingle, max_bits)
+    keep = (found.where(~F.col("component_id.unnamed"))
+            .select(F.col("component_id.key").alias(key)).distinct())
+    one = keyed.join(keep, key, "left_semi").dropDuplicates([key])
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(
+        docs.where(F.col(f"`{doc_id}`").isNull()))

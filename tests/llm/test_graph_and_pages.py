@@ -105,6 +105,14 @@ def test_near_duplicates(spark):
     assert simhash.deduplicate(nameless).count() == 7
 
 
+def test_texts_that_share_an_id_stay(spark):
+    say = lambda k: " ".join(f"{k}{i * 7919 % 997}" for i in range(300))
+    rows = [(3, say("a")), (5, say("a")), (5, say("b")), (5, say("b")), (6, say("c")), (None, say("c"))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.text) for r in simhash.deduplicate(d).collect())
+    assert got == [(0, say("c")), (3, say("a")), (5, say("b")), (6, say("c"))]
+
+
 # --- packing ------------------------------------------------------------------------
 
 def test_first_fit_decreasing_is_the_plain_one():
