@@ -89,12 +89,14 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", payload.alias("payload")).select(
         "page_id", F.octet_length("payload").cast("long").alias("length"),
         warc_fixity.hashed(F.col("payload")).alias("sound"),
-        F.when(F.pmod("page_id", F.lit(97)) == 5, warc_fixity.hashed(flipped)).alias("flipped"))
+        warc_fixity.hashed(F.when(F.pmod("page_id", F.lit(97)) == 5, flipped)
+                           .otherwise(F.col("payload"))).alias("replica"))
     records = warc_fixity.written(
         warc_fixity.lay_out(pages, "page_id", ["length", "sound"]), "warc-places")
     first = records.withColumn("digest", F.col("sound"))
-    second = records.where(F.pmod("page_id", F.lit(89)) != 7).withColumn(
-        "digest", F.coalesce("flipped", "sound"))
+    lost = F.coalesce(F.pmod("page_id", F.lit(89)) == 7, F.lit(False))
+    second = records.where(~lost).withColumn(
+        "digest", F.col("replica"))
     found = warc_fixity.audit(first, second)
     return found.join(records, ["file", "offset"]).select("page_id", "file", "offset", "length", "status")
 

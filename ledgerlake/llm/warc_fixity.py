@@ -50,9 +50,11 @@ def lay_out(records: DataFrame, record_id: str, order: list[str],
             records_per_file: int = 1024) -> DataFrame:
     """Adds ``file`` and ``offset`` to records with an integer id and a
     ``length``: ids are dealt to files in turn and follow each other there, ties
-    by ``order``.  A file holds a bounded number of ids."""
+    by ``order``.  A file holds a bounded number of ids.  Records without an id go to
+    as many files of their own, by a hash of ``order``."""
     files = max(1, -(-records.count() // records_per_file))
-    placed = records.withColumn("file", F.pmod(F.col(record_id), F.lit(files)))
+    placed = records.withColumn("file", F.coalesce(
+        F.pmod(F.col(record_id), F.lit(files)), F.lit(files) + F.pmod(F.xxhash64(*order), F.lit(files))))
     before = Window.partitionBy("file").orderBy(record_id, *order).rowsBetween(
         Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))

@@ -181,6 +181,21 @@ def test_audit_finds_each_fault(spark):
     assert warc_fixity.audit(a, a.limit(0), how).count() == len(rows)
 
 
+def test_the_replica_is_hashed_and_records_without_id_have_a_place(spark, tmp_path, monkeypatch):
+    rows = [(i if i % 4 else None, f"http://h/{i}", f"<p>{i}</p>") for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    seen = []
+    real = warc_fixity.audit
+    monkeypatch.setattr(warc_fixity, "audit", lambda a, b, *x: seen.append((a, b)) or real(a, b, *x))
+    got = {(r.page_id, r.status) for r in queries.op7_warc_fixity(spark, str(tmp_path)).collect()}
+    assert got == {(i, "missing" if i % 89 == 7 else "changed") for i in range(200)
+                   if i % 4 and (i % 89 == 7 or i % 97 == 5)}
+    first, second = seen[0]
+    assert first.where("file is null").count() == 0 and second.where("page_id is null").count() == 50
+    assert second.where("replica is null or digest <> replica").count() == 0
+
+
 # --- URL filters ------------------------------------------------------------------------
 
 def test_hosts_paths_and_rules(spark):
