@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, html_extract, line_dedup, packing, pii, quality_rules,
-               simhash, url_filter, warc_fixity)
+from . import (chat_format, decontaminate, html_extract, line_dedup, packing, periodic_runs, pii,
+               quality_rules, simhash, url_filter, warc_fixity)
+from .common import words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,7 +116,35 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; in one of ten, by the CRC-32 of its id, the words from
+    some word on repeat a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.col("g"), F.col("n")
+    docs = (table(spark, sf_dir, "documents")
+            .select("doc_id", "text", F.floor(h / 10).alias("g"),
+                    F.when(F.pmod(h, F.lit(10)) == 0, words(F.col("text"))).alias("w"))
+            .withColumn("n", F.size("w").cast("long")))
+    docs = docs.withColumn("a", F.when(n > 0, F.pmod(g, n)))
+    docs = docs.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.pmod(g, F.lit(8)))))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
+    repeated = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1),
+                                        lambda i: F.get("w", place(i).cast("int"))), " ")
+    docs = docs.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(docs).withColumn("best", periodic_runs.longest(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")),
+        F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_format, op2_line_dedup, op3_url_filter, op4_html_extract, op5_decontamination,
-        op6_pii, op7_warc_fixity, op8_packing, op9_quality_rules, op10_simhash)}
+        op6_pii, op7_warc_fixity, op8_packing, op9_quality_rules, op10_simhash,
+        op13_periodic_runs)}
