@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from .chat_format import ESCAPE, Template
 from .quality_rules import SYMBOLS, Rules
+from .source_mixing import Mixing
 
 GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -159,7 +160,73 @@ FROM (SELECT *, CAST(COALESCE(removed, 0) AS BIGINT) AS removed_chars,
       FROM base LEFT JOIN gone USING (doc_id))"""
 
 
+def _hash60(*parts: str) -> str:
+    return "CAST('0x' || substr(md5(" + " || ':' || ".join(parts) + "), 1, 15) AS BIGINT)"
+
+
+def source_mixing(how: Mixing = Mixing()) -> str:
+    """The words a mix takes of each document.  Which shard draws a slot does not
+    matter here: of every source the numbers 0 .. slots - 1 are used, each once."""
+    weight = " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(how.weights))
+    tweak = f"'{how.seed}:' || rank || ':' || epoch"
+    key = _hash60(tweak, "'key'", "r") + " % (blocks - 1)"
+    mirror = f"({key} - x + blocks - 1) % (blocks - 1)"
+    swap = _hash60(tweak, "r", f"GREATEST(x, {mirror})") + " & 1 = 1"
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || COALESCE(text, '')) AS mark
+  FROM documents),
+placed AS (
+  SELECT *, CASE WHEN nth = 1 THEN mark ELSE md5(mark || ':' || nth) END AS place
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size, mark) AS nth FROM sized)),
+ranked AS (
+  SELECT source, CAST(SUM(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM placed GROUP BY source),
+weighted AS (
+  SELECT *, CASE rank % {len(how.weights)} {weight} END AS weight FROM ranked),
+levels AS (
+  SELECT *, row_number() OVER by_need AS n,
+         CAST(SUM(source_size) OVER () - COALESCE(SUM({how.most} * source_size) OVER earlier, 0) AS DOUBLE)
+         / (SUM(weight) OVER () - COALESCE(SUM(weight) OVER earlier, 0)) AS level
+  FROM weighted
+  WINDOW by_need AS (ORDER BY source_size / weight, rank),
+         earlier AS (ORDER BY source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+chosen AS (SELECT arg_min(level, n) AS level FROM levels WHERE weight * level <= {how.most} * source_size),
+aimed AS (
+  SELECT rank, source, source_size, LEAST(CAST({how.most} * source_size AS DOUBLE), weight * chosen.level) AS target,
+         (source_size + {how.block - 1}) // {how.block} AS blocks
+  FROM weighted, chosen),
+sources AS (
+  SELECT *, epochs * blocks + (words - epochs * source_size + {how.block - 1}) // {how.block} AS slots
+  FROM (SELECT *, words // GREATEST(source_size, 1) AS epochs
+        FROM (SELECT *, CAST(FLOOR(target + 0.5) AS BIGINT) AS words FROM aimed))),
+numbers AS (
+  SELECT *, number // blocks AS epoch, number % blocks AS spot
+  FROM (SELECT *, UNNEST(range(slots)) AS number FROM sources)),
+slots AS (
+  SELECT rank, CASE WHEN spot = blocks - 1 OR blocks < 3 THEN spot
+                    ELSE list_reduce(list_prepend(spot, range({how.rounds})), lambda x, r:
+                           CASE WHEN {swap} THEN {mirror} ELSE x END) END AS block,
+         CASE WHEN epoch < epochs THEN {how.block}
+              ELSE LEAST({how.block}, words - epochs * source_size - spot * {how.block}) END AS words
+  FROM numbers),
+laid AS (
+  SELECT rank, place, size, CAST(SUM(size) OVER (PARTITION BY rank ORDER BY place) AS BIGINT) - size AS start
+  FROM placed JOIN sources ON placed.source IS NOT DISTINCT FROM sources.source WHERE size > 0),
+pieces AS (
+  SELECT rank, place, block, GREATEST(start, block * {how.block}) - block * {how.block} AS first,
+         LEAST(start + size, (block + 1) * {how.block}) - block * {how.block} AS past
+  FROM (SELECT *, UNNEST(range(start // {how.block}, (start + size - 1) // {how.block} + 1)) AS block FROM laid)),
+used AS (
+  SELECT rank, place, CAST(SUM(LEAST(past, words) - first) AS BIGINT) AS taken
+  FROM pieces JOIN slots USING (rank, block) WHERE words > first GROUP BY rank, place)
+SELECT doc_id, size, source_size, target, COALESCE(taken, 0) AS taken
+FROM placed JOIN sources ON placed.source IS NOT DISTINCT FROM sources.source
+LEFT JOIN used USING (rank, place)"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {"op1_chat_format": chat_format(), "op2_line_dedup": line_dedup(),
             "op5_decontamination": decontamination(), "op7_warc_fixity": warc_fixity(),
-            "op9_quality_rules": quality_rules()}
+            "op9_quality_rules": quality_rules(), "op11_source_mixing": source_mixing()}

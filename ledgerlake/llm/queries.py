@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_format, decontaminate, html_extract, line_dedup, packing, periodic_runs, pii,
-               quality_rules, simhash, url_filter, warc_fixity)
+               quality_rules, simhash, source_mixing, token_alignment, url_filter, warc_fixity)
 from .common import words
 
 
@@ -116,6 +116,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def alignment_defaults() -> token_alignment.Tokenizers:
+    import public_tokenizers
+    return token_alignment.Tokenizers(a=public_tokenizers.path("byte_bpe_50k.json"),
+                                      b=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.corpus_links(table(spark, sf_dir, "documents"), alignment_defaults())
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; in one of ten, by the CRC-32 of its id, the words from
     some word on repeat a period."""
@@ -147,4 +161,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_format, op2_line_dedup, op3_url_filter, op4_html_extract, op5_decontamination,
         op6_pii, op7_warc_fixity, op8_packing, op9_quality_rules, op10_simhash,
-        op13_periodic_runs)}
+        op11_source_mixing, op12_token_alignment, op13_periodic_runs)}
