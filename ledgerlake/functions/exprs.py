@@ -21,6 +21,30 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col_(num), col_(den))
 
 
+#: Scales of exact sums: prices and amounts of trades, and measures of facts.
+TRADE_SCALE, FACT_SCALE = 8, 10
+
+
+def exact(c: str | Column, scale: int = TRADE_SCALE) -> Column:
+    """A double as a decimal, for sums that do not depend on the order of rows.
+
+    Rounds HALF_UP to ``scale`` decimals; NaN, infinity and values beyond 18
+    digits before the point give NULL."""
+    return col_(c).try_cast(f"decimal({scale + 18},{scale})")
+
+
+def exact_sum(c: str | Column, scale: int = TRADE_SCALE) -> Column:
+    """Sum of doubles by way of ``exact``: the same bytes for any order of rows,
+    any partitioning and any merge of partial sums.  Returns DECIMAL."""
+    return F.sum(exact(c, scale))
+
+
+def quotient(total: Column, n: Column, scale: int) -> Column:
+    """An exact total over a count, HALF_UP at ``scale`` decimals; NULL for no
+    rows.  The division itself keeps at least 20 decimals."""
+    return F.round(F.try_divide(total.cast(f"decimal(28,{FACT_SCALE})"), n.cast("bigint")), scale)
+
+
 # Digits kept beyond the target scale before the final rounding, so that
 # 0.00499999999 does not become 0.005 on its way to two decimals.
 GUARD_DIGITS = 10
@@ -78,8 +102,8 @@ def rank_of(value: str | Column, labels: Sequence[str],
 def stabilize(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFrame:
     """Round the aggregated ``columns`` to ``scale`` decimals (HALF_UP).
 
-    Sums of doubles depend on the order rows meet in a shuffle; rounding the
-    published aggregates makes a result reproducible across runs and engines.
-    Columns that are merely passed on keep all their digits.
+    Money is summed exactly (``exact_sum``); rounding the published aggregates
+    settles what is left, deviations and ratios, across engines.  Columns that
+    are merely passed on keep all their digits.
     """
     return df.withColumns({c: round_half_up(F.col(f"`{c}`"), scale) for c in columns})

@@ -5,9 +5,10 @@ by FILTER aggregates, the favourite symbol by ``arg_min``, reports from one
 roll-up per portfolio joined to its owner, labels and limits from small VALUES
 tables.  The driver registers the source tables as views.
 
-Conventions shared with the Spark side: as-of date 2024-01-31; aggregated
-doubles rounded HALF_UP through a decimal with ten guard digits (``R``);
-integer sums cast to BIGINT.
+Conventions shared with the Spark side: as-of date 2024-01-31; money summed as
+DECIMAL (``E``) and averaged in whole units (``Q``); published doubles rounded
+HALF_UP through a decimal with ten guard digits (``R``); integer sums cast to
+BIGINT.
 """
 
 from __future__ import annotations
@@ -21,6 +22,35 @@ def R(expr: str, n: int) -> str:
     return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,{n + 10})), {n}) AS DOUBLE)"
 
 
+def E(expr: str, scale: int = 8) -> str:
+    """A double as an exact decimal, HALF_UP."""
+    return f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL({scale + 18},{scale}))"
+
+
+def DBL(expr: str) -> str:
+    """The double nearest to a decimal."""
+    return f"CAST(CAST({expr} AS VARCHAR) AS DOUBLE)"
+
+
+def units(total: str) -> str:
+    """A decimal as the whole number of its last places."""
+    return f"CAST(replace(CAST({total} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def Q(total: str, n: str, scale: int, of: int) -> str:
+    """A decimal of ``of`` places over a count, HALF_UP, in units of ``scale``."""
+    up, down = (10 ** (scale - of), 1) if scale >= of else (1, 10 ** (of - scale))
+    u, n = units(total), f"CAST({n} AS HUGEINT)"
+    return f"CASE WHEN {n} > 0 THEN sign({u}) * ((2 * abs({u}) * {up} + {n} * {down}) // (2 * {n} * {down})) END"
+
+
+def number(u: str, scale: int) -> str:
+    """Units of ``scale`` as the nearest double."""
+    u = f"({u})"
+    return (f"CAST(CASE WHEN {u} < 0 THEN '-' ELSE '' END || (abs({u}) // {10 ** scale}) || '.' || "
+            f"lpad(CAST(abs({u}) % {10 ** scale} AS VARCHAR), {scale}, '0') AS DOUBLE)")
+
+
 def window(days: int, ds: str = "ds") -> str:
     return f"{ds} BETWEEN {AS_OF} - {days} AND {AS_OF}"
 
@@ -117,20 +147,25 @@ positions AS (
   SELECT ds, portfolio_id, symbol,
          COALESCE(SUM(qty) FILTER (side = 'BUY'), 0) AS bought,
          COALESCE(SUM(qty) FILTER (side = 'SELL'), 0) AS sold,
-         COALESCE(AVG(price_usd) FILTER (side = 'BUY'), 0) AS paid,
-         COALESCE(AVG(price_usd) FILTER (side = 'SELL'), 0) AS earned,
-         SUM(notional_usd) AS turnover, COUNT(*) AS n,
+         SUM({E("price_usd")}) FILTER (side = 'BUY') AS bought_at,
+         SUM({E("price_usd")}) FILTER (side = 'SELL') AS sold_at,
+         SUM({E("notional_usd")}) AS turnover, COUNT(*) AS n,
          COUNT(*) FILTER (side = 'BUY') AS n_buy, COUNT(*) FILTER (side = 'SELL') AS n_sell
   FROM valid GROUP BY ALL),
+priced AS (
+  SELECT *, LEAST(bought, sold) * (earned - paid) AS gained
+  FROM (SELECT *, COALESCE({Q("bought_at", "n_buy", 10, 8)}, 0) AS paid,
+               COALESCE({Q("sold_at", "n_sell", 10, 8)}, 0) AS earned
+        FROM positions)),
 f_pnl AS (
   SELECT ds, portfolio_id, symbol, CAST(bought AS INTEGER) AS buy_qty, CAST(sold AS INTEGER) AS sell_qty,
-         CAST(bought - sold AS INTEGER) AS net_qty, paid AS avg_buy_price, earned AS avg_sell_price,
-         CAST(LEAST(bought, sold) AS DOUBLE) * (earned - paid) AS realized_pnl_usd,
-         turnover AS notional_traded_usd, CAST(n AS INTEGER) AS num_trades
-  FROM positions),
+         CAST(bought - sold AS INTEGER) AS net_qty, {number("paid", 10)} AS avg_buy_price,
+         {number("earned", 10)} AS avg_sell_price, {number("gained", 10)} AS realized_pnl_usd,
+         {DBL("turnover")} AS notional_traded_usd, CAST(n AS INTEGER) AS num_trades
+  FROM priced),
 f_act AS (
   SELECT ds, portfolio_id, CAST(SUM(n) AS INTEGER) AS num_trades,
-         CAST(COUNT(*) AS INTEGER) AS unique_symbols, SUM(turnover) AS total_notional_usd,
+         CAST(COUNT(*) AS INTEGER) AS unique_symbols, {DBL("SUM(turnover)")} AS total_notional_usd,
          CASE WHEN SUM(n_sell) > 0 THEN CAST(SUM(n_buy) AS DOUBLE) / CAST(SUM(n_sell) AS DOUBLE)
               ELSE CAST(999 AS DOUBLE) END AS buy_sell_ratio,
          arg_min(symbol, (-n, symbol)) AS most_traded_symbol, MAX(n) AS favourite_trades,
@@ -138,12 +173,13 @@ f_act AS (
                WHERE SUM(n) >= least) AS INTEGER) AS activity_score
   FROM positions GROUP BY ds, portfolio_id),
 f_liq AS (
-  SELECT ds, symbol, exchange, sector, CAST(SUM(qty) AS BIGINT) AS total_volume,
-         SUM(notional_usd) AS total_turnover_usd, CAST(COUNT(*) AS INTEGER) AS num_trades,
-         CAST(COUNT(DISTINCT portfolio_id) AS INTEGER) AS unique_portfolios,
-         AVG(notional_usd) AS avg_trade_size,
-         COALESCE(STDDEV_SAMP(price_usd), 0) AS price_volatility
-  FROM valid GROUP BY ds, symbol, exchange, sector)"""
+  SELECT ds, symbol, exchange, sector, CAST(qty AS BIGINT) AS total_volume,
+         {DBL("turnover")} AS total_turnover_usd, CAST(count_ AS INTEGER) AS num_trades, unique_portfolios,
+         {number(f"({Q('turnover', 'count_', 10, 8)})", 10)} AS avg_trade_size, price_volatility
+  FROM (SELECT ds, symbol, exchange, sector, SUM(qty) AS qty, SUM({E("notional_usd")}) AS turnover, COUNT(*) AS count_,
+               CAST(COUNT(DISTINCT portfolio_id) AS INTEGER) AS unique_portfolios,
+               COALESCE(STDDEV_SAMP(price_usd), 0) AS price_volatility
+        FROM valid GROUP BY ds, symbol, exchange, sector))"""
 
 
 OWNERS = """
@@ -155,8 +191,9 @@ def pnl_roll(days: int) -> str:
     """One row per portfolio: its PnL rows of the window."""
     return f"""
 roll AS (
-  SELECT portfolio_id, COUNT(*) AS rows_, SUM(num_trades) AS trades, SUM(realized_pnl_usd) AS gain,
-         SUM(abs(realized_pnl_usd)) AS swing, SUM(notional_traded_usd) AS volume,
+  SELECT portfolio_id, COUNT(*) AS rows_, SUM(num_trades) AS trades,
+         SUM({E("realized_pnl_usd", 10)}) AS gain, SUM({E("abs(realized_pnl_usd)", 10)}) AS swing,
+         SUM({E("notional_traded_usd", 10)}) AS volume,
          COUNT(DISTINCT symbol) AS symbols, list_distinct(list(symbol)) AS symbol_list,
          list_distinct(list(ds)) AS day_list
   FROM f_pnl WHERE {window(days)} GROUP BY portfolio_id)"""
@@ -166,7 +203,7 @@ def act_roll(days: int) -> str:
     return f"""
 roll AS (
   SELECT portfolio_id, COUNT(*) AS rows_, SUM(num_trades) AS trades,
-         SUM(activity_score) AS score, SUM(total_notional_usd) AS volume
+         SUM(activity_score) AS score, SUM({E("total_notional_usd", 10)}) AS volume
   FROM f_act WHERE {window(days)} GROUP BY portfolio_id)"""
 
 
@@ -252,8 +289,8 @@ SELECT ds, symbol, first(price_usd ORDER BY ts, CAST(trade_id AS BIGINT)) AS ope
        last(price_usd ORDER BY ts, CAST(trade_id AS BIGINT)) AS close,
        CAST(SUM(qty) AS BIGINT) AS volume
 FROM valid GROUP BY ds, symbol""")
-    o["sector_turnover"] = q("""
-SELECT ds, sector, SUM(notional_usd) AS turnover_usd, CAST(SUM(qty) AS BIGINT) AS volume,
+    o["sector_turnover"] = q(f"""
+SELECT ds, sector, SUM({E("notional_usd")}) AS turnover_usd, CAST(SUM(qty) AS BIGINT) AS volume,
        COUNT(*) AS num_trades
 FROM valid GROUP BY ds, sector""", ["turnover_usd"])
     o["trades_in_base_ccy"] = q("""
@@ -262,10 +299,10 @@ SELECT trade_id, portfolio_id, ds, p.base_ccy, notional_usd, rate AS fx_rate,
 FROM valid JOIN d_portfolios p USING (portfolio_id)
 LEFT JOIN rates ON rates.quote_ccy = p.base_ccy AND rates.ds = valid.ds""".replace(
         "SELECT trade_id, portfolio_id, ds,", "SELECT trade_id, portfolio_id, valid.ds,"))
-    o["holdings_value"] = q("""
+    o["holdings_value"] = q(f"""
 SELECT portfolio_id, CAST(1 AS BIGINT) AS num_positions,
        CAST(last_price IS NOT NULL AS BIGINT) AS priced_positions,
-       (c_custkey % 100 + 1) * last_price AS holdings_value_usd
+       (c_custkey % 100 + 1) * {E("last_price")} AS holdings_value_usd
 FROM d_portfolios, listed LEFT JOIN closing ON symbol = printf('SYM_%02d', no % n)""",
                             ["holdings_value_usd"], [f"""
 closing AS (
@@ -294,9 +331,9 @@ UNION ALL SELECT 'portfolios', COUNT(*) FROM d_portfolios
 UNION ALL SELECT 'trades_stream', COUNT(*) FROM d_trades
 UNION ALL SELECT 'symbols', COUNT(*) FROM d_symbols""")
     o["portfolio_ids"] = q("SELECT portfolio_id, user_id, base_ccy, is_active FROM d_portfolios")
-    o["weekday_trades"] = q("""
+    o["weekday_trades"] = q(f"""
 SELECT ds, CAST(isodow(ds) - 1 AS INTEGER) AS weekday, COUNT(*) AS num_trades,
-       SUM(notional_usd) AS notional_usd
+       SUM({E("notional_usd")}) AS notional_usd
 FROM valid WHERE isodow(ds) < 6 GROUP BY ds""", ["notional_usd"])
     return o
 
@@ -312,18 +349,18 @@ GROUP BY user_id, name, region, risk_profile
 ORDER BY total_pnl_usd DESC, user_id LIMIT 20""", ["total_pnl_usd", "total_volume_usd"], [pnl_roll(7)])
     o["risk_profile_performance"] = q(f"""
 SELECT risk_profile, COUNT(DISTINCT user_id) AS num_users, CAST(SUM(trades) AS BIGINT) AS total_trades,
-       {R("SUM(trades) / SUM(rows_)", 2)} AS avg_trades_per_portfolio,
-       {R("SUM(gain)", 2)} AS total_pnl_usd, {R("SUM(gain) / SUM(rows_)", 2)} AS avg_pnl_per_position
+       {number(Q("SUM(trades)", "SUM(rows_)", 2, 0), 2)} AS avg_trades_per_portfolio,
+       {R("SUM(gain)", 2)} AS total_pnl_usd, {number(Q("SUM(gain)", "SUM(rows_)", 2, 10), 2)} AS avg_pnl_per_position
 FROM known LEFT JOIN roll USING (portfolio_id) GROUP BY risk_profile""", ctes=[pnl_roll(30)])
     o["age_group_activity"] = q(f"""
 SELECT label AS age_group, COUNT(DISTINCT user_id) AS num_users,
        CAST(SUM(trades) AS BIGINT) AS total_trades,
-       {R("SUM(score) / SUM(rows_)", 2)} AS avg_activity_score, {R("SUM(volume)", 2)} AS total_traded_usd
+       {number(Q("SUM(score)", "SUM(rows_)", 2, 0), 2)} AS avg_activity_score, {R("SUM(volume)", 2)} AS total_traded_usd
 FROM known {band(AGE_BANDS, "age")} LEFT JOIN roll USING (portfolio_id) GROUP BY label""", ctes=[act_roll(30)])
     o["income_bracket_activity"] = q(f"""
 SELECT label AS income_bracket, COUNT(DISTINCT user_id) AS num_users,
        CAST(SUM(trades) AS BIGINT) AS total_trades,
-       {R("SUM(volume) / SUM(rows_)", 2)} AS avg_traded_per_user
+       {number(Q("SUM(volume)", "SUM(rows_)", 2, 10), 2)} AS avg_traded_per_user
 FROM known {band(INCOMES, "income")} LEFT JOIN roll USING (portfolio_id) GROUP BY label""", ctes=[act_roll(30)])
     o["activation_rate"] = q(f"""
 SELECT CAST(date_trunc('month', signed_up) AS DATE) AS signup_month, COUNT(*) AS new_users,
@@ -336,8 +373,8 @@ GROUP BY signup_month""", ctes=[f"""
 seen AS (
   SELECT user_id, MAX(ds) AS latest FROM own JOIN f_act USING (portfolio_id)
   WHERE num_trades > 0 AND ds <= {AS_OF} GROUP BY user_id)"""])
-    o["pnl_by_risk_profile"] = q("""
-SELECT risk_profile, AVG(realized_pnl_usd) AS avg_pnl
+    o["pnl_by_risk_profile"] = q(f"""
+SELECT risk_profile, {number(Q(f"SUM({E('realized_pnl_usd', 10)})", "COUNT(*)", 16, 10), 16)} AS avg_pnl
 FROM own JOIN f_pnl USING (portfolio_id) GROUP BY risk_profile""", ["avg_pnl"])
     o["activity_by_age_band"] = q(f"""
 SELECT label AS age_group, AVG(num_trades) AS avg_trades, AVG(activity_score) AS avg_activity
@@ -349,12 +386,12 @@ FROM own {band(HALVES, "age")} JOIN f_act USING (portfolio_id) GROUP BY label"""
     o["regional_volume"] = q(f"""
 SELECT region, COUNT(DISTINCT user_id) AS num_users, COUNT(*) AS num_portfolios,
        CAST(SUM(trades) AS BIGINT) AS total_trades, {R("SUM(volume)", 2)} AS total_volume_usd,
-       {R("SUM(score) / SUM(rows_)", 2)} AS avg_activity_score
+       {number(Q("SUM(score)", "SUM(rows_)", 2, 0), 2)} AS avg_activity_score
 FROM known LEFT JOIN roll USING (portfolio_id) GROUP BY region""", ctes=[act_roll(30)])
     o["regional_profitability"] = q(f"""
 SELECT region, COUNT(DISTINCT user_id) AS num_users, {R("SUM(gain)", 2)} AS total_pnl_usd,
-       {R("SUM(gain) / SUM(rows_)", 2)} AS avg_pnl_per_position,
-       {R("SUM(gain) / SUM(volume) * 100", 4)} AS roi_percentage
+       {number(Q("SUM(gain)", "SUM(rows_)", 2, 10), 2)} AS avg_pnl_per_position,
+       {R(f"{DBL('SUM(gain)')} / {DBL('SUM(volume)')} * 100", 4)} AS roi_percentage
 FROM known LEFT JOIN roll USING (portfolio_id) GROUP BY region""", ctes=[pnl_roll(30)])
     o["regional_risk_distribution"] = q("""
 SELECT region, risk_profile, COUNT(DISTINCT user_id) AS num_users,
@@ -363,30 +400,31 @@ FROM known LEFT JOIN roll USING (portfolio_id) GROUP BY region, risk_profile""",
     o["regional_symbol_preferences"] = q(f"""
 SELECT region, symbol, COUNT(DISTINCT portfolio_id) AS num_portfolios_traded,
        CAST(SUM(num_trades) AS BIGINT) AS total_trades,
-       {R("SUM(notional_traded_usd)", 2)} AS total_volume_usd
+       {R(f"SUM({E('notional_traded_usd', 10)})", 2)} AS total_volume_usd
 FROM f_pnl JOIN known USING (portfolio_id) WHERE {window(30)}
 GROUP BY region, symbol HAVING total_trades > 10""")
     o["pnl_by_region"] = q(f"""
-SELECT region, SUM(realized_pnl_usd) AS total_pnl_usd,
-       SUM(realized_pnl_usd) FILTER ({window(7)}) AS pnl_last_7d_usd
+SELECT region, SUM({E("realized_pnl_usd", 10)}) AS total_pnl_usd,
+       SUM({E("realized_pnl_usd", 10)}) FILTER ({window(7)}) AS pnl_last_7d_usd
 FROM f_pnl JOIN own USING (portfolio_id) WHERE ds <= {AS_OF}
 GROUP BY region""", ["total_pnl_usd", "pnl_last_7d_usd"])
     o["portfolio_concentration"] = q(f"""
 SELECT user_id, name, region, risk_profile, portfolio_id, symbol,
        {R("part_usd", 2)} AS symbol_volume_usd, {R("volume", 2)} AS portfolio_total_usd,
-       {R("part_usd / volume * 100", 2)} AS concentration_pct,
-       CASE WHEN part_usd / volume > 0.5 THEN 'CRITICAL' ELSE 'HIGH' END AS risk_level
-FROM known JOIN roll USING (portfolio_id) JOIN held USING (portfolio_id)
-WHERE part_usd / volume > 0.3
+       {R("share * 100", 2)} AS concentration_pct,
+       CASE WHEN share > 0.5 THEN 'CRITICAL' ELSE 'HIGH' END AS risk_level
+FROM known JOIN roll USING (portfolio_id) JOIN held USING (portfolio_id),
+     LATERAL (SELECT {DBL("part_usd")} / {DBL("volume")} AS share)
+WHERE share > 0.3
 ORDER BY concentration_pct DESC, portfolio_id, symbol LIMIT 50""", ctes=[pnl_roll(30), f"""
 held AS (
-  SELECT portfolio_id, symbol, SUM(notional_traded_usd) AS part_usd
+  SELECT portfolio_id, symbol, SUM({E("notional_traded_usd", 10)}) AS part_usd
   FROM f_pnl WHERE {window(30)} GROUP BY portfolio_id, symbol)"""])
     o["high_risk_users"] = q(f"""
 SELECT user_id, name, risk_profile, COUNT(*) AS num_portfolios, SUM(volume) AS total_volume_30d,
        CAST(len(list_distinct(flatten(list(symbol_list) FILTER (symbol_list IS NOT NULL)))) AS BIGINT)
          AS unique_symbols,
-       {R("SUM(swing) / SUM(rows_)", 2)} AS avg_absolute_pnl
+       {number(Q("SUM(swing)", "SUM(rows_)", 2, 10), 2)} AS avg_absolute_pnl
 FROM known LEFT JOIN roll USING (portfolio_id)
 WHERE risk_profile LIKE '%aggressive'
 GROUP BY user_id, name, risk_profile HAVING SUM(volume) > 100000
@@ -395,7 +433,7 @@ ORDER BY total_volume_30d DESC, user_id LIMIT 30""", ["total_volume_30d"], [pnl_
 SELECT user_id, name, region, risk_profile,
        CAST(len(list_distinct(flatten(list(day_list)))) AS BIGINT) AS trading_days,
        CAST(SUM(trades) AS BIGINT) AS total_trades, {R("SUM(gain)", 2)} AS total_pnl_usd,
-       {R("SUM(gain) / SUM(rows_)", 2)} AS avg_pnl_per_day
+       {number(Q("SUM(gain)", "SUM(rows_)", 2, 10), 2)} AS avg_pnl_per_day
 FROM known JOIN roll USING (portfolio_id)
 GROUP BY user_id, name, region, risk_profile HAVING SUM(gain) < -1000 AND SUM(trades) > 10
 ORDER BY total_pnl_usd, user_id LIMIT 30""", ctes=[pnl_roll(30)])

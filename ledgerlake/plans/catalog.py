@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import AS_OF_DEFAULT
 from .. import sinks
-from ..functions.exprs import stabilize
+from ..functions.exprs import exact_sum, stabilize
 from ..operators import bronze, gold, silver
 from ..schemas import FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS
 from ..session import scratch_path
@@ -445,7 +445,7 @@ def weekday_trades(L: Lake) -> DataFrame:
     v = L.valid().filter(F.weekday("ds") < 5)
     return v.groupBy("ds", F.weekday("ds").alias("weekday")).agg(
         F.count(F.lit(1)).alias("num_trades"),
-        F.sum("notional_usd").alias("notional_usd"))
+        exact_sum("notional_usd").cast("double").alias("notional_usd"))
 
 
 __all__ = ["queries", "Lake", "LANDING", "AS_OF"]

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import safe_ratio
+from ..functions.exprs import FACT_SCALE, exact, quotient
 
 VERIFIED = "verified"
 # Custom display order of risk profiles (most aggressive first).
@@ -50,10 +50,13 @@ def user_portfolios(users: DataFrame, portfolios: DataFrame,
 
 def per_grain(fact: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
     """Pre-aggregate a fact to ``keys``: each of ``sums`` (name → measure)
-    becomes its sum and, as ``n_<name>``, the number of its non-null values."""
+    becomes its sum and, as ``n_<name>``, the number of its non-null values.
+    Sums of DOUBLE measures are exact DECIMALs."""
+    kinds = dict(fact.select(*[m.alias(n) for n, m in sums.items()]).dtypes)
     aggs = []
     for name, measure in sums.items():
-        aggs += [F.sum(measure).alias(name), F.count(measure).alias(f"n_{name}")]
+        m = exact(measure, FACT_SCALE) if kinds[name] == "double" else measure
+        aggs += [F.sum(m).alias(name), F.count(m).alias(f"n_{name}")]
     return fact.groupBy(*keys).agg(*aggs)
 
 
@@ -72,5 +75,11 @@ def left_window(users: DataFrame, portfolios: DataFrame, fact: DataFrame,
 
 
 def avg_from(name: str) -> Column:
-    """AVG of a measure of ``per_grain``: Σ sums / Σ counts of its values."""
-    return safe_ratio(F.sum(name), F.sum(f"n_{name}"))
+    """AVG of a measure of ``per_grain``: Σ sums / Σ counts of its values, exact
+    to 16 decimals (DECIMAL)."""
+    return quotient(F.sum(name), F.sum(f"n_{name}"), 16)
+
+
+def money(name: str) -> Column:
+    """Σ of a measure of ``per_grain`` as DOUBLE."""
+    return F.sum(name).cast("double")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import band
-from .common import avg_from, per_grain, user_portfolios, window_start
+from .common import avg_from, money, per_grain, user_portfolios, window_start
 
 YOUNG_MIDDLE_SENIOR = [(30, "Young (18-29)"), (50, "Middle (30-49)")]
 SENIOR = "Senior (50+)"
@@ -27,8 +27,8 @@ def pnl_by_region(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
     out = (f.join(user_portfolios(users, portfolios, ["region"]),
                   on="portfolio_id", how="inner")
            .groupBy("region")
-           .agg(F.sum("pnl").alias("total_pnl_usd"),
-                F.sum("pnl_recent").alias("pnl_last_7d_usd")))
+           .agg(money("pnl").alias("total_pnl_usd"),
+                money("pnl_recent").alias("pnl_last_7d_usd")))
     return out.orderBy(F.desc_nulls_last("total_pnl_usd"), "region")
 
 
@@ -38,7 +38,7 @@ def pnl_by_risk_profile(users: DataFrame, portfolios: DataFrame,
     f = per_grain(pnl, ["portfolio_id"], {"pnl": F.col("realized_pnl_usd")})
     out = (f.join(user_portfolios(users, portfolios, ["risk_profile"]),
                   on="portfolio_id", how="inner")
-           .groupBy("risk_profile").agg(avg_from("pnl").alias("avg_pnl")))
+           .groupBy("risk_profile").agg(avg_from("pnl").cast("double").alias("avg_pnl")))
     return out.orderBy(F.desc_nulls_last("avg_pnl"), "risk_profile")
 
 
@@ -51,8 +51,8 @@ def activity_by_age_band(users: DataFrame, portfolios: DataFrame,
     return (f.join(user_portfolios(u, portfolios, ["age_group"]),
                    on="portfolio_id", how="inner")
             .groupBy("age_group")
-            .agg(avg_from("trades").alias("avg_trades"),
-                 avg_from("score").alias("avg_activity")))
+            .agg(avg_from("trades").cast("double").alias("avg_trades"),
+                 avg_from("score").cast("double").alias("avg_activity")))
 
 
 def activity_by_age_split(users: DataFrame, portfolios: DataFrame,
@@ -62,4 +62,4 @@ def activity_by_age_split(users: DataFrame, portfolios: DataFrame,
     return (f.join(user_portfolios(u, portfolios, ["age_group"]),
                    on="portfolio_id", how="inner")
             .groupBy("age_group")
-            .agg(avg_from("score").alias("avg_activity_score")))
+            .agg(avg_from("score").cast("double").alias("avg_activity_score")))

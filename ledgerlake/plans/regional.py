@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rank_of, round_half_up, safe_ratio
-from .common import (RISK_ORDER, avg_from, left_window, per_grain, since,
+from .common import (RISK_ORDER, avg_from, left_window, money, per_grain, since,
                      user_portfolios, verified)
 
 
@@ -35,7 +35,7 @@ def regional_profitability(users: DataFrame, portfolios: DataFrame,
         F.countDistinct("user_id").alias("num_users"),
         round_half_up(F.sum("pnl"), 2).alias("total_pnl_usd"),
         round_half_up(avg_from("pnl"), 2).alias("avg_pnl_per_position"),
-        round_half_up(safe_ratio(F.sum("pnl"), F.sum("notional")) * 100, 4)
+        round_half_up(safe_ratio(money("pnl"), money("notional")) * 100, 4)
         .alias("roi_percentage"),
     )
     return out.orderBy(F.desc_nulls_last("total_pnl_usd"), "region")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import round_half_up, safe_ratio
-from .common import avg_from, per_grain, since, user_portfolios, verified
+from .common import avg_from, money, per_grain, since, user_portfolios, verified
 
 CONCENTRATION_MIN_SHARE = 0.30
 CONCENTRATION_CRITICAL_SHARE = 0.50
@@ -34,7 +34,7 @@ def portfolio_concentration(users: DataFrame, portfolios: DataFrame,
                    {"symbol_notional": F.col("notional_traded_usd")})
     ps = ps.withColumn("total_notional", F.sum("symbol_notional").over(
         Window.partitionBy("portfolio_id")))
-    share = safe_ratio(F.col("symbol_notional"), F.col("total_notional"))
+    share = safe_ratio(F.col("symbol_notional").cast("double"), F.col("total_notional").cast("double"))
     hot = ps.withColumn("share", share).filter(F.col("share") > min_share)
     keys = ["user_id", "name", "region", "risk_profile"]
     up = user_portfolios(verified(users), portfolios, keys)
@@ -64,7 +64,7 @@ def high_risk_users(users: DataFrame, portfolios: DataFrame, pnl: DataFrame,
     j = user_portfolios(u, portfolios, keys).join(f, on="portfolio_id", how="left")
     out = (j.groupBy(*keys)
            .agg(F.countDistinct("portfolio_id").alias("num_portfolios"),
-                F.sum("notional").alias("total_volume_30d"),
+                money("notional").alias("total_volume_30d"),
                 F.countDistinct("symbol").alias("unique_symbols"),
                 round_half_up(avg_from("abs_pnl"), 2).alias("avg_absolute_pnl"))
            .filter(F.col("total_volume_30d") > min_volume))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import band, rank_of, round_half_up, safe_ratio
-from .common import (RISK_ORDER, avg_from, left_window, per_grain, since,
+from .common import (RISK_ORDER, avg_from, left_window, money, per_grain, since,
                      user_portfolios, verified)
 
 AGE_BANDS = [(30, "18-29"), (40, "30-39"), (50, "40-49"), (60, "50-59")]
@@ -27,8 +27,8 @@ def top_profitable_users(users: DataFrame, portfolios: DataFrame,
     out = (f.join(up, on="portfolio_id", how="inner")
            .groupBy(*keys)
            .agg(F.countDistinct("portfolio_id").alias("num_portfolios"),
-                F.sum("pnl").alias("total_pnl_usd"),
-                F.sum("notional").alias("total_volume_usd"),
+                money("pnl").alias("total_pnl_usd"),
+                money("notional").alias("total_volume_usd"),
                 F.countDistinct("symbol").alias("unique_symbols_traded")))
     return out.orderBy(F.desc_nulls_last("total_pnl_usd"), "user_id").limit(top_n)
 
