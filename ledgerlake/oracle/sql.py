@@ -233,6 +233,15 @@ again AS (
   WHERE event_date = d AND CAST(trade_id AS BIGINT) % 2 = 1
   UNION ALL
   SELECT d_trades.* FROM d_trades, ending WHERE event_date < d - 1)"""
+RATE_LINES = """
+lines AS (
+  SELECT CAST(ts AS DATE) AS ds, (['USD', 'EUR', 'GBP', 'JPY', 'AUD'])[CAST(event_id % 5 AS INTEGER) + 1] AS ccy,
+         CAST(CAST(CASE WHEN event_id % 5 = 0 THEN 1 ELSE 1 + value / 100 END AS DECIMAL(12,4)) AS VARCHAR) AS rate,
+         CASE event_id % 40 WHEN 3 THEN 'USD,' || ccy || ',n/a' WHEN 13 THEN 'USD,' || ccy
+              WHEN 23 THEN 'USD,' || ccy || ',' || rate || ',9' WHEN 33 THEN 'USD,,1.5' END AS line,
+         CASE event_id % 40 WHEN 3 THEN 'type:rate' WHEN 13 THEN 'fields' WHEN 23 THEN 'fields'
+              WHEN 33 THEN 'missing:quote_ccy' END AS reason
+  FROM events)"""
 AGE_BANDS = "(VALUES (0, 30, '18-29'), (30, 40, '30-39'), (40, 50, '40-49'), (50, 60, '50-59'), (60, 999, '60+'))"
 LIFE_BANDS = "(VALUES (0, 30, 'Young (18-29)'), (30, 50, 'Middle (30-49)'), (50, 999, 'Senior (50+)'))"
 HALVES = "(VALUES (0, 30, 'Young'), (30, 999, 'Senior'))"
@@ -258,6 +267,11 @@ SELECT CAST(d AS DATE) AS ds FROM range(DATE '2024-01-01', {AS_OF} + 1, INTERVAL
 EXCEPT SELECT ds FROM rate_feed""")
     o["fx_latest_day"] = q("""
 SELECT base_ccy, quote_ccy, rate, ds FROM rates WHERE ds = (SELECT MAX(ds) FROM rate_feed)""")
+    o["fx_rejects"] = q("SELECT ds, line, reason FROM lines WHERE reason IS NOT NULL", ctes=[RATE_LINES])
+    o["fx_quarantine"] = q("""
+SELECT ds, COUNT(*) FILTER (reason IS NULL) AS good_rows, COUNT(reason) AS rejected_rows,
+       COUNT(DISTINCT ccy) FILTER (reason IS NULL) AS rates
+FROM lines GROUP BY ds""", ctes=[RATE_LINES])
     o["symbols_bronze"] = q("SELECT symbol, exchange, sector, tick_size FROM d_symbols")
     o["trades_scan"] = q(f"SELECT {TRADE} FROM d_trades WHERE {window(30, 'event_date')}")
     o["trades_enriched"] = q(f"SELECT {ENRICHED} FROM scored")

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from . import sinks
 from .operators import bronze, gold, silver
 from .schemas import (BR_FX_RATES, BR_SYMBOLS, FACT_ACTIVITY_COLUMNS,
-                      FACT_LIQUIDITY_COLUMNS, FACT_PNL_COLUMNS,
+                      FACT_LIQUIDITY_COLUMNS, FACT_PNL_COLUMNS, FX_CSV, SYMBOLS_CSV,
                       TRADES_ENRICHED_COLUMNS)
-from .sources import files
+from .sources import files, quarantine
 
 
 @dataclass
@@ -33,6 +33,7 @@ class LakePaths:
     pnl: str = field(init=False)
     liquidity: str = field(init=False)
     activity: str = field(init=False)
+    rejects: str = field(init=False)
 
     def __post_init__(self):
         r = self.root.rstrip("/")
@@ -42,6 +43,7 @@ class LakePaths:
         self.pnl = f"{r}/gold/fact_pnl_daily"
         self.liquidity = f"{r}/gold/fact_liquidity"
         self.activity = f"{r}/gold/fact_user_activity"
+        self.rejects = f"{r}/rejects"
 
 
 def ingest_bronze(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
@@ -50,19 +52,28 @@ def ingest_bronze(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
             "bronze.symbols": ingest_symbols(spark, paths, symbols_csv)}
 
 
+FX_FEED = quarantine.Feed("fx_rates", FX_CSV, required=("base_ccy", "quote_ccy", "rate"), partitions=("ds",))
+SYMBOL_FEED = quarantine.Feed("symbols", SYMBOLS_CSV, required=("symbol",))
+
+
 def ingest_fx(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
-              start: str, end: str) -> int:
-    raw = files.read_fx_csv(spark, fx_csv_dir, start, end)
+              start: str, end: str, feed: quarantine.Feed = FX_FEED) -> int:
+    """Bronze rates of the days [start, end]; malformed rows go to the lake's
+    rejects, and too many of them fail the run before a rate is written."""
+    raw = files.trades_scan(quarantine.scan(spark, fx_csv_dir, feed), start, end, "ds")
     if not sinks.has_rows(raw):
         return 0
-    return sinks.replace_days(bronze.clean_rates(raw), paths.fx, "ds", start, end)
+    good = quarantine.set_aside(raw, feed, paths.rejects, f"{start}_{end}")
+    return sinks.replace_days(bronze.clean_rates(good), paths.fx, "ds", start, end)
 
 
-def ingest_symbols(spark: SparkSession, paths: LakePaths, symbols_csv: str) -> int:
-    raw = files.read_symbols_csv(spark, symbols_csv)
+def ingest_symbols(spark: SparkSession, paths: LakePaths, symbols_csv: str,
+                   feed: quarantine.Feed = SYMBOL_FEED) -> int:
+    raw = quarantine.scan(spark, symbols_csv, feed)
     if not sinks.has_rows(raw):          # never replace the master with nothing
         return 0
-    return sinks.write_table(bronze.clean_symbols(raw), paths.symbols)
+    good = quarantine.set_aside(raw, feed, paths.rejects, "latest")
+    return sinks.write_table(bronze.clean_symbols(good), paths.symbols)
 
 
 #: Trades loaded by the batch run; streams write feeds of their own.

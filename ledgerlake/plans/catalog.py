@@ -14,6 +14,7 @@ and report on those; here a report's plan contains its fact.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
@@ -22,12 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import AS_OF_DEFAULT
-from .. import sinks
+from .. import pipeline, sinks
 from ..functions.exprs import exact_sum, stabilize
 from ..operators import bronze, gold, silver
 from ..schemas import FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS
 from ..session import scratch_path
-from ..sources import files, fixtures
+from ..sources import files, fixtures, quarantine
 from . import documented, regional, risk, users
 
 AS_OF = AS_OF_DEFAULT
@@ -92,7 +93,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 #: queries that write files when they are built
 LANDING = {"fx_bronze", "fx_missing_days", "fx_latest_day", "symbols_bronze",
-           "roundtrip_silver", "roundtrip_fact_pnl"}
+           "roundtrip_silver", "roundtrip_fact_pnl", "fx_quarantine", "fx_rejects"}
 
 
 def query(*rounded: str):
@@ -147,6 +148,38 @@ def fx_latest_day(L: Lake) -> DataFrame:
     return bronze.clean_rates(bronze.latest_day(raw), with_ingestion_ts=False)
 
 
+#: The rate feed with one broken line in ten, which it may have.
+BROKEN_FEED = dataclasses.replace(pipeline.FX_FEED, header=False, max_share=0.2)
+
+
+def _quarantined(L: Lake) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows) of the feed with broken lines, landed as text
+    files by day and read with the declared schema."""
+    landed, rejects = scratch_path(L.spark, "landed-lines"), scratch_path(L.spark, "rejects")
+    L.t.rate_lines.repartition("ds").write.partitionBy("ds").text(landed)
+    rows = quarantine.scan(L.spark, landed, BROKEN_FEED)
+    good = quarantine.set_aside(rows, BROKEN_FEED, rejects, "all")
+    return good, quarantine.read_rejects(L.spark, rejects)
+
+
+@query()
+def fx_rejects(L: Lake) -> DataFrame:
+    """The malformed lines of the rate feed, with the reason."""
+    return _quarantined(L)[1].select("ds", "line", "reason")
+
+
+@query()
+def fx_quarantine(L: Lake) -> DataFrame:
+    """Per day, the good rows and the rejected ones (together all lines of the
+    feed), and the rates that bronze keeps of the good ones."""
+    good, bad = _quarantined(L)
+    rates = bronze.clean_rates(good, with_ingestion_ts=False)
+    n = lambda df, name: df.groupBy("ds").agg(F.count(F.lit(1)).alias(name))
+    days = n(good, "good_rows").join(n(bad, "rejected_rows"), "ds", "full_outer").join(
+        n(rates, "rates"), "ds", "left").na.fill(0)
+    return days.select("ds", "good_rows", "rejected_rows", "rates")
+
+
 @query()
 def symbols_bronze(L: Lake) -> DataFrame:
     """Symbol CSV with duplicates → typed, one row per symbol, full refresh."""

@@ -55,6 +55,7 @@ def read_trades(spark: SparkSession, path: str, start: str | None = None,
     return _between(df, "event_date", start, end)
 
 
-def trades_scan(trades: DataFrame, start: str | None, end: str | None) -> DataFrame:
-    """Date-range scan of an already-declared trade frame."""
-    return _between(trades, "event_date", start, end)
+def trades_scan(trades: DataFrame, start: str | None, end: str | None,
+                day: str = "event_date") -> DataFrame:
+    """Date-range scan of an already-declared frame (of trades, by default)."""
+    return _between(trades, day, start, end)

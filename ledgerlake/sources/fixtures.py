@@ -57,6 +57,10 @@ class Tables:
     def symbol_feed(self) -> DataFrame:
         return symbol_feed(self._t("part"), self._t("lineitem"))
 
+    @cached_property
+    def rate_lines(self) -> DataFrame:
+        return rate_lines(self._t("events"))
+
     @cached_property
     def rate_feed(self) -> DataFrame:
         return rate_feed(self._t("events"))
@@ -197,6 +201,21 @@ def rate_feed(events: DataFrame) -> DataFrame:
         F.to_date("ts").alias("ds"))
 
 
+def rate_lines(events: DataFrame) -> DataFrame:
+    """The rate feed as lines of text by day, (ds, value); one line of ten is
+    broken: no number, a field too few, one too many, no currency."""
+    e = F.col("event_id")
+    ccy = F.element_at(F.array(*[F.lit(c) for c in PORTFOLIO_CCYS]), (e % 5 + 1).cast("int"))
+    rate = F.when(e % 5 == 0, F.lit(1.0)).otherwise(1 + F.col("value") / 100).cast("decimal(12,4)")
+    whole = F.concat(F.lit("USD,"), ccy, F.lit(","), rate.cast("string"))
+    kind = e % 40
+    line = (F.when(kind == 3, F.concat(F.lit("USD,"), ccy, F.lit(",n/a")))
+            .when(kind == 13, F.concat(F.lit("USD,"), ccy))
+            .when(kind == 23, F.concat(whole, F.lit(",9")))
+            .when(kind == 33, F.lit("USD,,1.5")).otherwise(whole))
+    return events.select(F.to_date("ts").alias("ds"), line.alias("value"))
+
+
 def load(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
