@@ -5,6 +5,10 @@ at the same byte, the text is cut into groups; all A and B tokens of a group are
 linked.  The operator returns each document's groups and its linked pairs of
 ids, and counts over the corpus in how many documents a pair is linked.
 
+Neither tokenizer's tokens reach over a space behind a word (checked in the
+vocabularies; else whole texts are encoded), so texts are encoded in parts between
+such spaces, each new part once.
+
 Method.  The token ends of all documents of a batch lie in two flat arrays.  A
 state vector holds a pointer into A and one into B for each lane; a lane is a
 document or, for a long one, the part between two of its A tokens (the B token
@@ -30,9 +34,12 @@ counted each; an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,6 +53,10 @@ from pyspark.sql import functions as F
 from .common import written
 
 BATCH_BYTES = 1 << 21
+ENCODED_AT_ONCE = 4096
+KNOWN_PARTS, KNOWN_LENGTH = 400_000, 64
+#: a space after a character that no library takes for white space
+APART = re.compile("(?<=[^\\s\u180e\u200b\ufeff]) ")
 LANE = 512                # A tokens of a lane
 FULL_GROUP = 4096         # pairs of a group that are listed before they are counted
 
@@ -86,16 +97,59 @@ class Vocabularies:
                      for end in ends for i in range(n)]
         self.b_from = 2 * na
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text, both empty where they do not spell it."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.b.encode(texts, num_threads=1)
-        out = []
-        for t, x, y in zip(texts, ids_a, ids_b):
-            whole = b" " + t.encode()
-            same = (t and b"".join(map(self.bytes_a.__getitem__, x)) == whole
-                    and b"".join(map(self.bytes_b.__getitem__, y)) == whole)
-            out.append((x, y) if same else ([], []))
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.apart = self._splits_at_spaces()
+
+    def _splits_at_spaces(self) -> bool:
+        """Whether no token of A or B reaches over a space that follows a
+        character other than white space."""
+        how = json.loads(self.a.to_str())
+        by_words = how["normalizer"] is None and how["pre_tokenizer"]["type"] == "ByteLevel" \
+            and how["pre_tokenizer"].get("use_regex", True) and not how["pre_tokenizer"]["add_prefix_space"]
+        return by_words and not any(" " in x.lstrip(b" ").decode(errors="replace") for x in self.bytes_b)
+
+    def units(self, text: str) -> list[str]:
+        """The text in parts that the tokenizers treat independently: each part
+        but the first followed a space, which is left out."""
+        if not self.apart:
+            return [text]
+        parts = APART.split(" " + text)
+        parts[0] = parts[0][1:]
+        if not parts[-1] and len(parts) > 1:      # a space at the end stays with the last part
+            del parts[-1]
+            parts[-1] += " "
+        return parts
+
+    def _learn(self, parts: list[str]) -> None:
+        """Ids of both tokenizers, as bytes, of a space and each part; None if
+        the tokens do not spell it."""
+        for k in range(0, len(parts), ENCODED_AT_ONCE):
+            some = parts[k:k + ENCODED_AT_ONCE]
+            found_a = self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)
+            for p, x, y in zip(some, found_a, self.b.encode(some, num_threads=1)):
+                whole, x = b" " + p.encode(), x.ids
+                same = (b"".join([self.bytes_a[i] for i in x]) == whole
+                        and b"".join([self.bytes_b[i] for i in y]) == whole)
+                self.known[p] = (array("i", x).tobytes(), array("i", y).tobytes()) if same else None
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and B of each text, both empty where they do not spell it.
+        Each new part is encoded once; those seen first stay known, up to a bound."""
+        split = [self.units(t) if t else [] for t in texts]
+        new = list(set().union(*split) - self.known.keys())
+        self._learn(new)
+        known, out, none = self.known, [], np.empty(0, np.int32)
+        for parts in split:
+            ids = [known[p] for p in parts]
+            if not parts or None in ids:
+                out.append((none, none))
+            else:
+                out.append((np.frombuffer(b"".join([x for x, _ in ids]), np.int32),
+                            np.frombuffer(b"".join([y for _, y in ids]), np.int32)))
+        room = KNOWN_PARTS - (len(known) - len(new))
+        for k, p in enumerate(new):
+            if k >= room or len(p) > KNOWN_LENGTH:
+                del known[p]
         return out
 
 
@@ -186,8 +240,7 @@ def align_batch(texts: list[str | None], v: Vocabularies, with_groups: bool = Fa
     rows = v.encode([t or "" for t in texts])
     count_a = np.array([len(x) for x, _ in rows], np.int64)
     count_b = np.array([len(y) for _, y in rows], np.int64)
-    ids_a = np.fromiter((i for x, _ in rows for i in x), np.int32, int(count_a.sum()))
-    ids_b = np.fromiter((i for _, y in rows for i in y), np.int32, int(count_b.sum()))
+    ids_a, ids_b = (np.concatenate([r[k] for r in rows]) if rows else np.empty(0, np.int32) for k in (0, 1))
     wide, docs = len(v.bytes_b), np.arange(len(texts))
     doc_a = np.repeat(docs, count_a)
     la, lb, cut_a, cut_b = lockstep(np.cumsum(v.length_a[ids_a]), np.cumsum(v.length_b[ids_b]), *lanes_of(count_a))

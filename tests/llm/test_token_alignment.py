@@ -143,3 +143,17 @@ def test_query_against_plain_python(spark, tokens):
     want = dict(zip((r["doc_id"] for r in rows), plain_rows([r["text"] for r in rows], tokens)))
     got = {r.doc_id: tuple(r)[1:] for r in queries.op12_token_alignment(spark, SF).collect()}
     assert got == want
+
+
+def test_parts_are_encoded_as_in_the_whole_text():
+    v = token_alignment.vocabularies(HOW)
+    rng, pool = random.Random(8), list("ab1.,'ñé漢🎉́ ​﻿ \x1c\x85▁</s>\t\n\r") + [" "] * 12 + ["'s", "the"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 30))) for _ in range(20_000)]
+    texts += ["a ", "a  ", " a", "  ", " ", "a \n b", "a  b", "x  y   z", "don't 'll I'm "]
+    assert v.apart
+    want_a = [e.ids for e in v.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    want_b = v.b.encode(texts, num_threads=1)
+    for t, (x, y), a, b in zip(texts, v.encode(texts), want_a, want_b):
+        whole = (" " + t).encode()
+        same = (t and b"".join(v.bytes_a[i] for i in a) == whole and b"".join(v.bytes_b[i] for i in b) == whole)
+        assert (x.tolist(), y.tolist()) == ((a, b) if same else ([], [])), repr(t)
