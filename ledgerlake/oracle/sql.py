@@ -407,6 +407,7 @@ SELECT region, COUNT(DISTINCT user_id) AS num_users, {R("SUM(gain)", 2)} AS tota
        {number(Q("SUM(gain)", "SUM(rows_)", 2, 10), 2)} AS avg_pnl_per_position,
        {R(f"{DBL('SUM(gain)')} / {DBL('SUM(volume)')} * 100", 4)} AS roi_percentage
 FROM known LEFT JOIN roll USING (portfolio_id) GROUP BY region""", ctes=[pnl_roll(30)])
+    o["regional_profitability_from_store"] = o["regional_profitability"]
     o["regional_risk_distribution"] = q("""
 SELECT region, risk_profile, COUNT(DISTINCT user_id) AS num_users,
        CAST(SUM(trades) AS BIGINT) AS total_trades

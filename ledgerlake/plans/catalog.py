@@ -26,9 +26,9 @@ from .. import AS_OF_DEFAULT
 from .. import pipeline, sinks
 from ..functions.exprs import exact_sum, stabilize
 from ..operators import bronze, gold, silver
-from ..schemas import FACT_PNL_COLUMNS, TRADES_ENRICHED_COLUMNS
+from ..schemas import FACT_PNL_COLUMNS, PORTFOLIOS, TRADES_ENRICHED_COLUMNS, USERS
 from ..session import scratch_path
-from ..sources import files, fixtures, quarantine
+from ..sources import document_store, files, fixtures, quarantine
 from . import documented, regional, risk, users
 
 AS_OF = AS_OF_DEFAULT
@@ -93,7 +93,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 #: queries that write files when they are built
 LANDING = {"fx_bronze", "fx_missing_days", "fx_latest_day", "symbols_bronze",
-           "roundtrip_silver", "roundtrip_fact_pnl", "fx_quarantine", "fx_rejects"}
+           "roundtrip_silver", "roundtrip_fact_pnl", "fx_quarantine", "fx_rejects",
+           "regional_profitability_from_store"}
 
 
 def query(*rounded: str):
@@ -398,6 +399,18 @@ def regional_profitability(L: Lake) -> DataFrame:
     return regional.regional_profitability(L.users, L.portfolios, L.pnl, L.as_of)
 
 
+@query()
+def regional_profitability_from_store(L: Lake) -> DataFrame:
+    """The same report with users and portfolios from the document store, beside
+    the lake's fact in one plan; the store filters ``kyc_status``."""
+    landed = scratch_path(L.spark, "customer-documents")
+    L.users.write.json(f"{landed}/users")
+    L.portfolios.write.json(f"{landed}/portfolios")
+    u = document_store.read(L.spark, f"{landed}/users", USERS)
+    p = document_store.read(L.spark, f"{landed}/portfolios", PORTFOLIOS)
+    return regional.regional_profitability(u, p, L.pnl, L.as_of)
+
+
 @query()
 def regional_risk_distribution(L: Lake) -> DataFrame:
     return regional.regional_risk_distribution(L.users, L.portfolios,
