@@ -284,6 +284,23 @@ FROM valid WHERE {window(30)}""")
     o["fact_pnl_daily"] = o["pnl_outer_join"] = q("FROM f_pnl", PNL_DOUBLES)
     swaps = ", ".join(f"{R(c, 6)} AS {c}" for c in PNL_DOUBLES)
     o["roundtrip_fact_pnl"] = again(f"SELECT * REPLACE ({swaps}) FROM f_pnl")
+    o["published_fact_pnl"] = o["roundtrip_fact_pnl"]
+    days = "BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+    o["published_run"] = q(f"""
+SELECT start, "end", table_name, CASE WHEN start < '2030' OR table_name = 'br_symbols' THEN n ELSE 0 END AS written,
+       n AS found
+FROM (SELECT 'br_symbols' AS table_name, COUNT(*) AS n FROM d_symbols
+      UNION ALL SELECT 'br_fx_rates', COUNT(*) FROM rates WHERE ds {days}
+      UNION ALL SELECT 'trades_enriched', COUNT(*) FROM d_trades WHERE event_date {days}
+      UNION ALL SELECT 'fact_pnl_daily', COUNT(*) FROM f_pnl WHERE ds {days}
+      UNION ALL SELECT 'fact_liquidity', COUNT(*) FROM f_liq WHERE ds {days}
+      UNION ALL SELECT 'fact_user_activity', COUNT(*) FROM f_act WHERE ds {days}),
+     (VALUES ('2024-01-05', '2024-01-20'), ('2030-01-01', '2030-01-02')) AS windows(start, "end")""")
+    o["layer_stamps"] = q(f"""
+SELECT table_name, n AS num_rows, n AS stamped, CAST(1 AS BIGINT) AS moments
+FROM (SELECT 'br_symbols' AS table_name, COUNT(*) AS n FROM d_symbols
+      UNION ALL SELECT 'br_fx_rates', COUNT(*) FROM rates WHERE ds {days}
+      UNION ALL SELECT 'trades_enriched', COUNT(*) FROM d_trades WHERE event_date {days})""")
     o["fact_liquidity"] = q("FROM f_liq", LIQ_DOUBLES)
     o["fact_user_activity"] = q(ACT, ACT_DOUBLES)
     o["lineitem_fact_pnl_daily"] = q("FROM f_pnl", PNL_DOUBLES, feed=BRANDS)

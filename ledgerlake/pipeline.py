@@ -17,6 +17,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from . import sinks
+from .published import Published, Staged
 from .operators import bronze, gold, silver
 from .schemas import (BR_FX_RATES, BR_SYMBOLS, FACT_ACTIVITY_COLUMNS,
                       FACT_LIQUIDITY_COLUMNS, FACT_PNL_COLUMNS, FX_CSV, SYMBOLS_CSV,
@@ -167,6 +168,43 @@ def read_bronze_fx(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return sinks.read_layer(spark, paths.fx, [f.name for f in BR_FX_RATES.fields])
 
 
+#: Published tables by layer (see ``published``).
+FX_TABLE, SYMBOL_TABLE, SILVER_TABLE = "br_fx_rates", "br_symbols", "trades_enriched"
+FACT_TABLES = {"pnl": "fact_pnl_daily", "liquidity": "fact_liquidity", "activity": "fact_user_activity"}
+
+
+def run_published(spark: SparkSession, tables: Published, trades: DataFrame, fx_csv_dir: str, symbols_csv: str,
+                  start: str, end: str) -> dict[str, int]:
+    """``run`` over published tables: each layer is read by name from the last
+    published state, and its days change atomically for whoever reads them.
+    An input without rows in the window publishes nothing."""
+    rejects = f"{tables.root}/rejects"
+    counts = dict.fromkeys([FX_TABLE, SYMBOL_TABLE, SILVER_TABLE, *FACT_TABLES.values()], 0)
+    fx = files.trades_scan(quarantine.scan(spark, fx_csv_dir, FX_FEED), start, end, "ds")
+    if sinks.has_rows(fx):
+        rates = bronze.clean_rates(quarantine.set_aside(fx, FX_FEED, rejects, f"{start}_{end}"))
+        counts[FX_TABLE] = tables.replace_days(rates, FX_TABLE, "ds", start, end)
+    listed = quarantine.scan(spark, symbols_csv, SYMBOL_FEED)
+    if sinks.has_rows(listed):
+        symbols = bronze.clean_symbols(quarantine.set_aside(listed, SYMBOL_FEED, rejects, "latest"))
+        counts[SYMBOL_TABLE] = tables.replace_table(symbols, SYMBOL_TABLE)
+    t = files.trades_scan(trades, start, end)
+    if not sinks.has_rows(t):
+        return counts
+    enriched = silver.scored_trades(t, tables.read(SYMBOL_TABLE))
+    counts[SILVER_TABLE] = tables.replace_days(enriched, SILVER_TABLE, "event_date", start, end,
+                                               {"feed": BATCH_FEED})
+    days = files.trades_scan(tables.read(SILVER_TABLE), start, end)
+
+    def build(kind: str) -> Staged:
+        return tables.stage(fact(kind, days), FACT_TABLES[kind], "ds", start, end)
+
+    with ThreadPoolExecutor(len(FACT_KINDS)) as pool:      # written side by side, then published
+        for staged in pool.map(inheritable_thread_target(spark)(build), FACT_KINDS):
+            counts[staged.table] = tables.publish(staged)
+    return counts
+
+
 LAYER_TABLES = {
     "bronze_v1.br_fx_rates": "fx", "bronze_v1.br_symbols": "symbols",
     "silver_v1.trades_enriched": "silver", "gold_v1.fact_pnl_daily": "pnl",

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import AS_OF_DEFAULT
 from .. import pipeline, sinks
+from ..published import Published
 from ..functions.exprs import exact_sum, stabilize
 from ..operators import bronze, gold, silver
 from ..schemas import FACT_PNL_COLUMNS, PORTFOLIOS, TRADES_ENRICHED_COLUMNS, USERS
@@ -36,6 +38,9 @@ WINDOW_DAYS = 30
 # First day of the 30-day window ending at AS_OF (ds >= as_of - 30 days).
 WINDOW_START = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=WINDOW_DAYS)).isoformat()
 
+#: Windows of the published run: days with trades, and days without.
+RUN_WINDOW, EMPTY_WINDOW = ("2024-01-05", "2024-01-20"), ("2030-01-01", "2030-01-02")
+
 # Aggregated floating columns of the facts.
 PNL_MEASURES = ["avg_buy_price", "avg_sell_price", "realized_pnl_usd", "notional_traded_usd"]
 LIQUIDITY_MEASURES = ["total_turnover_usd", "avg_trade_size", "price_volatility"]
@@ -94,7 +99,7 @@ _QUERIES: dict[str, Query] = {}
 #: queries that write files when they are built
 LANDING = {"fx_bronze", "fx_missing_days", "fx_latest_day", "symbols_bronze",
            "roundtrip_silver", "roundtrip_fact_pnl", "fx_quarantine", "fx_rejects",
-           "regional_profitability_from_store"}
+           "regional_profitability_from_store", "published_fact_pnl", "published_run", "layer_stamps"}
 
 
 def query(*rounded: str):
@@ -288,6 +293,70 @@ def roundtrip_fact_pnl(L: Lake) -> DataFrame:
     return sinks.read_layer(L.spark, path, FACT_PNL_COLUMNS)
 
 
+def _published(L: Lake) -> Published:
+    name = f"run_{uuid.uuid4().hex[:12]}"
+    return Published(L.spark, name, scratch_path(L.spark, "published"))
+
+
+def _published_run(L: Lake) -> tuple[Published, list[tuple]]:
+    """The layered run over the tables of the catalog for the report's window,
+    and again for a window without any trade; with the rows it says it wrote."""
+    fx, listed = scratch_path(L.spark, "landed-rates"), scratch_path(L.spark, "landed-symbols")
+    files.write_fx_csv(L.t.rate_feed, fx)
+    files.write_symbols_csv(L.t.symbol_feed, listed)
+    tables, said = _published(L), []
+    for start, end in (RUN_WINDOW, EMPTY_WINDOW):
+        counts = pipeline.run_published(L.spark, tables, L.t.trades, fx, listed, start, end)
+        said += [(start, end, table, n) for table, n in counts.items()]
+    return tables, said
+
+
+@query()
+def published_run(L: Lake) -> DataFrame:
+    """Per window and table, the rows the run says it wrote and those a reader
+    then finds in the table by its name."""
+    tables, said = _published_run(L)
+    runs = L.spark.createDataFrame(said, "start string, end string, table_name string, written long")
+    days = {pipeline.FX_TABLE: "ds", pipeline.SILVER_TABLE: "event_date", **dict.fromkeys(
+        pipeline.FACT_TABLES.values(), "ds"), pipeline.SYMBOL_TABLE: None}
+    found = None
+    for table, day in days.items():
+        inside = F.lit(True) if day is None else F.col(day).between(*(F.lit(d).cast("date") for d in RUN_WINDOW))
+        one = tables.read(table).where(inside).agg(F.count(F.lit(1)).alias("found")).select(
+            F.lit(table).alias("table_name"), "found")
+        found = one if found is None else found.unionByName(one)
+    return runs.join(found, "table_name").select("start", "end", "table_name", "written", "found")
+
+
+@query()
+def layer_stamps(L: Lake) -> DataFrame:
+    """Ingest and processing stamps of the layers: rows per table, how many
+    carry a stamp, and of how many moments (each table is written at once)."""
+    tables, _ = _published_run(L)
+    stamps = {pipeline.FX_TABLE: "ingestion_ts", pipeline.SYMBOL_TABLE: "ingestion_ts",
+              pipeline.SILVER_TABLE: "processed_ts"}
+    out = None
+    for table, stamp in stamps.items():
+        one = tables.read(table).agg(
+            F.count(F.lit(1)).alias("num_rows"), F.count(stamp).alias("stamped"),
+            F.countDistinct(stamp).alias("moments")).select(F.lit(table).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(*PNL_MEASURES)
+def published_fact_pnl(L: Lake) -> DataFrame:
+    """The PnL fact published by day, its last two days published again from
+    corrected trades (the day before the last is gone), and read by name."""
+    tables, last = _published(L), last_day(L)
+    first = L.t.trades.agg(F.min("event_date")).first()[0]
+    tables.replace_days(L.pnl, "fact_pnl_daily", "ds", str(first), str(last))
+    again = corrected(L.t.trades.filter(F.col("event_date") == F.lit(last)))
+    fact = gold.fact_pnl_daily(silver.valid_trades(silver.scored_trades(again, L.t.symbols)))
+    tables.replace_days(fact, "fact_pnl_daily", "ds", str(last - dt.timedelta(days=1)), str(last))
+    return tables.read("fact_pnl_daily").select(*FACT_PNL_COLUMNS)
+
+
 @query()
 def daily_bars(L: Lake) -> DataFrame:
     return gold.daily_bars(L.valid("ts", "trade_id"))
