@@ -1,8 +1,10 @@
 """Sequence packing: first-fit decreasing in randomised groups of documents.
 
 Texts are tokenised once, inside tasks.  A document's ids are cut into full
-sequences plus one rest; pieces are dealt to groups by a hash of their
-content, so a group is a random sample of all pieces and of bounded size.
+sequences plus one rest; pieces are dealt to groups by a hash of their content,
+their partition and how many equal ones the partition had before, so a group is
+a random sample of all pieces and of bounded size, also if a third of all rows
+are equal.  (Equal pieces are interchangeable: a repeated task deals out the same.)
 Within a group, rests are packed longest first into the first bin that still
 has room; a tournament tree over the bins' free room finds it in
 O(log bins).  Bins that stay clearly under-filled are opened again: their
@@ -20,15 +22,18 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import sys
 import types
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +53,7 @@ class Packing:
     end_id: int = 2                # follows each document
     group_chars: int = 6_000_000   # mean characters of text per group
     open_below: float = 0.985      # bins filled less are opened and cut anew
-    #: the tokenizer treats the parts between these characters independently
+    #: white space that the tokenizer drops, whatever stands beside it
     gaps: str = " \n"
 
 
@@ -61,6 +66,7 @@ class WordIds:
     def __init__(self, path: str, gaps: str):
         from tokenizers import Tokenizer
         self.tokenizer, self.gaps = Tokenizer.from_file(path), gaps
+        expect_words(self.tokenizer, gaps)
         self.known: dict[str, bytes] = {"": b""}
         #: byte-level spelling: printable bytes are themselves, the n-th other
         #: byte is the character 256 + n
@@ -104,12 +110,34 @@ class WordIds:
 
     @staticmethod
     def halves(word: str) -> tuple[str, str]:
-        """A word without its closing marks, and these.  The tokenizer never
-        joins a letter or digit with such a mark, and ignores ASCII case."""
+        """An ASCII word without its closing marks, and these: the tokenizer
+        never joins an ASCII letter or digit with such a mark, and ignores ASCII
+        case.  Other words stay whole, as lower case may add marks to a letter
+        (U+0130) that then join what follows."""
         head = word.rstrip(CLOSING)
-        if not head or not head[-1].isalnum():
+        if not word.isascii() or not head or not head[-1].isalnum():
             return word, ""
-        return head.lower() if head.isascii() and "<|" not in head else head, word[len(head):]
+        return head if "<|" in head else head.lower(), word[len(head):]
+
+
+def expect_words(tokenizer, gaps: str) -> None:
+    """Refuses a tokenizer whose pipeline is not the one ``WordIds`` relies on:
+    canonical composition, white space to a space, lower case; words apart at
+    white space, which is dropped, letters apart from marks; bytes spelled out."""
+    how = json.loads(tokenizer.to_str())
+    steps = how["normalizer"]["normalizers"] if (how["normalizer"] or {}).get("type") == "Sequence" else []
+    cuts = (how["pre_tokenizer"] or {}).get("pretokenizers", [])
+    fits = ([s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+            and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+            and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+            and cuts[0]["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+            and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+            and how["model"]["type"] == "BPE" and not how["model"]["dropout"]
+            and not any(t["lstrip"] or t["rstrip"] or any(g in t["content"] for g in gaps)
+                        for t in how["added_tokens"]))
+    if not fits:
+        raise ValueError("this tokenizer does not work word by word")
 
 
 def word_ids(path: str, gaps: str) -> WordIds:
@@ -213,6 +241,7 @@ def pack(docs: DataFrame, how: Packing, doc_id: str = "doc_id", text: str = "tex
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(how.tokenizer, how.gaps)
         end = np.array([how.end_id], "<u4")
+        salt, before = TaskContext.get().partitionId(), Counter()
         for b in batches:
             at = 0
             while at < len(b):       # a few megabytes of text at a time
@@ -225,7 +254,9 @@ def pack(docs: DataFrame, how: Packing, doc_id: str = "doc_id", text: str = "tex
                     ids, d = np.concatenate((ids, end)), b.column(0)[at + k].as_py()
                     for s in range(0, len(ids), how.length):
                         part = ids[s:s + how.length].astype(kept).tobytes()
-                        mark = zlib.crc32(part, zlib.crc32(f"{d}/{s}".encode()))
+                        own = zlib.crc32(part, zlib.crc32(f"{d}/{s}".encode()))
+                        mark = zlib.crc32(f"{own}/{salt}/{before[own]}".encode())
+                        before[own] += 1
                         for col, v in zip(rows, (d, s, part, len(ids), mark * 2654435761 % (1 << 32) % groups)):
                             col.append(v)
                 at += len(some)
