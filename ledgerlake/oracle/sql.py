@@ -303,6 +303,12 @@ FROM (SELECT 'br_symbols' AS table_name, COUNT(*) AS n FROM d_symbols
       UNION ALL SELECT 'trades_enriched', COUNT(*) FROM d_trades WHERE event_date {days})""")
     o["fact_liquidity"] = q("FROM f_liq", LIQ_DOUBLES)
     o["fact_user_activity"] = q(ACT, ACT_DOUBLES)
+    for fact in ("pnl", "liquidity", "user_activity"):
+        o[f"incremental_fact_{fact}"] = o["fact_pnl_daily" if fact == "pnl" else f"fact_{fact}"]
+    o["active_owners_30d"] = q(f"""
+SELECT region, COUNT(DISTINCT ds) AS num_days, COUNT(DISTINCT portfolio_id) AS num_portfolios,
+       COUNT(DISTINCT user_id) AS num_users, true AS estimates_close
+FROM valid JOIN own USING (portfolio_id) WHERE {window(30)} GROUP BY region""")
     o["lineitem_fact_pnl_daily"] = q("FROM f_pnl", PNL_DOUBLES, feed=BRANDS)
     o["lineitem_fact_liquidity"] = q("FROM f_liq", LIQ_DOUBLES, feed=BRANDS)
     o["lineitem_fact_user_activity"] = q(ACT, ACT_DOUBLES, feed=BRANDS)

@@ -15,10 +15,11 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import sinks
 from .published import Published, Staged
-from .operators import bronze, gold, silver
+from .operators import bronze, cells, gold, silver
 from .schemas import (BR_FX_RATES, BR_SYMBOLS, FACT_ACTIVITY_COLUMNS,
                       FACT_LIQUIDITY_COLUMNS, FACT_PNL_COLUMNS, FX_CSV, SYMBOLS_CSV,
                       TRADES_ENRICHED_COLUMNS)
@@ -35,6 +36,7 @@ class LakePaths:
     liquidity: str = field(init=False)
     activity: str = field(init=False)
     rejects: str = field(init=False)
+    cells: str = field(init=False)
 
     def __post_init__(self):
         r = self.root.rstrip("/")
@@ -45,6 +47,7 @@ class LakePaths:
         self.liquidity = f"{r}/gold/fact_liquidity"
         self.activity = f"{r}/gold/fact_user_activity"
         self.rejects = f"{r}/rejects"
+        self.cells = f"{r}/silver/trade_cells"
 
 
 def ingest_bronze(spark: SparkSession, paths: LakePaths, fx_csv_dir: str,
@@ -91,7 +94,30 @@ def build_silver(spark: SparkSession, paths: LakePaths, trades: DataFrame,
         return 0
     sym = sinks.read_layer(spark, paths.symbols, [f.name for f in BR_SYMBOLS.fields])
     enriched = silver.scored_trades(t, sym)
-    return sinks.replace_days(enriched, paths.silver, "event_date", start, end, BATCH_FEED)
+    n = sinks.replace_days(enriched, paths.silver, "event_date", start, end, BATCH_FEED)
+    # the feed's cells, from the days as written (see ``build_facts_from_cells``)
+    written = files.trades_scan(spark.read.parquet(paths.silver).where(F.col("feed") == BATCH_FEED), start, end)
+    sinks.replace_days(cells.cells(cell_trades(written)), paths.cells, "ds", start, end, BATCH_FEED)
+    return n
+
+
+def cell_trades(trades: DataFrame) -> DataFrame:
+    """Valid trades with the columns that cells need."""
+    return silver.valid_trades(trades, columns=("portfolio_id", "symbol", "side", "price_usd", "qty",
+                                                "notional_usd", "exchange", "sector"))
+
+
+def read_cells(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """The partial aggregates of all feeds, by day."""
+    return spark.read.parquet(paths.cells)
+
+
+def build_facts_from_cells(spark: SparkSession, paths: LakePaths, days: DataFrame) -> dict[str, int]:
+    """The gold facts of some days (a column ``ds``), anew from the cells of all
+    feeds: no trade is read.  These days are overwritten, other days stay."""
+    some = read_cells(spark, paths).join(days.select("ds").distinct(), "ds", "left_semi")
+    return {f"gold.{kind}": sinks.write_partitioned(cells.FACTS[kind](some), getattr(paths, kind), ["ds"])
+            for kind in FACT_KINDS}
 
 
 def read_silver(spark: SparkSession, paths: LakePaths, start: str | None = None,

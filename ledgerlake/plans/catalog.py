@@ -27,7 +27,7 @@ from .. import AS_OF_DEFAULT
 from .. import pipeline, sinks
 from ..published import Published
 from ..functions.exprs import exact_sum, stabilize
-from ..operators import bronze, gold, silver
+from ..operators import bronze, cells, gold, silver, sketches
 from ..schemas import FACT_PNL_COLUMNS, PORTFOLIOS, TRADES_ENRICHED_COLUMNS, USERS
 from ..session import scratch_path
 from ..sources import document_store, files, fixtures, quarantine
@@ -99,7 +99,9 @@ _QUERIES: dict[str, Query] = {}
 #: queries that write files when they are built
 LANDING = {"fx_bronze", "fx_missing_days", "fx_latest_day", "symbols_bronze",
            "roundtrip_silver", "roundtrip_fact_pnl", "fx_quarantine", "fx_rejects",
-           "regional_profitability_from_store", "published_fact_pnl", "published_run", "layer_stamps"}
+           "regional_profitability_from_store", "published_fact_pnl", "published_run", "layer_stamps",
+           "incremental_fact_pnl", "incremental_fact_liquidity", "incremental_fact_user_activity",
+           "active_owners_30d"}
 
 
 def query(*rounded: str):
@@ -357,6 +359,53 @@ def published_fact_pnl(L: Lake) -> DataFrame:
     return tables.read("fact_pnl_daily").select(*FACT_PNL_COLUMNS)
 
 
+def _cells_in_batches(L: Lake, batches: int = 3) -> DataFrame:
+    """The trades' cells as they come in with several late batches (every day's
+    trades are dealt to all of them), written one after the other."""
+    path = scratch_path(L.spark, "trade-cells")
+    for k in range(batches):
+        late = L.t.trades.filter(F.col("trade_id").cast("bigint") % batches == k)
+        scored = silver.scored_trades(late, L.t.symbols, with_processed_ts=False)
+        own = cells.cells(pipeline.cell_trades(scored)).withColumn("feed", F.lit(f"late-{k}"))
+        sinks.write_partitioned(own, path, ["ds", "feed"], shuffle_by=["ds"])
+    return L.spark.read.parquet(path)
+
+
+@query(*PNL_MEASURES)
+def incremental_fact_pnl(L: Lake) -> DataFrame:
+    """The PnL fact merged from the partial aggregates of three late batches."""
+    return cells.pnl(_cells_in_batches(L))
+
+
+@query(*LIQUIDITY_MEASURES)
+def incremental_fact_liquidity(L: Lake) -> DataFrame:
+    return cells.liquidity(_cells_in_batches(L))
+
+
+@query(*ACTIVITY_MEASURES)
+def incremental_fact_user_activity(L: Lake) -> DataFrame:
+    return cells.activity(_cells_in_batches(L))
+
+
+@query()
+def active_owners_30d(L: Lake) -> DataFrame:
+    """Distinct portfolios and users that traded in 30 days, by region: from
+    stored daily sketches, beside the exact counts; whether the estimates are
+    within four standard errors."""
+    owners = L.portfolios.select("portfolio_id", "user_id").join(L.users.select("user_id", "region"), "user_id")
+    active = L.valid().select("ds", "portfolio_id").distinct().join(owners, "portfolio_id")
+    path, what = scratch_path(L.spark, "daily-sketches"), ["portfolio_id", "user_id"]
+    sinks.write_partitioned(sketches.daily(active, ["region"], what), path, ["ds"])
+    stored = L.spark.read.parquet(path)
+    met = sketches.window(stored, ["region"], what, L.as_of, WINDOW_DAYS).join(
+        sketches.exact_window(active, ["region"], what, L.as_of, WINDOW_DAYS), "region")
+    close = F.lit(True)
+    for c in what:
+        close = close & sketches.within(F.col(f"approx_{c}"), F.col(f"exact_{c}"))
+    return met.select("region", "num_days", F.col("exact_portfolio_id").alias("num_portfolios"),
+                      F.col("exact_user_id").alias("num_users"), close.alias("estimates_close"))
+
+
 @query()
 def daily_bars(L: Lake) -> DataFrame:
     return gold.daily_bars(L.valid("ts", "trade_id"))

@@ -10,9 +10,11 @@ form processes each new trade file once and keeps the layers current:
   partition overwrite, so a replayed batch (after a failure) replaces exactly
   its own rows — effectively once.  The batch run writes feed ``batch`` of the
   same layer, so both see each other's trades.
-* The gold facts of the days the batch touched are recomputed from all feeds
-  of these days (left-semi join on ``event_date`` → dynamic partition pruning)
-  and overwrite those ``ds`` partitions.  Late trades simply re-touch old days.
+* The batch's partial aggregates (``operators.cells``) are written beside it
+  under the same feed.  The gold facts of the days the batch touched are merged
+  from the cells of all feeds of these days (left-semi join on ``ds`` → dynamic
+  partition pruning) and overwrite those ``ds`` partitions: a late trade does not
+  read its day's trades again.
 
 Nothing is collected to the driver; every step is a Spark job over files
 in the shared lake folder.
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import pipeline, sinks
-from ..operators import silver
-from ..schemas import TRADES, TRADES_ENRICHED_COLUMNS
+from ..operators import cells, silver
+from ..schemas import TRADES
 
 def trade_stream(spark: SparkSession, source_dir: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -53,10 +55,9 @@ class IncrementalLake:
                       .withColumn("feed", F.lit(f"{self.name}-{batch_id}")))
             sinks.write_partitioned(scored, self.paths.silver, ["event_date", "feed"],
                                     shuffle_by=["event_date"])
-            days = sinks.read_layer(spark, self.paths.silver, TRADES_ENRICHED_COLUMNS).join(
-                batch.select("event_date").distinct(), on="event_date", how="left_semi")
-            for kind in pipeline.FACT_KINDS:
-                sinks.write_partitioned(pipeline.fact(kind, days), getattr(self.paths, kind), ["ds"])
+            own = cells.cells(pipeline.cell_trades(scored)).withColumn("feed", F.lit(f"{self.name}-{batch_id}"))
+            sinks.write_partitioned(own, self.paths.cells, ["ds", "feed"], shuffle_by=["ds"])
+            pipeline.build_facts_from_cells(spark, self.paths, batch.select(F.col("event_date").alias("ds")))
         finally:
             batch.unpersist()
 
