@@ -110,14 +110,16 @@ class WordIds:
 
     @staticmethod
     def halves(word: str) -> tuple[str, str]:
-        """An ASCII word without its closing marks, and these: the tokenizer
-        never joins an ASCII letter or digit with such a mark, and ignores ASCII
-        case.  Other words stay whole, as lower case may add marks to a letter
-        (U+0130) that then join what follows."""
+        """A word without its closing marks, and these: the tokenizer never
+        joins such a mark with an ASCII letter or digit, or with a Latin letter
+        that is lower case already, and ignores ASCII case.  Other words stay
+        whole: lower case may add marks to a letter (U+0130) that then join
+        what follows."""
         head = word.rstrip(CLOSING)
-        if not word.isascii() or not head or not head[-1].isalnum():
+        last = head[-1:]
+        if not (last.isascii() and last.isalnum() or "" < last <= "\u024f" and last.isalpha() and last.lower() == last):
             return word, ""
-        return head if "<|" in head else head.lower(), word[len(head):]
+        return head.lower() if head.isascii() and "<|" not in head else head, word[len(head):]
 
 
 def expect_words(tokenizer, gaps: str) -> None:
