@@ -49,7 +49,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     schema, spark = df.schema, df.sparkSession
     del df
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*done: DataFrame) -> None:
+    """Deletes tables of ``written`` that no later phase reads."""
+    for df in done:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -17,10 +17,12 @@ Jaccard similarity of at least ``threshold`` per cent; equal sets included.
 5. What is left is verified on the whole sets.
 
 A large family of variants of one line would still give all its pairs, so the
-join runs in two rounds: first each set is held against the earliest set with
-the same rare word and like size only; the sets found there are decided and
-drop out as later partners.  The second round covers all others in full, so no
-match is lost.
+join runs in two rounds.  First each set is held against the earliest set with
+the same key and like size only, the key being the least (and the greatest) hash
+among its rare words; what is found there is decided.  A set needs one earlier
+match, not all: the second round holds every undecided set against all earlier
+ones, decided or not, and nothing against later ones, so no match is lost and a
+family costs as many rows as it has members.
 
 Defined results: a null or empty text has no lines; a line without a word is
 never removed; lines at the same place of rows with the same id are ordered by
@@ -34,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, row_key, text_or_empty, words, written
+from .common import discard, fresh, row_key, text_or_empty, words, written
 from .decontaminate import bitmap, is_set
 
 RARITY_BITS = 16      # log2 of the number of word buckets
@@ -52,7 +54,13 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     given = docs.select(row_key(docs).alias("k"), F.col(f"`{doc_id}`").alias("doc_id"),
                         F.posexplode_outer(F.split(text_or_empty(F.col(f"`{text}`")), "\n"))
                         .alias("line_no", "line"))
-    tk = F.sort_array(F.array_distinct(F.transform(words(F.lower("line")), lambda w: F.xxhash64(w))))
+    # few lines have white space other than spaces: splitting at one character is cheaper
+    odd = F.lit(False)
+    for c in "\t\r\v\f":
+        odd = odd | F.contains("line", F.lit(c))
+    low = F.lower("line")
+    parts = F.when(odd, words(low)).otherwise(F.array_remove(F.split(low, " "), ""))
+    tk = F.sort_array(F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w))))
     return (given.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
             .select("k", "doc_id", "line_no", tk.alias("tk"))
             .withColumn("set_id", F.xxhash64("tk")))
@@ -121,70 +129,86 @@ def _needed(threshold: int) -> Column:
     return F.expr(f"(({threshold} * (a.n + b.n) + {99 + threshold}) div {100 + threshold})")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """set_id of the later set of each of ``pairs`` (x, y) that does match."""
-    pairs = written(pairs, "line-pairs")
+def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
+    """set_id of every set x of the ``pairs`` (x, y) that does match its y."""
     ids = pairs.select(F.explode(F.array("x", "y")).alias("set_id")).distinct()
     wanted = bitmap(ids, "set_id", LOOKUP_BITS).scalar()
-    tokens = (lines.select("set_id", "tk").where(is_set(wanted, F.col("set_id"), LOOKUP_BITS))
-              .groupBy("set_id").agg(F.first("tk").alias("tk")))
-    places = sets.select("set_id", "at").where(is_set(wanted, F.col("set_id"), LOOKUP_BITS))
-    whole = written(tokens.join(places, "set_id"), "line-candidates")
-    held = (pairs.join(whole.select(F.col("set_id").alias("x"), F.col("tk").alias("tx"), F.col("at").alias("ax")), "x")
-            .join(whole.select(F.col("set_id").alias("y"), F.col("tk").alias("ty"), F.col("at").alias("ay")), "y"))
+    whole = written(lines.select("set_id", "tk").where(is_set(wanted, F.col("set_id"), LOOKUP_BITS))
+                    .groupBy("set_id").agg(F.first("tk").alias("tk")), "line-candidates")
+    held = (pairs.join(whole.select(F.col("set_id").alias("x"), F.col("tk").alias("tx")), "x")
+            .join(whole.select(F.col("set_id").alias("y"), F.col("tk").alias("ty")), "y"))
     common = F.size(F.array_intersect("tx", "ty"))
-    return (held.select("ax", "ay", F.size("tx").alias("nx"), F.size("ty").alias("ny"), common.alias("common"))
-            .where(100 * F.col("common") >= threshold * (F.col("nx") + F.col("ny") - F.col("common")))
-            .select(F.greatest("ax", "ay")["set_id"].alias("set_id")).distinct())
-
-
-def _matched_sets(sets: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
-    """set_id of every set that matches an earlier, different set."""
-    def pairs_of(joined: DataFrame) -> DataFrame:
-        return joined.select(F.least("a.set_id", "b.set_id").alias("x"),
-                             F.greatest("a.set_id", "b.set_id").alias("y")).distinct()
-
+    matched = (held.select("x", F.size("tx").alias("nx"), F.size("ty").alias("ny"), common.alias("common"))
+               .where(100 * F.col("common") >= threshold * (F.col("nx") + F.col("ny") - F.col("common")))
+               .select(F.col("x").alias("set_id")).distinct())
+    out = written(matched, "matched-sets")
+    discard(whole, pairs)
+    return out
+
+
+def _by_leaders(sets: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
+    """set_id of the sets that match the earliest set with the same key and like
+    size.  The keys are the least and the greatest hash of the prefix words: two
+    variants of a line agree in most of these, whichever words were edited."""
+    like = F.floor(F.log(F.col("n").cast("double")) * 4).cast("int")
+    hashes = F.transform("prefix", lambda w: F.xxhash64(w))
+    heads = sets.select("set_id", "n", "at", "p1", "p2", like.alias("like"), F.explode(F.array(
+        F.array_min(hashes), F.array_max(hashes))).alias("key"))
+    leaders = heads.groupBy("key", "like").agg(
+        F.min(F.struct("at", "set_id", "n", "p1", "p2")).alias("b")).select("key", "like", "b.*")
+    met = heads.drop("at").alias("a").join(
+        leaders.drop("at").alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.like") == F.col("b.like"))
+        & (F.col("a.set_id") != F.col("b.set_id")) & _may_match(threshold))
+    pairs = met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
+    return _verified(written(pairs, "line-pairs"), lines, threshold)
+
+
+def _matched_sets(sets: DataFrame, lines: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """(decided, rest): set_id of every set that matches an earlier, different
+    set, first found by leaders, then by the complete join of what is left."""
     # a set that cannot match even one more or one fewer word has no partner
     long_enough = sets.where(100 * F.col("n") >= threshold * (F.col("n") + 1))
-    # Round 1: the earliest set with the same rare word and like size.
-    like = F.floor(F.log(F.col("n").cast("double")) * 4).cast("int")
-    heads = long_enough.select("set_id", "n", "at", "p1", "p2", like.alias("like"),
-                               F.explode_outer(F.slice("prefix", 1, 2)).alias("rk"))
-    leaders = heads.groupBy("rk", "like").agg(
-        F.min(F.struct("at", "set_id", "n", "p1", "p2")).alias("b")).select("rk", "like", "b.*")
-    first = pairs_of(heads.drop("at").alias("a").join(
-        leaders.drop("at").alias("b"), (F.col("a.rk") == F.col("b.rk")) & (F.col("a.like") == F.col("b.like"))
-        & (F.col("a.set_id") != F.col("b.set_id")) & _may_match(threshold)))
-    decided = written(_verified(first, lines, sets, threshold), "decided-sets")
-    # Round 2: all pairs with an undecided set.  Both sides of the join have
-    # the same columns and conditions, so the words are shuffled once; they are
-    # taken in passes, each of which frees its shuffle files before the next.
+    decided = _by_leaders(long_enough, lines, threshold)
+    # All pairs of an undecided set and an earlier one.  Both sides of the join
+    # have the same columns, so the words are shuffled once; they are taken in
+    # passes, each of which frees its shuffle files before the next.
     done = decided.withColumn("done", F.lit(1))
     flagged = written(long_enough.join(done, "set_id", "left").select(
-        "set_id", "p1", "p2", "prefix",
-        (F.col("n").cast("long") * 2 + F.coalesce("done", F.lit(0))).alias("nd")), "flagged-sets")
+        "set_id", "at.doc_id", "at.line_no", "p1", "p2", "prefix", "n", F.coalesce("done", F.lit(0)).alias("done")),
+        "flagged-sets")
 
     def unpacked(side: DataFrame, name: str) -> DataFrame:
-        return side.select("rk", "set_id", "p1", "p2", F.shiftright("npd", 21).cast("int").alias("n"),
-                           F.shiftright("npd", 1).bitwiseAND(F.lit((1 << 20) - 1)).cast("int").alias("pos"),
-                           F.col("npd").bitwiseAND(F.lit(1)).alias("done")).alias(name)
+        return side.select(
+            "rk", "set_id", "doc_id", "line_no", "p1", "p2", F.shiftright("npd", 32).cast("int").alias("n"),
+            F.shiftright("npd", 1).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("pos"),
+            F.col("npd").bitwiseAND(F.lit(1)).alias("done")).alias(name)
+
+    def place(side: str) -> Column:
+        return F.struct(F.col(f"{side}.doc_id"), F.col(f"{side}.line_no"), F.col(f"{side}.set_id"))
 
-    found = None
+    found = []
     for k in range(PASSES):
-        tokens = (flagged.select("set_id", "p1", "p2", "nd", F.posexplode_outer("prefix").alias("pos", "rk"))
+        tokens = (flagged.select("set_id", "doc_id", "line_no", "p1", "p2", "n", "done",
+                                 F.posexplode("prefix").alias("pos", "rk"))
                   .where(F.pmod("rk", F.lit(PASSES)) == k)
-                  .select("rk", "set_id", "p1", "p2",
-                          (F.shiftright("nd", 1) * (1 << 21) + F.col("pos") * 2
-                           + F.col("nd").bitwiseAND(F.lit(1))).alias("npd")))
+                  .select("rk", "set_id", "doc_id", "line_no", "p1", "p2",
+                          (_shl(F.col("n").cast("long"), F.lit(32)) + F.col("pos") * 2 + F.col("done")).alias("npd")))
+        # naming both sides in a condition keeps it out of the scans, and the shuffle shared
         both = unpacked(tokens, "a").join(
             unpacked(tokens, "b"),
-            (F.col("a.rk") == F.col("b.rk")) & (F.col("a.set_id") < F.col("b.set_id"))
-            & (F.col("a.done") + F.col("b.done") < 2) & _may_match(threshold)
-            & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= _needed(threshold)))
-        some = written(pairs_of(both), f"line-pairs-{k}")
-        found = some if found is None else found.unionByName(some)
-    rest = _verified(found.distinct(), lines, sets, threshold)
-    return decided.unionByName(rest).distinct()
+            (F.col("a.rk") == F.col("b.rk")) & (F.col("a.done") + F.col("b.done") * 0 == 0)
+            & _may_match(threshold)
+            & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= _needed(threshold))
+            & (place("b") < place("a")))
+        found.append(written(both.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct(),
+                             f"line-pairs-{k}"))
+    discard(flagged)
+    every = found[0]
+    for some in found[1:]:
+        every = every.unionByName(some)
+    pairs = written(every.distinct(), "line-pairs")
+    discard(*found)
+    return decided, _verified(pairs, lines, threshold)
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -193,7 +217,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the row key, ``line_no`` counts from 0."""
     lines = written(_lines(docs, doc_id, text), "lines")
     sets = written(_sets(lines, threshold), "line-sets")
-    matched = _matched_sets(sets, lines, threshold).withColumn("matched", F.lit(True))
+    decided, rest = _matched_sets(sets, lines, threshold)
+    matched = decided.unionByName(rest).withColumn("matched", F.lit(True))
     verdicts = sets.select("set_id", "at").join(matched, "set_id", "left")
     out = lines.select("k", "doc_id", "line_no", "set_id").join(verdicts, "set_id")
     here = F.struct("doc_id", "line_no", "set_id")
