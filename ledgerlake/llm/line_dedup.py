@@ -7,7 +7,7 @@ Jaccard similarity of at least ``threshold`` per cent; equal sets included.
 1. Lines become sorted arrays of 64-bit word hashes, written once.
 2. Words are counted over all lines in hash buckets (a fixed number of them),
    which gives every task the same order of words by rarity.  Any common order
-   gives right results; a true one keeps the lists of rare words short.
+   gives right results; a fine one keeps the lists of rare words short.
 3. Equal sets are merged by an aggregation with map-side combine; the first
    line of a set speaks for it.
 4. Two similar sets share one of their ``n - ceil(t * n) + 1`` rarest words
@@ -18,7 +18,7 @@ Jaccard similarity of at least ``threshold`` per cent; equal sets included.
 
 A large family of variants of one line would still give all its pairs, so the
 join runs in two rounds.  First each set is held against the earliest set with
-the same key and like size only, the key being the least (and the greatest) hash
+the same key and like size only (and against the one with most lines), the key being the least or greatest hash
 among its rare words; what is found there is decided.  A set needs one earlier
 match, not all: the second round holds every undecided set against all earlier
 ones, decided or not, and nothing against later ones, so no match is lost and a
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from .common import discard, fresh, row_key, text_or_empty, words, written
 from .decontaminate import bitmap, is_set
 
-RARITY_BITS = 16      # log2 of the number of word buckets
+RARITY_BITS = 20      # log2 of the number of word buckets, a byte each
+MOST = 126            # the highest level
 LOOKUP_BITS = 21      # log2 of the bits of the bitmap of sets to verify
 LARGE = 90            # sets of more words have a second parity bitmap
 PASSES = 4            # the words are joined in so many passes, to bound the shuffle
@@ -67,32 +68,37 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _rarity(lines: DataFrame) -> DataFrame:
-    """One row, one array: the level (about log2 of its count) of each bucket,
-    in the upper bits of a long."""
+    """One row, one array of bytes: the level (three steps for each doubling of
+    its count) of each bucket of words.  Put together in two steps, so that no task
+    holds more than the bytes and one stretch of them in rows."""
     buckets = 1 << RARITY_BITS
     counts = (lines.select(F.explode_outer("tk").alias("t"))
               .select(F.col("t").bitwiseAND(F.lit(buckets - 1)).alias("id"))
               .groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-              .select("id", F.least(F.floor(1.5 * F.log2("n")), F.lit(62)).cast("long").alias("level")))
-    every = lines.sparkSession.range(buckets).join(counts, "id", "left")
-    return every.agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("id", _shl(F.coalesce("level", F.lit(0).cast("long")), F.lit(57))
-                                             .alias("level")))),
-        lambda x: x["level"]).alias("levels"))
+              .select("id", F.least(F.floor(3 * F.log2("n")), F.lit(MOST)).cast("tinyint").alias("level")))
+    every = (lines.sparkSession.range(buckets).join(counts, "id", "left")
+             .select("id", F.coalesce("level", F.lit(0).cast("tinyint")).alias("level")))
+
+    def together(df: DataFrame, order: str, value: str, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.transform(
+            F.sort_array(F.collect_list(F.struct(order, value))), lambda x: x[value]).alias("levels"))
+
+    parts = together(every.withColumn("part", F.shiftright("id", RARITY_BITS // 2)), "id", "level", "part")
+    return together(parts, "part", "levels").select(F.flatten("levels").alias("levels"))
 
 
 def _sets(lines: DataFrame, threshold: int) -> DataFrame:
-    """Per distinct set: set_id, n, its first place ``at``, parity bitmaps and
-    its rarest words ``prefix`` in the common order.
+    """Per distinct set: set_id, n, its first place ``at``, its number of
+    ``lines``, parity bitmaps and its rarest words ``prefix`` in the common order.
 
     ``p1`` has the parity of the words by the low six bits of their hash;
     ``p2``, for large sets, that of the words with a negative hash alone."""
     levels = _rarity(lines).scalar()
-    low, one, zero = (1 << 57) - 1, F.lit(1).cast("long"), F.lit(0).cast("long")
+    low, one, zero = (1 << 56) - 1, F.lit(1).cast("long"), F.lit(0).cast("long")
 
     def ranked(t: Column) -> Column:
-        level = F.get("levels", t.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int"))
-        return level.bitwiseOR(t.bitwiseAND(F.lit(low)))
+        level = F.get("levels", t.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int")).cast("long")
+        return _shl(level, F.lit(56)).bitwiseOR(t.bitwiseAND(F.lit(low)))
 
     def flip(a: Column, t: Column) -> Column:
         return a.bitwiseXOR(_shl(one, t.bitwiseAND(F.lit(63)).cast("int")))
@@ -107,8 +113,8 @@ def _sets(lines: DataFrame, threshold: int) -> DataFrame:
                                  F.slice(F.sort_array(F.transform("tk", ranked)), F.lit(1), keep)
                                  .alias("prefix")).alias("sketch")))
     first = per_line.groupBy("set_id", "n").agg(
-        F.min("at").alias("at"), F.first("sketch").alias("sketch"))
-    return first.select("set_id", "n", "at", "sketch.p1", "sketch.p2", "sketch.prefix")
+        F.min("at").alias("at"), F.count(F.lit(1)).alias("lines"), F.first("sketch").alias("sketch"))
+    return first.select("set_id", "n", "at", "lines", "sketch.p1", "sketch.p2", "sketch.prefix")
 
 
 def _may_match(threshold: int) -> Column:
@@ -147,18 +153,22 @@ def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
 
 
 def _by_leaders(sets: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
-    """set_id of the sets that match the earliest set with the same key and like
-    size.  The keys are the least and the greatest hash of the prefix words: two
-    variants of a line agree in most of these, whichever words were edited."""
+    """set_id of the sets that match an earlier leader.  The leaders of a key and
+    like size are the earliest set and the one with most lines (the variants of a
+    line often match the plain line and not one another).  The keys are the least
+    and the greatest hash of the prefix words: two variants agree in most of these,
+    whichever words were edited."""
     like = F.floor(F.log(F.col("n").cast("double")) * 4).cast("int")
     hashes = F.transform("prefix", lambda w: F.xxhash64(w))
-    heads = sets.select("set_id", "n", "at", "p1", "p2", like.alias("like"), F.explode(F.array(
+    heads = sets.select("set_id", "n", "at", "lines", "p1", "p2", like.alias("like"), F.explode(F.array(
         F.array_min(hashes), F.array_max(hashes))).alias("key"))
+    lead = F.struct("at", "set_id", "n", "p1", "p2")
     leaders = heads.groupBy("key", "like").agg(
-        F.min(F.struct("at", "set_id", "n", "p1", "p2")).alias("b")).select("key", "like", "b.*")
-    met = heads.drop("at").alias("a").join(
-        leaders.drop("at").alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.like") == F.col("b.like"))
-        & (F.col("a.set_id") != F.col("b.set_id")) & _may_match(threshold))
+        F.array_distinct(F.array(F.min(lead), F.max(F.struct("lines", lead.alias("x")))["x"])).alias("b")).select(
+            "key", "like", F.explode("b").alias("b")).select("key", "like", "b.*")
+    met = heads.alias("a").join(
+        leaders.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.like") == F.col("b.like"))
+        & (F.col("b.at") < F.col("a.at")) & _may_match(threshold))
     pairs = met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
     return _verified(written(pairs, "line-pairs"), lines, threshold)
 
@@ -190,7 +200,8 @@ def _matched_sets(sets: DataFrame, lines: DataFrame, threshold: int) -> tuple[Da
     for k in range(PASSES):
         tokens = (flagged.select("set_id", "doc_id", "line_no", "p1", "p2", "n", "done",
                                  F.posexplode("prefix").alias("pos", "rk"))
-                  .where(F.pmod("rk", F.lit(PASSES)) == k)
+                  # level 0: a word of one line, which no two sets share
+                  .where((F.pmod("rk", F.lit(PASSES)) == k) & (F.shiftright("rk", 56) > 0))
                   .select("rk", "set_id", "doc_id", "line_no", "p1", "p2",
                           (_shl(F.col("n").cast("long"), F.lit(32)) + F.col("pos") * 2 + F.col("done")).alias("npd")))
         # naming both sides in a condition keeps it out of the scans, and the shuffle shared
