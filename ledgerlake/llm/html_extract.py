@@ -7,8 +7,8 @@ bidirectional LSTM in numpy runs over all blocks of the page, so each block is
 labelled in the light of the whole document; blocks of one container are
 decided together.  The text of a page is its accepted blocks in page order.
 
-Training: at most ``sample_pages`` pages (those with the least hash of their
-html) are taken to the driver.  Structure gives their labels: blocks inside
+Training: at most ``sample_pages`` different pages (those with the least hash of
+their html) are taken to the driver.  Structure gives their labels: blocks inside
 ``article`` or ``main`` are text, others are not.  As real pages name these
 things differently, the network is also trained on variants of the sample
 in which the article is marked up in other ways and sidebars, notices, adverts,
@@ -27,6 +27,8 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -52,8 +54,8 @@ CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
     "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 WHITE = re.compile(r"[\s]+")
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+MARK = re.compile("[\"'>]")
+TAG_NAME, NAME_END = re.compile("<(/?)[a-zA-Z]"), re.compile(r"[\s/>]")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
@@ -61,7 +63,8 @@ NAME_WORD = re.compile(r"[a-z]+")
 @dataclass(frozen=True)
 class Labeller:
     sample_pages: int = 300
-    max_sample_chars: int = 40_000   # longer pages are not used for training
+    max_sample_chars: int = 40_000   # longer pages are not used for training,
+    max_sample_depth: int = 100      # nor are more deeply nested ones
     hidden: int = 16
     epochs: int = 6
     batch: int = 32
@@ -73,78 +76,155 @@ def _hash(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "replace"))
 
 
-class Block:
-    __slots__ = ("text", "path", "container", "linked")
+class Node:
+    """An open element: its name and the words of its class, id and role, and
+    the element it stands in.  Blocks share nodes, so a path costs nothing."""
+    __slots__ = ("entry", "parent", "depth", "number", "inside", "vector")
+
+    def __init__(self, entry: tuple, parent: Node | None, number: int = 0):
+        self.entry, self.parent, self.number = entry, parent, number
+        self.depth = parent.depth + 1 if parent else 0
+        self.inside = entry[0] in TEXT_HOLDERS or bool(parent and parent.inside and entry[0] not in OUTSIDE)
+        self.vector: np.ndarray | None = None
+
+    def path(self) -> tuple:
+        """The entries from the root down."""
+        out, node = [], self
+        while node.parent:
+            out.append(node.entry)
+            node = node.parent
+        return tuple(reversed(out))
+
+    @staticmethod
+    def at(path: tuple) -> Node:
+        node = ROOT
+        for entry in path:
+            node = Node(entry, node)
+        return node
+
 
-    def __init__(self, text: str, path: tuple, container: int, linked: int):
-        self.text, self.path, self.container, self.linked = text, path, container, linked
+TEXT_HOLDERS, OUTSIDE = {"article", "main"}, {"nav", "aside", "footer", "header", "form"}
+ROOT = Node(("",), None)
+
+
+class Block:
+    __slots__ = ("text", "node", "container", "linked")
+
+    def __init__(self, text: str, node: Node, container: int, linked: int):
+        self.text, self.node, self.container, self.linked = text, node, container, linked
+
+
+class TagEnds:
+    """Where tags end: at the first ``>`` outside quotes.  Each quote of a page
+    is followed once, so pages of unclosed tags and quotes cost one pass."""
+
+    def __init__(self, html: str):
+        found = [(m.start(), m[0]) for m in MARK.finditer(html)]
+        self.places = [p for p, _ in found]
+        follow: list[int] = [-1] * len(found)      # of a quote: the next of its kind
+        last = {}
+        for k in range(len(found) - 1, -1, -1):
+            c = found[k][1]
+            follow[k] = last.get(c, -1)
+            last[c] = k
+        # outside quotes and before mark k, the tag ends at mark ends[k]
+        self.ends = [-1] * (len(found) + 1)
+        for k in range(len(found) - 1, -1, -1):
+            if found[k][1] == ">":
+                self.ends[k] = k
+            elif follow[k] >= 0:
+                self.ends[k] = self.ends[follow[k] + 1]
+
+    def of(self, start: int) -> int:
+        """The place of the ``>`` that ends the tag at ``start``; -1 if none."""
+        k = self.ends[bisect_left(self.places, start)]
+        return self.places[k] if k >= 0 else -1
 
 
 def blocks(html: str) -> list[Block]:
-    """The leaf blocks of a page in order.  ``path`` has one entry per open
-    element: its name and the words of its class, id and role."""
+    """The leaf blocks of a page in order.  A tag that never ends is text; a
+    comment or declaration that never ends takes the rest of the page."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple, int]] = []      # name, path entry, number
+    stack: list[tuple[str, Node]] = []
     piece: list[str] = []
-    state = {"linked": 0, "number": 0, "path": ()}
+    open_names: Counter[str] = Counter()
+    ends = TagEnds(html)
+    linked = number = 0
+    link_at = -1               # depth of the stack where a link is open
 
     def end_block() -> None:
+        nonlocal linked
         if piece:
             text = WHITE.sub(" ", unescape("".join(piece))).strip()
             if text:
-                holder = stack[-2][2] if len(stack) > 1 else 0
-                out.append(Block(text, state["path"], holder, state["linked"]))
+                node = stack[-1][1] if stack else ROOT
+                out.append(Block(text, node, node.parent.number if node.parent else 0, linked))
             piece.clear()
-        state["linked"] = 0
+        linked = 0
 
     def pop_to(k: int) -> None:
+        nonlocal link_at
+        for name, _ in stack[k:]:
+            open_names[name] -= 1
         del stack[k:]
-        state["path"] = tuple(e[1] for e in stack)
-
-    at = 0
-    while at < len(html):
-        m = TAG.search(html, at)
-        if not m:
-            piece.append(html[at:])
-            break
-        if m.start() > at:
-            piece.append(html[at:m.start()])
-            if any(e[0] == "a" for e in stack[-3:]):
-                state["linked"] += m.start() - at
-        at = m.end()
-        if not m[2]:
+        if link_at > k:
+            link_at = -1
+
+    at, size = 0, len(html)
+    while at < size:
+        start = html.find("<", at)
+        # text up to the next thing that is a tag
+        tag = TAG_NAME.match(html, start) if start >= 0 else None
+        end = -1
+        if start >= 0 and html.startswith("<!--", start):
+            end = html.find("-->", start + 4) + 3
+            end = end if end > 2 else size
+        elif start >= 0 and html[start + 1:start + 2] in ("!", "?"):
+            end = html.find(">", start) + 1 or size
+        elif tag and (closed := ends.of(start)) >= 0:
+            end = closed + 1
+        stop = size if start < 0 else start + (end < 0)
+        if stop > at:
+            piece.append(html[at:stop])
+            if link_at >= 0 and len(stack) - link_at <= 2:
+                linked += stop - at
+        if end < 0:
+            at = stop
             continue
-        name, closing = m[2].lower(), bool(m[1])
+        at = end
+        if not tag:
+            continue
+        # a name ends at white space, a slash or the end of the tag
+        body = html[tag.end() - 1:end - 1]
+        written = NAME_END.split(body, maxsplit=1)[0]
+        name, attributes, closing = written.lower(), body[len(written):], bool(tag[1])
         if name in INLINE:
             if name in SPACED:
                 piece.append(" ")
             if name == "a":
-                stack[:] = [e for e in stack if e[0] != "a"]
-                if not closing:
-                    stack.append(("a", ("a",), state["number"]))
-                state["path"] = tuple(e[1] for e in stack if e[0] != "a")
+                link_at = -1 if closing else len(stack)
             continue
         end_block()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop_to(k)
-                    break
+            if open_names[name]:
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+                pop_to(k)
             continue
         for k in range(len(stack) - 1, -1, -1):
             if name in CLOSED_BY.get(stack[k][0], ()):
                 pop_to(k)
                 break
-            if stack[k][0] not in CLOSED_BY and stack[k][0] != "a":
+            if stack[k][0] not in CLOSED_BY:
                 break
         if name in RAW:
-            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-            at = stop.end() if stop else len(html)
-        elif name not in VOID and not m[3].endswith("/"):
-            state["number"] += 1
-            words = NAME_WORD.findall(" ".join(a or b or c for a, b, c in NAMED.findall(m[3])).lower()) if m[3] else []
-            stack.append((name, (name, *words), state["number"]))
-            state["path"] = tuple(e[1] for e in stack if e[0] != "a")
+            raw_end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+            at = raw_end.end() if raw_end else size
+        elif name not in VOID and not attributes.endswith("/"):
+            number += 1
+            words = NAME_WORD.findall(" ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower()) \
+                if attributes else []
+            stack.append((name, Node((name, *words), stack[-1][1] if stack else ROOT, number)))
+            open_names[name] += 1
     end_block()
     return out
 
@@ -154,7 +234,7 @@ class Reader:
 
     def __init__(self, bound: int = 200_000):
         self.words: dict[str, int] = {}
-        self.paths: dict[tuple, np.ndarray] = {}
+        self.entries: dict[tuple, list[int]] = {}
         self.bound = bound
 
     def word(self, w: str) -> int:
@@ -165,24 +245,34 @@ class Reader:
             k = self.words[w] = _hash(w) % WORD_SIZE
         return k
 
-    def path(self, path: tuple) -> np.ndarray:
-        v = self.paths.get(path)
-        if v is None:
-            if len(self.paths) >= self.bound // 10:
-                self.paths.clear()
-            v = np.zeros(PATH_SIZE, np.float32)
-            for entry in path:
-                for j, name in enumerate(entry):
-                    v[_hash(f"{min(j, 1)}{name}") % PATH_SIZE] = 1
-                    v[_hash(f"{min(j, 1)}{name}!") % PATH_SIZE] = 1
-            self.paths[path] = v
+    def path(self, node: Node) -> np.ndarray:
+        """The vector of a path: that of the path above it and its own entry."""
+        way = []
+        while node.vector is None and node.parent:
+            way.append(node)
+            node = node.parent
+        v = node.vector if node.vector is not None else np.zeros(PATH_SIZE, np.float32)
+        for node in reversed(way):
+            v = v.copy()
+            v[self.marks(node.entry)] = 1
+            node.vector = v
         return v
 
+    def marks(self, entry: tuple) -> list[int]:
+        """The places of an entry in the vector."""
+        found = self.entries.get(entry)
+        if found is None:
+            if len(self.entries) >= self.bound // 10:
+                self.entries.clear()
+            found = self.entries[entry] = [_hash(f"{min(j, 1)}{name}{end}") % PATH_SIZE
+                                           for j, name in enumerate(entry) for end in ("", "!")]
+        return found
+
     def matrix(self, page: list[Block]) -> np.ndarray:
         x = np.zeros((len(page), INPUT), np.float32)
         for i, b in enumerate(page):
             w = b.text.split(" ")
-            x[i, :PATH_SIZE] = self.path(b.path)
+            x[i, :PATH_SIZE] = self.path(b.node)
             n = np.bincount([self.word(v) for v in w], minlength=WORD_SIZE)
             x[i, PATH_SIZE:PATH_SIZE + WORD_SIZE] = n / len(w)
             x[i, -COUNTS:] = (np.log1p(len(b.text)) / 5, np.log1p(len(w)) / 4,
@@ -269,10 +359,9 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def weak_label(b: Block) -> int:
-    names = [e[0] for e in b.path]
-    inside = max((k for k, v in enumerate(names) if v in ("article", "main")), default=-1)
-    outside = {"nav", "aside", "footer", "header", "form"}
-    return int(inside >= 0 and not outside & set(names[inside:]))
+    """Whether a block stands in an article or main element, and in none of
+    ``OUTSIDE`` inside it."""
+    return int(b.node.inside)
 
 
 def _variant(page: list[Block], words: list[str], rng: random.Random) -> tuple[list[Block], list[int]]:
@@ -283,9 +372,12 @@ def _variant(page: list[Block], words: list[str], rng: random.Random) -> tuple[l
     base = (("html",), ("body",), *(rng.choice([(), (("div", "wrapper"),), (("div", "page", "container"),)])))
     own = rng.choice([(("article",),), (("main",),), (("main",), ("article",)), (("div", "content"),),
                       (("div", "post", "content"),), (("div", "entry", "content"),),
-                      (("article", "post"), ("div", "body")), (("section", "article"),)])
+                      (("article", "post"), ("div", "body")), (("section", "article"),),
+                      (("div", "story", "text"),), (("div", "entry", "text"),), (("div", "article", "body"),),
+                      (("div", "".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(3, 9)))),)])
     number = iter(range(1_000_000, 2_000_000))
-    depth = next((k for b in article for k, e in enumerate(b.path) if e[0] in ("article", "main")), 0)
+    paths = [b.node.path() for b in article]
+    depth = next((k for p in paths for k, e in enumerate(p) if e[0] in TEXT_HOLDERS), 0)
     holder, seq, y = next(number), [], []
 
     def some(lo: int, hi: int) -> str:
@@ -295,7 +387,7 @@ def _variant(page: list[Block], words: list[str], rng: random.Random) -> tuple[l
         box = next(number)
         for _ in range(n):
             text = some(lo, hi)
-            seq.append(Block(text, path, box, len(text) if link else 0))
+            seq.append(Block(text, Node.at(path), box, len(text) if link else 0))
             y.append(0)
 
     def aside(inside: tuple) -> None:
@@ -322,15 +414,17 @@ def _variant(page: list[Block], words: list[str], rng: random.Random) -> tuple[l
     for k, b in enumerate(article):
         if k == hole and rng.random() < 0.4:
             aside(base + own)
-        tail = b.path[depth + 1:]
+        tail = paths[k][depth + 1:]
         if rng.random() < 0.1:
             tail = rng.choice([(("blockquote",), ("p",)), (("ul",), ("li",)), (("h2",),), (("pre",),)])
-        seq.append(Block(b.text, base + own + tail, holder, b.linked if rng.random() < 0.8 else len(b.text) // 4))
+        seq.append(Block(b.text, Node.at(base + own + tail), holder, b.linked if rng.random() < 0.8 else len(b.text) // 4))
         y.append(1)
     if rng.random() < 0.5:
         where = base + own if rng.random() < 0.3 else base
         put(where + rng.choice([(("section", "comments"), ("p",)), (("div", "comments"), ("div", "comment"), ("p",)),
-                                (("ol", "commentlist"), ("li", "comment"), ("p",))]), rng.randint(1, 5), 4, 60)
+                                (("ol", "commentlist"), ("li", "comment"), ("p",)),
+                                (("div", "discussion"), ("p",)), (("div", "replies"), ("div", "reply"), ("p",)),
+                                (("section", "responses"), ("div", "response"))]), rng.randint(1, 5), 4, 60)
     for _ in range(rng.randint(0, 2)):
         aside(base)
     if rng.random() < 0.8:
@@ -340,9 +434,10 @@ def _variant(page: list[Block], words: list[str], rng: random.Random) -> tuple[l
 
 def train(sample: list[str], how: Labeller) -> BiLstm:
     rng, reader = random.Random(how.seed), Reader()
-    pages = [p for p in map(blocks, sample) if p]
+    # (a page nested without end would cost its depth for every block)
+    pages = [p for p in map(blocks, sample) if p and max(b.node.depth for b in p) <= how.max_sample_depth]
     words = [w for p in pages for b in p for w in b.text.split(" ")][:200_000] or ["word"]
-    pages = pages or [[Block("word word word.", (("html",), ("body",), ("article",), ("p",)), 1, 0)]]
+    pages = pages or [[Block("word word word.", Node.at((("html",), ("body",), ("article",), ("p",))), 1, 0)]]
     data = []
     for p in pages:
         data.append((reader.matrix(p), np.array([weak_label(b) for b in p], np.float32)))
@@ -391,20 +486,37 @@ def main_texts(pages: list[str], net: BiLstm, reader: Reader) -> list[str]:
         for j, k in enumerate(some):
             by_holder: dict[tuple, float] = {}
             for b, s in zip(parsed[k], score[:, j]):
-                key = (b.container, b.path[-1:])
+                key = (b.container, b.node.entry)
                 by_holder[key] = by_holder.get(key, 0.0) + float(s)
-            out[k] = " ".join(b.text for b in parsed[k] if by_holder[b.container, b.path[-1:]] > 0)
+            out[k] = " ".join(b.text for b in parsed[k] if by_holder[b.container, b.node.entry] > 0)
     return out
 
 
+def _sample(pages: DataFrame, how: Labeller) -> list[str]:
+    """At most ``sample_pages`` different pages, those of least hash.  Only hashes
+    are ordered: the page of a hash is fetched when the greatest one is known."""
+    hashed = pages.where(F.length("html").between(1, how.max_sample_chars)).select(
+        "html", F.xxhash64("html").alias("h"))
+    n, share = hashed.count(), 0
+    while share < 1:
+        # the least hashes lie in a small share of their range
+        share = min(1.0, max(4 * how.sample_pages / max(n, 1), 16 * share))
+        below = F.col("h") <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+        least = [r.h for r in hashed.where(below).select("h").distinct().orderBy("h").limit(how.sample_pages).collect()]
+        if len(least) == how.sample_pages:
+            break
+    if not least:
+        return []
+    found = hashed.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html"))
+    return [r.html for r in sorted(found.collect(), key=lambda r: r.h)]
+
+
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
             how: Labeller = Labeller()) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars."""
     given = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"),
                          F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("html"))
-    sample = (given.where(F.length("html").between(1, how.max_sample_chars)).select("html")
-              .orderBy(F.xxhash64("html"), "html").limit(how.sample_pages).collect())
-    net = train([r.html for r in sample], how)
+    net = train(_sample(given, how), how)
     kinds = given.drop("html").schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
