@@ -7,7 +7,13 @@ their layout); what
 does not validate stays as it is.  A valid value is replaced by its image under
 a keyed permutation of all valid values of the same format: separators, length
 and kind stay, check digits are right, and equal values get equal pseudonyms in
-every document, so they stay linked.  Who has the key can invert it.
+every document, so they stay linked.  Who has the key can invert it.  Secrets
+keep each character's class (upper case, lower case, digit), each class permuted
+in its places; mail names are linked without regard to case and keep theirs.
+Dates of 1900 to 2099 stay among themselves, as do those of other years from 0001
+to 9999.  A telephone number has a country code, an area in brackets or marks
+between its groups; three groups between spaces count only with a proper area and
+exchange, since other numbers look like that.
 
 The permutation is an alternating Feistel network over the two halves of a
 string of digits of any radix; the round function is a keyed SHA-256.  Where a
@@ -35,6 +41,7 @@ ROUNDS = 10
 PIECE = 20
 WALK = 64
 FIRST_DAY, DAYS = "1900-01-01", 73049        # to 2099-12-31
+EARLIEST, BEFORE, OTHER_DAYS = "0001-01-01", 693595, 3579010     # days before these, and all others to 9999
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
@@ -49,6 +56,7 @@ KINDS = {"email": _EMAIL, "ip": _IP, "date": _DATE, "ssn": _SSN, "phone": _PHONE
 PATTERN = "|".join(KINDS.values())
 
 _LETTERS, _BASE26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
+_CAPITALS, _DIGITS = _LETTERS.upper(), "0123456789"
 
 Perm = Callable[[Column], Column]
 
@@ -85,13 +93,14 @@ def _feistel(s: Column, radix: int, key: str, tweak: Column) -> Column:
         text(e["a"], left), text(e["b"], right))), 1)
 
 
-def permuted(s: Column, radix: int, key: str, tweak: str) -> Column:
+def permuted(s: Column, radix: int, key: str, tweak: str | Column) -> Column:
     """The keyed permutation of the strings of one length over the first
     ``radix`` of 0-9a-z."""
+    tweak = F.lit(tweak) if isinstance(tweak, str) else tweak
     pieces = F.sequence(F.lit(0), F.floor((F.length(s) - 1) / PIECE).cast("int"))
     return F.when(F.length(s) == 0, s).otherwise(F.array_join(F.transform(
         pieces, lambda i: _feistel(F.substring(s, i * PIECE + 1, F.lit(PIECE)), radix, key,
-                                   F.concat(F.lit(tweak + "|"), F.substring(s, F.lit(1), i * PIECE)))), ""))
+                                   F.concat(tweak, F.lit("|"), F.substring(s, F.lit(1), i * PIECE)))), ""))
 
 
 def _walk(s: Column, step: Perm, valid: Callable[[Column], Column]) -> Column:
@@ -142,7 +151,8 @@ def _phone(m: Column, key: str) -> Column:
     proper = lambda x: x.rlike("^[2-9][0-9]{2}[2-9]")
     country = F.substring(d, F.lit(1), F.length(d) - 10)
     new = _walk(national, lambda x: permuted(x, 10, key, "phone"), lambda x: proper(x) == proper(national))
-    return _refill(m, F.concat(country, new), "0-9")
+    laid_out = m.rlike(r"[+(]|\d[.-]\d{3}[.-]\d") | proper(national)
+    return F.when(laid_out, _refill(m, F.concat(country, new), "0-9"))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -163,9 +173,19 @@ def _ip(m: Column, key: str) -> Column:
 def _date(m: Column, key: str) -> Column:
     def image(day: Column) -> Column:
         n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        inside = lambda x: x.cast("int") < DAYS
-        new = _walk(F.lpad(n.cast("string"), 5, "0"), lambda x: permuted(x, 10, key, "date"), inside)
-        return F.when((n >= 0) & (n < DAYS), F.date_add(F.lit(FIRST_DAY).cast("date"), new.cast("int")))
+        usual = (n >= 0) & (n < DAYS)
+        # the other years as one row of days, with these left out
+        m = F.datediff(day, F.lit(EARLIEST).cast("date"))
+        m = F.when(m < BEFORE, m).otherwise(m - DAYS)
+
+        def among(x: Column, width: int, many: int, tweak: str) -> Column:
+            return _walk(F.lpad(x.cast("string"), width, "0"), lambda y: permuted(y, 10, key, tweak),
+                         lambda y: y.cast("int") < many).cast("int")
+
+        other = F.element_at(F.transform(F.array(among(m, 7, OTHER_DAYS, "other date")), lambda x: F.date_add(
+            F.lit(EARLIEST).cast("date"), F.when(x < BEFORE, x).otherwise(x + DAYS))), 1)
+        return F.when(usual, F.date_add(F.lit(FIRST_DAY).cast("date"), among(n, 5, DAYS, "date"))).otherwise(
+            F.when((m >= 0) & (m < OTHER_DAYS), other))
 
     def like(layouts: list[str]) -> Column:
         out = None
@@ -187,17 +207,25 @@ def _email(m: Column, key: str) -> Column:
     domain = F.substring(m, F.length(name) + 1, F.length(m))
     letters = permuted(F.translate(_only(F.lower(name), "a-z"), _LETTERS, _BASE26), 26, key, "email")
     digits = permuted(_only(name, "0-9"), 10, key, "email")
-    return F.concat(_refill(_refill(name, F.translate(letters, _BASE26, _LETTERS), "A-Za-z"), digits, "0-9"), domain)
+    new = _refill(_refill(name, F.translate(letters, _BASE26, _LETTERS), "A-Za-z"), digits, "0-9")
+    cased = F.array_join(F.zip_with(F.split(new, ""), F.split(name, ""), lambda c, old: F.when(
+        old.rlike("^[A-Z]$"), F.upper(c)).otherwise(c)), "")
+    return F.concat(cased, domain)
 
 
 def _secret(m: Column, key: str) -> Column:
     head = F.regexp_extract(m, r"^(AKIA|[a-z_]+ ?[=:] ?\"?)", 1)
     value = F.substring(m, F.length(head) + 1, F.length(m))
     is_hex = value.rlike("^[0-9a-f]+$")
-    new = F.when(is_hex, permuted(value, 16, key, "hex")).otherwise(
-        F.when(value == F.upper(value), F.upper(permuted(F.lower(value), 36, key, "code")))
-        .otherwise(permuted(F.lower(value), 36, key, "word")))
-    return F.concat(head, new)
+    # which places hold which class; each class is permuted in its places
+    form = F.translate(value, _DIGITS + _LETTERS + _CAPITALS, "0" * 10 + "a" * 26 + "A" * 26)
+    lower = F.translate(permuted(F.translate(_only(value, "a-z"), _LETTERS, _BASE26), 26, key,
+                                 F.concat(F.lit("lower|"), form)), _BASE26, _LETTERS)
+    upper = F.translate(permuted(F.translate(_only(value, "A-Z"), _CAPITALS, _BASE26), 26, key,
+                                 F.concat(F.lit("upper|"), form)), _BASE26, _CAPITALS)
+    digits = permuted(_only(value, "0-9"), 10, key, F.concat(F.lit("digit|"), form))
+    mixed = _refill(_refill(_refill(value, lower, "a-z"), upper, "A-Z"), digits, "0-9")
+    return F.concat(head, F.when(is_hex, permuted(value, 16, key, "hex")).otherwise(mixed))
 
 
 _IMAGES = {"email": _email, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card,
