@@ -1,14 +1,14 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express.
 
-URL templates, HTML labels, pseudonyms, packing and SimHash have none: they
-need a grown tree, a network, a cipher, a tokenizer or XXH64.  Tests hold these
-against brute force, round trips or held-out pages instead.
+URL templates, HTML labels, pseudonyms, packing, quality rules, SimHash, token
+alignment and periodic runs have none: they need a grown tree, a network, a cipher,
+a tokenizer, hashes that DuckDB lacks or an automaton.  Tests hold these against
+brute force, round trips or held-out pages instead.
 """
 
 from __future__ import annotations
 
 from .chat_format import ESCAPE, Template
-from .quality_rules import SYMBOLS, Rules
 from .source_mixing import Mixing
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -110,56 +110,6 @@ SELECT page_id, file, "offset", length,
 FROM files WHERE page_id % 89 = 7 OR page_id % 97 = 5"""
 
 
-def quality_rules(rules: Rules = Rules()) -> str:
-    k = rules.window
-    return f"""
-WITH texts AS (SELECT doc_id, source, COALESCE(text, '') AS text FROM documents),
-worded AS (
-  SELECT doc_id, text, list_filter(string_split_regex(text, '{GAP}'), lambda x: x <> '') AS ws,
-         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{HAS_WORD}')) AS lines
-  FROM texts),
-spread AS (SELECT doc_id, UNNEST(ws) AS w, generate_subscripts(ws, 1) AS i FROM worded),
-spans AS (
-  SELECT doc_id, i, string_agg(w, ' ') OVER span AS words, COUNT(*) OVER span AS n FROM spread
-  WINDOW span AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)),
-windows AS (
-  SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, words) AS n FROM spans WHERE n = {k}),
-repeated AS (
-  SELECT doc_id, SUM(LEAST({k}, COALESCE(following - i, {k}))) AS n_repeat
-  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM windows WHERE n > 1)
-  GROUP BY doc_id),
-base AS (
-  SELECT doc_id, len(ws) AS n_words, length(regexp_replace(text, '{GAP}', '', 'g')) AS word_chars,
-         length(text) - length(regexp_replace(text, '[{SYMBOLS}]', '', 'g')) AS n_symbols,
-         len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-         CAST(COALESCE(n_repeat, 0) AS BIGINT) AS n_repeat_words,
-         len(ws) < {rules.min_words} OR 100 * COALESCE(n_repeat, 0) > {rules.max_repeat_pct} * len(ws) AS base_failed,
-         list_sum(list_transform(lines, lambda x: length(x))) AS line_chars
-  FROM worded LEFT JOIN repeated USING (doc_id)),
-lines AS (
-  SELECT doc_id, source, length(line) AS n,
-         lower(trim(regexp_replace(line, '{GAP}', ' ', 'g'))) AS norm
-  FROM (SELECT doc_id, source, UNNEST(string_split(text, chr(10))) AS line FROM texts)
-  WHERE regexp_matches(line, '{HAS_WORD}')),
-digests AS (SELECT doc_id, list_sort(list_distinct(list(md5(norm)))) AS md FROM lines GROUP BY doc_id),
-frequent AS (
-  SELECT source, norm FROM (
-    SELECT doc_id, source, norm, CASE WHEN md5(norm) = md[1] THEN COALESCE(md[2], '') ELSE md[1] END AS self
-    FROM lines JOIN digests USING (doc_id))
-  GROUP BY source, norm
-  HAVING COUNT(DISTINCT self) > {rules.max_docs}
-     AND COUNT(DISTINCT self) >= {rules.min_spread} * COUNT(DISTINCT doc_id)),
-gone AS (
-  SELECT doc_id, SUM(n) AS removed FROM lines JOIN frequent f
-    ON f.norm = lines.norm AND f.source IS NOT DISTINCT FROM lines.source
-  GROUP BY doc_id)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT depleted AS kept, removed_chars, depleted
-FROM (SELECT *, CAST(COALESCE(removed, 0) AS BIGINT) AS removed_chars,
-             COALESCE(removed, 0) > (1 - {rules.min_rest}) * COALESCE(line_chars, 0) AS depleted
-      FROM base LEFT JOIN gone USING (doc_id))"""
-
-
 def _hash60(*parts: str) -> str:
     return "CAST('0x' || substr(md5(" + " || ':' || ".join(parts) + "), 1, 15) AS BIGINT)"
 
@@ -229,4 +179,4 @@ LEFT JOIN used USING (rank, place)"""
 def oracle_queries() -> dict[str, str]:
     return {"op1_chat_format": chat_format(), "op2_line_dedup": line_dedup(),
             "op5_decontamination": decontamination(), "op7_warc_fixity": warc_fixity(),
-            "op9_quality_rules": quality_rules(), "op11_source_mixing": source_mixing()}
+            "op11_source_mixing": source_mixing()}

@@ -60,8 +60,6 @@ class Rules:
     max_docs: int = 20
     #: ... if they are also more than this share of the host's distinct documents
     max_share: float = 0.05
-    #: only in the SQL of the earlier rule, which compared distinct documents with rows
-    min_spread: float = 0.5
     #: lines with this share of words in common are variants ...
     same_pct: int = 80
     #: ... held against each other by so many word hashes
