@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import TRADES_ENRICHED_COLUMNS
+from .asof import asof_join
 
 
 def scored_trades(trades: DataFrame, symbols: DataFrame,
@@ -21,7 +22,11 @@ def scored_trades(trades: DataFrame, symbols: DataFrame,
       therefore scores 40, a listed one without sector 90.
     """
     sym = symbols.select("symbol", "exchange", "sector")
-    j = trades.join(sym, on="symbol", how="left")
+    return score(trades.join(sym, on="symbol", how="left"), with_processed_ts)
+
+
+def score(j: DataFrame, with_processed_ts: bool = True) -> DataFrame:
+    """Validity and quality of trades that have their exchange and sector."""
     is_valid = ((F.col("price") > 0) & (F.col("qty") > 0)
                 & F.col("symbol").isNotNull() & F.col("exchange").isNotNull())
     base = F.when(~is_valid, F.lit(50)).otherwise(F.lit(100))
@@ -80,10 +85,30 @@ def to_base_currency(valid: DataFrame, portfolios: DataFrame, fx: DataFrame,
     day's rate (``fx``: base_ccy, quote_ccy, rate, ds; rate = quote units per
     one base unit).  Days without a rate give NULL, never a dropped trade.
     """
-    rates = (fx.filter(F.col("base_ccy") == home_ccy)
-             .select("ds", F.col("quote_ccy").alias("base_ccy"), F.col("rate").alias("fx_rate")))
     j = (join_owner_ccy(valid, portfolios)
-         .join(rates, on=["ds", "base_ccy"], how="left"))
+         .join(_home_rates(fx, home_ccy), on=["ds", "base_ccy"], how="left"))
+    return _converted(j)
+
+
+def to_base_currency_as_of(valid: DataFrame, portfolios: DataFrame, fx: DataFrame, home_ccy: str = "USD",
+                           chunk_days: int = 32, salts: int = 4) -> DataFrame:
+    """The same at the last rate on or before the day.
+
+    Trades of a day and currency share their rate, so the as-of join looks up
+    each (currency, day) once, and the trades meet it by equality."""
+    owned = join_owner_ccy(valid, portfolios)
+    asked = owned.select("base_ccy", "ds").distinct()
+    rates = asof_join(asked, _home_rates(fx, home_ccy), ["base_ccy"], "ds", ["fx_rate"], chunk_days,
+                      salts, salt_by="ds")
+    return _converted(owned.join(rates, on=["ds", "base_ccy"], how="left"))
+
+
+def _home_rates(fx: DataFrame, home_ccy: str) -> DataFrame:
+    return fx.filter(F.col("base_ccy") == home_ccy).select(
+        "ds", F.col("quote_ccy").alias("base_ccy"), F.col("rate").alias("fx_rate"))
+
+
+def _converted(j: DataFrame) -> DataFrame:
     return j.select("trade_id", "portfolio_id", "ds", "base_ccy", "notional_usd",
                     "fx_rate", (F.col("notional_usd") * F.col("fx_rate"))
                     .alias("notional_base_ccy"))

@@ -233,6 +233,20 @@ again AS (
   WHERE event_date = d AND CAST(trade_id AS BIGINT) % 2 = 1
   UNION ALL
   SELECT d_trades.* FROM d_trades, ending WHERE event_date < d - 1)"""
+# Deliveries on the 3rd, 12th and 21st: keys 3 mod 7 change their sector and keys
+# 5 mod 13 are gone in the second, the odd ones of both also in the third.
+STATES = """
+states AS (
+  SELECT printf('SYM_%02d', k) AS symbol, CASE WHEN k % 2 = 0 THEN 'NYSE' ELSE 'NASDAQ' END AS exchange,
+         CASE WHEN piece = 1 AND moved THEN 'RECLASSIFIED' ELSE home END AS sector, CAST(0.01 AS DOUBLE) AS tick_size,
+         [DATE '2024-01-03', DATE '2024-01-12', DATE '2024-01-21'][piece + 1] AS valid_from,
+         CASE WHEN piece = 0 THEN DATE '2024-01-11' WHEN piece = 1 AND k % 2 = 0 THEN DATE '2024-01-20' END AS valid_to
+  FROM (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 <> 10 THEN p_type END AS home,
+               p_partkey % 7 = 3 AS moved, p_partkey % 13 = 5 AS left_ FROM part), (VALUES (0), (1), (2)) AS v(piece)
+  WHERE (moved OR left_) AND NOT (left_ AND piece = 1) AND NOT (piece = 2 AND k % 2 = 1)
+  UNION ALL
+  SELECT symbol, exchange, sector, tick_size, DATE '2024-01-03', NULL FROM d_symbols JOIN part
+    ON symbol = printf('SYM_%02d', p_partkey) WHERE p_partkey % 7 <> 3 AND p_partkey % 13 <> 5)"""
 RATE_LINES = """
 lines AS (
   SELECT CAST(ts AS DATE) AS ds, (['USD', 'EUR', 'GBP', 'JPY', 'AUD'])[CAST(event_id % 5 AS INTEGER) + 1] AS ccy,
@@ -336,6 +350,24 @@ SELECT trade_id, portfolio_id, ds, p.base_ccy, notional_usd, rate AS fx_rate,
 FROM valid JOIN d_portfolios p USING (portfolio_id)
 LEFT JOIN rates ON rates.quote_ccy = p.base_ccy AND rates.ds = valid.ds""".replace(
         "SELECT trade_id, portfolio_id, ds,", "SELECT trade_id, portfolio_id, valid.ds,"))
+    o["trades_in_base_ccy_as_of"] = q("""
+SELECT trade_id, portfolio_id, owned.ds, owned.base_ccy, notional_usd, rate AS fx_rate,
+       notional_usd * rate AS notional_base_ccy
+FROM (SELECT valid.*, p.base_ccy FROM valid JOIN d_portfolios p USING (portfolio_id)) AS owned
+ASOF LEFT JOIN (SELECT * FROM rates WHERE day(ds) % 4 = 3) AS quoted
+  ON quoted.quote_ccy = owned.base_ccy AND owned.ds >= quoted.ds""")
+    o["portfolio_trades"] = q(f"""
+SELECT {ENRICHED} FROM scored WHERE portfolio_id = (SELECT MAX(portfolio_id) FROM d_trades)""")
+    o["symbol_history"] = q("SELECT symbol, exchange, sector, tick_size, valid_from, valid_to FROM states",
+                            ctes=[STATES])
+    o["trades_enriched_history"] = q("""
+SELECT trade_id, t.symbol, event_date, s.exchange, s.sector,
+       t.price > 0 AND t.qty > 0 AND s.exchange IS NOT NULL AS is_valid,
+       CAST(100 - 50 * COALESCE(CAST(NOT is_valid AS INTEGER), 0)
+            - 10 * CAST(s.sector IS NULL AS INTEGER) AS INTEGER) AS quality_score
+FROM d_trades t LEFT JOIN states s
+  ON s.symbol = t.symbol AND event_date BETWEEN valid_from AND COALESCE(valid_to, DATE '9999-12-31')""",
+                                     ctes=[STATES])
     o["holdings_value"] = q(f"""
 SELECT portfolio_id, CAST(1 AS BIGINT) AS num_positions,
        CAST(last_price IS NOT NULL AS BIGINT) AS priced_positions,

@@ -27,7 +27,7 @@ from .. import AS_OF_DEFAULT
 from .. import pipeline, sinks
 from ..published import Published
 from ..functions.exprs import exact_sum, stabilize
-from ..operators import bronze, cells, gold, silver, sketches
+from ..operators import bronze, cells, gold, history, silver, sketches
 from ..schemas import FACT_PNL_COLUMNS, PORTFOLIOS, TRADES_ENRICHED_COLUMNS, USERS
 from ..session import scratch_path
 from ..sources import document_store, files, fixtures, quarantine
@@ -101,7 +101,7 @@ LANDING = {"fx_bronze", "fx_missing_days", "fx_latest_day", "symbols_bronze",
            "roundtrip_silver", "roundtrip_fact_pnl", "fx_quarantine", "fx_rejects",
            "regional_profitability_from_store", "published_fact_pnl", "published_run", "layer_stamps",
            "incremental_fact_pnl", "incremental_fact_liquidity", "incremental_fact_user_activity",
-           "active_owners_30d"}
+           "active_owners_30d", "portfolio_trades"}
 
 
 def query(*rounded: str):
@@ -422,6 +422,44 @@ def trades_in_base_ccy(L: Lake) -> DataFrame:
     return silver.to_base_currency(L.valid("trade_id"), L.portfolios, L.rates)
 
 
+@query()
+def portfolio_trades(L: Lake) -> DataFrame:
+    """All trades of the portfolio with the greatest id, read from a silver copy
+    that is clustered by symbol and has Bloom filters on the portfolio."""
+    path = scratch_path(L.spark, "clustered-silver")
+    sinks.write_clustered(L.enriched, path, "event_date", ["symbol", "portfolio_id"], bloom=["portfolio_id"])
+    last = L.t.trades.agg(F.max("portfolio_id")).first()[0]
+    cols = [c for c in TRADES_ENRICHED_COLUMNS if c != "processed_ts"]
+    return sinks.read_layer(L.spark, path, cols).where(F.col("portfolio_id") == last)
+
+
+@query()
+def trades_in_base_ccy_as_of(L: Lake) -> DataFrame:
+    """Valid trades converted at the last rate on or before their day, where
+    rates are quoted on every fourth day only."""
+    quoted = L.rates.where(F.dayofmonth("ds") % 4 == 3)
+    return silver.to_base_currency_as_of(L.valid("trade_id"), L.portfolios, quoted)
+
+
+@query()
+def symbol_history(L: Lake) -> DataFrame:
+    """Three deliveries of the symbol master, one after the other, as a history."""
+    days = fixtures.DELIVERY_DAYS
+    told = [L.t.symbol_deliveries.where(F.col("ds") == F.lit(d).cast("date")) for d in days]
+    out = history.from_deliveries(told[0])
+    for d, delivery in zip(days[1:], told[1:]):
+        out = history.deliver(out, delivery, d)
+    return out
+
+
+@query()
+def trades_enriched_history(L: Lake) -> DataFrame:
+    """Trades scored by the listing that was valid on their day."""
+    listed = history.from_deliveries(L.t.symbol_deliveries)
+    scored = silver.score(history.listed_on_day(L.t.trades, listed), with_processed_ts=False)
+    return scored.select("trade_id", "symbol", "event_date", "exchange", "sector", "is_valid", "quality_score")
+
+
 @query("holdings_value_usd")
 def holdings_value(L: Lake) -> DataFrame:
     """Portfolio holdings marked to the latest price."""

@@ -69,6 +69,28 @@ def replace_days(df: DataFrame, path: str, day: str, start: str, end: str,
     return int(obs.get["n"])
 
 
+def write_clustered(df: DataFrame, path: str, day: str, by: Sequence[str],
+                    bloom: Sequence[str] = (), values: int = 1_000_000, row_group_bytes: int = 128 << 20) -> int:
+    """Writes ``df`` by day so that scans skip row groups: rows are ranged and
+    sorted by ``by`` inside a day, so minimum and maximum tell row groups apart,
+    and row groups carry Bloom filters (for so many distinct values) of the columns
+    ``bloom``, which other filters than those on ``by`` go by.
+
+    Several columns in ``by`` let a hot value of the first one span many tasks.
+    Days with rows replace what ``path`` has of them; returns the rows written."""
+    obs = Observation("rows_clustered")
+    keys = [day, *by]
+    writer = (df.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+              .observe(obs, F.count(F.lit(1)).alias("n"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .option("parquet.block.size", row_group_bytes))
+    for c in bloom:
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{c}", values))
+    writer.partitionBy(day).parquet(path)
+    return int(obs.get["n"])
+
+
 def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in folders:

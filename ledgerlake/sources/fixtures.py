@@ -22,6 +22,7 @@ BUY_EVENT_TYPES = ["click", "purchase"]
 CONSERVATIVE_SEGMENTS = ["HOUSEHOLD", "FURNITURE"]
 # Sign-up and opening dates count back from here, whatever a report's date is.
 SIGN_UP_EPOCH = "2024-01-31"
+DELIVERY_DAYS = ["2024-01-03", "2024-01-12", "2024-01-21"]
 # ---------------------------------------------------------------------------
 
 
@@ -57,6 +58,10 @@ class Tables:
     def symbol_feed(self) -> DataFrame:
         return symbol_feed(self._t("part"), self._t("lineitem"))
 
+    @cached_property
+    def symbol_deliveries(self) -> DataFrame:
+        return symbol_deliveries(self._t("part"))
+
     @cached_property
     def rate_lines(self) -> DataFrame:
         return rate_lines(self._t("events"))
@@ -201,6 +206,22 @@ def rate_feed(events: DataFrame) -> DataFrame:
         F.to_date("ts").alias("ds"))
 
 
+def symbol_deliveries(part: DataFrame) -> DataFrame:
+    """Three deliveries of the symbol master: in the second some symbols have
+    another sector and some are gone; in the third half of either are back."""
+    p = F.col("p_partkey")
+    whole = part.select(
+        "p_partkey", padded_id("SYM_", p, 2).alias("symbol"),
+        F.when(p % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
+        F.when(p % 11 != 10, F.col("p_type")).alias("sector"), F.lit(0.01).alias("tick_size"))
+    rows = whole.withColumn("ds", F.explode(F.array(*[F.lit(d).cast("date") for d in DELIVERY_DAYS])))
+    second, third = (F.col("ds") == F.lit(d).cast("date") for d in DELIVERY_DAYS[1:])
+    away = second | (third & (p % 2 == 1))
+    moved = F.when((p % 7 == 3) & away, "RECLASSIFIED").otherwise(F.col("sector"))
+    return (rows.where(~((p % 13 == 5) & away)).withColumn("sector", moved)
+            .select("symbol", "exchange", "sector", "tick_size", "ds"))
+
+
 def rate_lines(events: DataFrame) -> DataFrame:
     """The rate feed as lines of text by day, (ds, value); one line of ten is
     broken: no number, a field too few, one too many, no currency."""

@@ -38,6 +38,22 @@ def trade_stream(spark: SparkSession, source_dir: str,
     return reader.parquet(source_dir)
 
 
+def once(stream: DataFrame, within: str, key: str = "trade_id", at: str = "ts") -> DataFrame:
+    """Each trade once, also if it is delivered again in a later file.
+
+    The state holds the ids of the last ``within`` of event time (say
+    ``"2 days"``) and no older ones.  A trade that comes later than that cannot be
+    told from a repetition: it is left out and counted (``late_rows``)."""
+    timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", within)
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_at")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows of the recent batches that were left out as later than the watermark
+    (repeated ones among them)."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
 class IncrementalLake:
     """The per-batch step over the layers of a lake."""
 
@@ -71,15 +87,18 @@ def start_incremental(spark: SparkSession, source_dir: str, lake_root: str,
                       checkpoint: str, symbols: DataFrame,
                       available_now: bool = True,
                       processing_time: str | None = None,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      max_files_per_trigger: int | None = None,
+                      once_within: str | None = None) -> StreamingQuery:
     """Start the incremental job.
 
     ``available_now=True`` drains all pending files and stops (the hourly
     run); otherwise it runs continuously with ``processing_time`` triggers.
-    The checkpoint must live in the shared lake folder.
+    The checkpoint must live in the shared lake folder.  With ``once_within``
+    (a time, such as "2 days") re-delivered trades count once, see ``once``.
     """
     lake = IncrementalLake(lake_root, symbols)
-    w = (trade_stream(spark, source_dir, max_files_per_trigger).writeStream
+    trades = trade_stream(spark, source_dir, max_files_per_trigger)
+    w = ((once(trades, once_within) if once_within else trades).writeStream
          .foreachBatch(lake.process_batch)
          .option("checkpointLocation", checkpoint))
     if available_now:
