@@ -412,7 +412,7 @@ def _variant(page: list[Block], words: list[str], rng: random.Random) -> tuple[l
         aside(base)
     hole = rng.randint(1, max(1, len(article)))
     for k, b in enumerate(article):
-        if k == hole and rng.random() < 0.4:
+        if k == hole and rng.random() < 0.8:
             aside(base + own)
         tail = paths[k][depth + 1:]
         if rng.random() < 0.1:
