@@ -16,11 +16,14 @@ cannot contain it; the others are candidates (no false negatives).
 Verification: candidates are held against the item's whole shingle set by
 64-bit hashes.
 
-Scale: documents are scanned once and never shuffled.  A bitmap of fixed size
-(``2 ** bitmap_bits`` bits, whatever the benchmark's size) with the hashes of
-all item shingles goes to the tasks; only the few shingles it lets through are
-written, joined and counted.  A passage that a third of the documents hold is
-a skewed equi-join, which AQE splits; equal items are searched once.
+Scale: a bitmap of the sketches' shingles alone goes to the tasks, 256 bits for
+each of them while it stays under ``2 ** max_bitmap_bits`` bits.  Documents are
+scanned, never shuffled; the few shingles it lets through are written and met with
+the sketches by an equi-join.  The documents of candidate pairs are then read
+again (a bitmap of their keys tells them), and only these are held against whole
+items.  A benchmark with too many sketches for a bitmap is searched by the
+equi-join alone.  A passage that a third of the documents hold is a skewed
+equi-join, which AQE splits; equal items are searched once.
 
 Defined results: a null or empty text holds no shingle, and neither does a
 text of fewer words than a shingle; such items are never found and such
@@ -46,7 +49,8 @@ BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 class Containment:
     shingle: int = 5          # words
     threshold: int = 80       # per cent of the item's shingles
-    bitmap_bits: int = 21     # log2 of the bitmap's bits
+    max_bitmap_bits: int = 27 # log2 of the bits of the sketches' bitmap
+    key_bits: int = 21        # the same of the candidate documents' bitmap
 
 
 def shingles(text: Column, size: int) -> tuple[Column, Column]:
@@ -98,21 +102,35 @@ def is_set(bits: Column, h: Column, n: int) -> Column:
     return F.call_function("bit_get", word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
+def candidates(docs: DataFrame, grams: DataFrame, text: str, how: Containment) -> DataFrame:
+    """Pairs (k, item_id) of a document's row key and an item whose sketch it meets."""
+    sketch = grams.where("sketch").select("item_id", "h")
+    n = sketch.select("h").distinct().count()
+    bits = min(how.max_bitmap_bits, max(16, (256 * max(n, 1) - 1).bit_length()))
+    w, hashes = shingles(text_or_empty(F.col(f"`{text}`")), how.shingle)
+    hits = (docs.select(row_key(docs).alias("k"), w.alias("w")).withColumn("hs", hashes("w"))
+            .select("k", F.explode_outer("hs").alias("h")).where(F.col("h").isNotNull()))
+    if 16 * n <= 1 << bits:
+        hits = hits.where(is_set(bitmap(sketch, "h", bits).scalar(), F.col("h"), bits))
+    hits = written(hits, "item-hits")
+    return written(hits.join(sketch, "h").select("k", "item_id").distinct(), "item-candidates")
+
+
 def _contained(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str,
                how: Containment, carry: list[Column]) -> DataFrame:
     grams = written(item_shingles(items, item_id, item_text, how), "item-shingles")
-    w, hashes = shingles(text_or_empty(F.col(f"`{text}`")), how.shingle)
-    bits = bitmap(grams, "h", how.bitmap_bits).scalar()
-    hits = (docs.select(*carry, row_key(docs).alias("k"), w.alias("w"))
-            .withColumn("hs", hashes("w"))
-            .select("doc_id", "k", F.explode_outer("hs").alias("h"))
-            .where(F.col("h").isNotNull() & is_set(bits, F.col("h"), how.bitmap_bits)))
-    hits = written(hits, "item-hits").dropDuplicates(["k", "h"])
-    found = (hits.join(grams, "h")
-             .groupBy("k", "item_id", "q").agg(
-                 F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"),
-                 F.max("sketch").alias("candidate")))
-    return found.where(F.col("candidate") & (100 * F.col("n") >= how.threshold * F.col("q")))
+    pairs = candidates(docs, grams, text, how)
+    # the candidate documents again, with all their shingles
+    w, hashes = shingles(F.col("t"), how.shingle)
+    wanted = bitmap(pairs, "k", how.key_bits).scalar()
+    held = (docs.select(*carry, row_key(docs).alias("k"), text_or_empty(F.col(f"`{text}`")).alias("t"))
+            .where(is_set(wanted, F.col("k"), how.key_bits))
+            .select("doc_id", "k", w.alias("w")).withColumn("hs", hashes("w")).select("doc_id", "k", "hs"))
+    held = held.join(pairs.select("k").distinct(), "k", "left_semi").dropDuplicates(["k"])
+    whole = grams.groupBy("item_id", "q").agg(F.collect_list("h").alias("item"))
+    found = pairs.join(held, "k").join(whole, "item_id").select(
+        "k", "doc_id", "item_id", "q", F.size(F.array_intersect("hs", "item")).cast("long").alias("n"))
+    return found.where(100 * F.col("n") >= how.threshold * F.col("q"))
 
 
 def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
