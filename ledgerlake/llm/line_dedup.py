@@ -18,8 +18,8 @@ Jaccard similarity of at least ``threshold`` per cent; equal sets included.
 
 A large family of variants of one line would still give all its pairs, so the
 join runs in two rounds.  First each set is held against the earliest set with
-the same key and like size only (and against the one with most lines), the key being the least or greatest hash
-among its rare words; what is found there is decided.  A set needs one earlier
+the same key and like size only, and against the one with most lines, a key being
+the two least or greatest hashes of its words; what is found there is decided.  A set needs one earlier
 match, not all: the second round holds every undecided set against all earlier
 ones, decided or not, and nothing against later ones, so no match is lost and a
 family costs as many rows as it has members.
@@ -36,10 +36,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, fresh, row_key, text_or_empty, words, written
+from .common import WORD_GAP, discard, fresh, row_key, text_or_empty, written
 from .decontaminate import bitmap, is_set
 
-RARITY_BITS = 20      # log2 of the number of word buckets, a byte each
+RARITY_BITS = 16      # log2 of the number of word buckets, a byte each
 MOST = 126            # the highest level
 LOOKUP_BITS = 21      # log2 of the bits of the bitmap of sets to verify
 LARGE = 90            # sets of more words have a second parity bitmap
@@ -60,8 +60,9 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     for c in "\t\r\v\f":
         odd = odd | F.contains("line", F.lit(c))
     low = F.lower("line")
-    parts = F.when(odd, words(low)).otherwise(F.array_remove(F.split(low, " "), ""))
-    tk = F.sort_array(F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w))))
+    parts = F.when(odd, F.split(low, WORD_GAP)).otherwise(F.split(low, " "))
+    hashes = F.array_distinct(F.transform(parts, lambda w: F.xxhash64(w)))
+    tk = F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))
     return (given.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
             .select("k", "doc_id", "line_no", tk.alias("tk"))
             .withColumn("set_id", F.xxhash64("tk")))
@@ -89,7 +90,8 @@ def _rarity(lines: DataFrame) -> DataFrame:
 
 def _sets(lines: DataFrame, threshold: int) -> DataFrame:
     """Per distinct set: set_id, n, its first place ``at``, its number of
-    ``lines``, parity bitmaps and its rarest words ``prefix`` in the common order.
+    ``lines``, parity bitmaps, its rarest words ``prefix`` in the common order and
+    the ``keys`` it is led by.
 
     ``p1`` has the parity of the words by the low six bits of their hash;
     ``p2``, for large sets, that of the words with a negative hash alone."""
@@ -111,10 +113,14 @@ def _sets(lines: DataFrame, threshold: int) -> DataFrame:
                                  F.when(n > LARGE, F.aggregate(F.filter("tk", lambda t: t < 0), zero, flip))
                                  .otherwise(zero).alias("p2"),
                                  F.slice(F.sort_array(F.transform("tk", ranked)), F.lit(1), keep)
-                                 .alias("prefix")).alias("sketch")))
+                                 .alias("prefix"),
+                                 # the two least and the two greatest word hashes
+                                 F.array(F.xxhash64(F.get("tk", F.lit(0)), F.get("tk", F.lit(1))),
+                                         F.xxhash64(F.get("tk", n - 1), F.get("tk", n - 2))).alias("keys"))
+                        .alias("sketch")))
     first = per_line.groupBy("set_id", "n").agg(
         F.min("at").alias("at"), F.count(F.lit(1)).alias("lines"), F.first("sketch").alias("sketch"))
-    return first.select("set_id", "n", "at", "lines", "sketch.p1", "sketch.p2", "sketch.prefix")
+    return first.select("set_id", "n", "at", "lines", "sketch.p1", "sketch.p2", "sketch.prefix", "sketch.keys")
 
 
 def _may_match(threshold: int) -> Column:
@@ -155,13 +161,11 @@ def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
 def _by_leaders(sets: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     """set_id of the sets that match an earlier leader.  The leaders of a key and
     like size are the earliest set and the one with most lines (the variants of a
-    line often match the plain line and not one another).  The keys are the least
-    and the greatest hash of the prefix words: two variants agree in most of these,
-    whichever words were edited."""
+    line often match the plain line and not one another).  The keys are the two
+    least and the two greatest hashes of all words: two variants agree in one of
+    these, whichever words were edited, but for one in ten or so."""
     like = F.floor(F.log(F.col("n").cast("double")) * 4).cast("int")
-    hashes = F.transform("prefix", lambda w: F.xxhash64(w))
-    heads = sets.select("set_id", "n", "at", "lines", "p1", "p2", like.alias("like"), F.explode(F.array(
-        F.array_min(hashes), F.array_max(hashes))).alias("key"))
+    heads = sets.select("set_id", "n", "at", "lines", "p1", "p2", like.alias("like"), F.explode("keys").alias("key"))
     lead = F.struct("at", "set_id", "n", "p1", "p2")
     leaders = heads.groupBy("key", "like").agg(
         F.array_distinct(F.array(F.min(lead), F.max(F.struct("lines", lead.alias("x")))["x"])).alias("b")).select(
