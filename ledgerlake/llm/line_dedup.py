@@ -173,7 +173,10 @@ def _by_leaders(sets: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
     met = heads.alias("a").join(
         leaders.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.like") == F.col("b.like"))
         & (F.col("b.at") < F.col("a.at")) & _may_match(threshold))
-    pairs = met.select(F.col("a.set_id").alias("x"), F.col("b.set_id").alias("y")).distinct()
+    # of a set's leaders (four at most) the likeliest: the one whose parity differs least
+    apart = F.bit_count(F.col("a.p1").bitwiseXOR(F.col("b.p1")))
+    pairs = met.groupBy(F.col("a.set_id").alias("x")).agg(
+        F.min(F.struct(apart.alias("apart"), F.col("b.set_id").alias("y"))).alias("best")).select("x", "best.y")
     return _verified(written(pairs, "line-pairs"), lines, threshold)
 
 
