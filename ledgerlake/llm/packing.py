@@ -28,11 +28,12 @@ import types
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,27 +87,43 @@ class WordIds:
         for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             self.known[w] = array("I", e.ids).tobytes()
 
-    def of(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = []
-        for t in texts:
-            for g in self.gaps[1:]:
-                t = t.replace(g, self.gaps[0])
-            split.append(t.split(self.gaps[0]))
-        new = set().union(*split) - self.known.keys()
-        halves = {w: self.halves(w) for w in new}
-        parts = list(set().union(*halves.values()) - self.known.keys())
+    def of(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text.  Arrow splits the texts and numbers their
+        different words; only these are looked up, and spread out again."""
+        texts = pa.array(texts, pa.string())
+        for g in self.gaps[1:]:
+            texts = pc.replace_substring(texts, g, self.gaps[0])
+        split = pc.split_pattern(texts, self.gaps[0])
+        coded = split.flatten().dictionary_encode()
+        words, known = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        found = [known.get(w) for w in words]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        halves = [self.halves(words[k]) for k in new]
+        parts = list({p for pair in halves for p in pair if p not in known})
         for k in range(0, len(parts), ENCODED_AT_ONCE):
             self.learn(parts[k:k + ENCODED_AT_ONCE])
-        known = self.known
-        for w, (head, tail) in halves.items():
-            known[w] = known[head] + known[tail]
-        for w in split:
-            yield np.frombuffer(b"".join(map(known.__getitem__, w)), "<u4")
-        added = list(new.union(parts))
-        room = max(0, CACHED_WORDS - (len(known) - len(added)))
+        for k, (head, tail) in zip(new, halves):
+            found[k] = known[words[k]] = known[head] + known[tail] if tail else known[head]
+        self.forget(dict.fromkeys([words[k] for k in new] + parts))
+        each = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), "<u4")
+        codes = coded.indices.to_numpy()
+        sizes = each[codes]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        # of each word: where its ids stand in the pool, less where they go
+        shift = (np.cumsum(each) - each)[codes] - ends[:-1]
+        ids = pool[np.repeat(shift, sizes) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for at, end in zip(bounds[:-1], bounds[1:]):
+            yield ids[at:end]
+
+    def forget(self, added: Iterable[str]) -> None:
+        """Keeps of the words just added what there is room for."""
+        added = list(added)
+        room = max(0, CACHED_WORDS - (len(self.known) - len(added)))
         for k, w in enumerate(added):
             if k >= room or len(w) > CACHED_LENGTH:
-                del known[w]
+                del self.known[w]
 
     @staticmethod
     def halves(word: str) -> tuple[str, str]:
@@ -245,15 +262,14 @@ def pack(docs: DataFrame, how: Packing, doc_id: str = "doc_id", text: str = "tex
         end = np.array([how.end_id], "<u4")
         salt, before = TaskContext.get().partitionId(), Counter()
         for b in batches:
-            at = 0
+            at, names = 0, b.column(0).to_pylist()
+            chars = np.cumsum(pc.utf8_length(b.column(1)).to_numpy(), dtype=np.int64)
             while at < len(b):       # a few megabytes of text at a time
-                some, size = [], 0
-                while at + len(some) < len(b) and size < BATCH_CHARS:
-                    some.append(b.column(1)[at + len(some)].as_py())
-                    size += len(some[-1])
+                before_these = chars[at - 1] if at else 0
+                upto = min(len(b), 1 + int(np.searchsorted(chars, before_these + BATCH_CHARS)))
                 rows: list[list] = [[], [], [], [], []]
-                for k, ids in enumerate(known.of(some)):
-                    ids, d = np.concatenate((ids, end)), b.column(0)[at + k].as_py()
+                for d, ids in zip(names[at:upto], known.of(b.column(1).slice(at, upto - at))):
+                    ids = np.concatenate((ids, end))
                     for s in range(0, len(ids), how.length):
                         part = ids[s:s + how.length].astype(kept).tobytes()
                         own = zlib.crc32(part, zlib.crc32(f"{d}/{s}".encode()))
@@ -261,7 +277,7 @@ def pack(docs: DataFrame, how: Packing, doc_id: str = "doc_id", text: str = "tex
                         before[own] += 1
                         for col, v in zip(rows, (d, s, part, len(ids), mark * 2654435761 % (1 << 32) % groups)):
                             col.append(v)
-                at += len(some)
+                at = upto
                 yield batch(rows, b.schema.field(0).type)
 
     def batch(rows: list[list], kind: pa.DataType) -> pa.RecordBatch:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -39,6 +40,30 @@ def test_random_unicode():
             assert a == b.ids, repr(t)
 
 
+def test_a_word_is_looked_up_once_for_many_texts():
+    """The different words of a batch are looked up, not each word of each text;
+    texts come back whole, also from the middle of an Arrow column."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    known = packing.WordIds(PATH, " \n")
+    known.known = Counted(known.known)
+    texts = ["", "Few words, again\nand  again! " * 500, " ", "again", "Other words."] * 4
+    plain = [e.ids for e in Tokenizer.from_file(PATH).encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in known.of(texts)] == plain
+    assert known.known.asked < 100
+    assert [x.tolist() for x in known.of(pa.array(texts).slice(3, 9))] == plain[3:12]
+    assert list(known.of([])) == []
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError, match="word by word"):
         packing.WordIds(public_tokenizers.path("byte_bpe_50k.json"), " \n")
